@@ -26,7 +26,7 @@ def _c(c: ColumnOrName) -> Column:
 
 def parse_month_year(c: ColumnOrName) -> Column:
     """FE1: ``Mon-YYYY`` text -> first day of that month; unparsable text -> NULL."""
-    return F.try_to_date(_c(c), F.lit("MMM-yyyy"))
+    return F.try_to_date(_c(c), "MMM-yyyy")
 
 
 def months_between_truncated(later: ColumnOrName, earlier: ColumnOrName) -> Column:
@@ -63,8 +63,13 @@ def truncate_decimals(c: ColumnOrName, decimals: int = 3) -> Column:
 
 
 def round_half_even(c: ColumnOrName, decimals: int = 0) -> Column:
-    """MTH2: banker's rounding (``bround``), as NumPy/pandas ``round``."""
-    return F.bround(_c(c), decimals)
+    """MTH2: half-even rounding of the binary value, as NumPy/pandas ``round``: scale by
+    10^d, round half-even to an integer, scale back. (``bround(x, d)`` with d > 0 rounds the
+    shortest decimal text instead, which differs for values such as 2.675.)"""
+    if decimals == 0:
+        return F.bround(_c(c), 0)
+    scale = float(10 ** decimals)
+    return F.bround(_c(c) * F.lit(scale), 0) / F.lit(scale)
 
 
 def clip(c: ColumnOrName, lo: float, hi: float) -> Column:
@@ -82,7 +87,7 @@ def safe_ratio(num: ColumnOrName, den: ColumnOrName, zero: float | None = None)
 
 def percent_text(c: ColumnOrName, decimals: int = 2) -> Column:
     """STR1: 0.1234 -> '12.34%'."""
-    return F.format_string(f"%.{decimals}f%%", F.bround(_c(c) * 100.0, decimals))
+    return F.format_string(f"%.{decimals}f%%", round_half_even(_c(c) * 100.0, decimals))
 
 
 def interval_text(lo: ColumnOrName, hi: ColumnOrName) -> Column:
@@ -94,16 +99,16 @@ def compact_money(c: ColumnOrName) -> Column:
     """STR2: >= 1e9 -> 'x.xxbn', >= 1e6 -> 'x.xxM', else 'x.xK'."""
     v = _c(c)
     return (
-        F.when(F.abs(v) >= 1e9, F.format_string("%.2fbn", F.bround(v / 1e9, 2)))
-        .when(F.abs(v) >= 1e6, F.format_string("%.2fM", F.bround(v / 1e6, 2)))
-        .otherwise(F.format_string("%.1fK", F.bround(v / 1e3, 1)))
+        F.when(F.abs(v) >= 1e9, F.format_string("%.2fbn", round_half_even(v / 1e9, 2)))
+        .when(F.abs(v) >= 1e6, F.format_string("%.2fM", round_half_even(v / 1e6, 2)))
+        .otherwise(F.format_string("%.1fK", round_half_even(v / 1e3, 1)))
     )
 
 
 def compact_defaults(c: ColumnOrName) -> Column:
     """STR2 (defaults): >= 1000 -> 'x.xxK', else whole number."""
     v = _c(c)
-    return F.when(v >= 1000, F.format_string("%.2fK", F.bround(v / 1000, 2))).otherwise(
+    return F.when(v >= 1000, F.format_string("%.2fK", round_half_even(v / 1000, 2))).otherwise(
         F.format_string("%.0f", F.bround(v, 0))
     )
 

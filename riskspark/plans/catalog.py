@@ -47,4 +47,5 @@ def col(c: str) -> Column:
 # Importing the query modules fills QUERIES / ORACLES.
 from riskspark.plans import (  # noqa: E402,F401
     q_policy,
+    q_prep,
 )

@@ -109,16 +109,16 @@ _PRESETS = " UNION ALL ".join(
 
 
 def _money_text(x: str) -> str:
-    return (f"CASE WHEN abs({x}) >= 1e9 THEN printf('%.2fbn', round_even({x} / 1e9, 2)) "
-            f"WHEN abs({x}) >= 1e6 THEN printf('%.2fM', round_even({x} / 1e6, 2)) "
-            f"ELSE printf('%.1fK', round_even({x} / 1e3, 1)) END")
+    return (f"CASE WHEN abs({x}) >= 1e9 THEN printf('%.2fbn', (round_even(({x} / 1e9) * 100e0, 0) / 100e0)) "
+            f"WHEN abs({x}) >= 1e6 THEN printf('%.2fM', (round_even(({x} / 1e6) * 100e0, 0) / 100e0)) "
+            f"ELSE printf('%.1fK', (round_even(({x} / 1e3) * 10e0, 0) / 10e0)) END")
 
 
 @register("pol4_policy_presets", "SELECT policy_order, policy, lgd, interest_margin, ead, cutoff, approved_count, rejected_count, "
           "approval_rate, expected_loss, expected_defaults, expected_profit, net_profit, gross_revenue, empirical_loss, bad_rate, roe, "
-          "printf('%.2f', round_even(approval_rate, 2)) AS approval_rate_text, "
+          "printf('%.2f', (round_even((approval_rate) * 100e0, 0) / 100e0)) AS approval_rate_text, "
           f"{_money_text('expected_loss')} AS expected_loss_text, "
-          "CASE WHEN expected_defaults >= 1000 THEN printf('%.2fK', round_even(expected_defaults / 1000, 2)) "
+          "CASE WHEN expected_defaults >= 1000 THEN printf('%.2fK', (round_even((expected_defaults / 1000) * 100e0, 0) / 100e0)) "
           "ELSE printf('%.0f', round_even(expected_defaults, 0)) END AS expected_defaults_text, "
           f"{_money_text('expected_profit')} AS expected_profit_text, "
           "CASE WHEN approved_count >= 1000 THEN printf('%.0fK', round_even(approved_count / 1000, 0)) "

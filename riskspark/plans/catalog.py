@@ -48,4 +48,5 @@ def col(c: str) -> Column:
 from riskspark.plans import (  # noqa: E402,F401
     q_policy,
     q_prep,
+    q_woe,
 )

@@ -87,7 +87,8 @@ def safe_ratio(num: ColumnOrName, den: ColumnOrName, zero: float | None = None)
 
 def percent_text(c: ColumnOrName, decimals: int = 2) -> Column:
     """STR1: 0.1234 -> '12.34%'."""
-    return F.format_string(f"%.{decimals}f%%", round_half_even(_c(c) * 100.0, decimals))
+    x = _c(c)
+    return F.when(x.isNotNull(), F.format_string(f"%.{decimals}f%%", round_half_even(x * 100.0, decimals)))
 
 
 def interval_text(lo: ColumnOrName, hi: ColumnOrName) -> Column:

@@ -49,4 +49,5 @@ from riskspark.plans import (  # noqa: E402,F401
     q_policy,
     q_prep,
     q_woe,
+    q_score,
 )

@@ -42,12 +42,3 @@ def sql_round(expr: str, d: int) -> str:
 
 def col(c: str) -> Column:
     return F.col(c)
-
-
-# Importing the query modules fills QUERIES / ORACLES.
-from riskspark.plans import (  # noqa: E402,F401
-    q_policy,
-    q_prep,
-    q_woe,
-    q_score,
-)

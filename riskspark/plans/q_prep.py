@@ -45,6 +45,9 @@ ENGINEERED_CTE = f"""e AS (SELECT id,
    emp_length, loan_status_binary, credit_hist_months, term_int FROM f)"""
 
 
+_ENG_CTES = [CLEAN_CTE, SHAPED_CTE, ENGINEERED_CTE]
+
+
 def cleaned(spark, sf):
     return C.clean_target_and_leakage(fx.loans(spark, sf), "loan_status", LOAN_STATUS_MAPPING, LEAKAGE_COLUMNS)
 

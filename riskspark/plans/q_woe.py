@@ -111,6 +111,7 @@ def woe1_numeric(spark, sf):
 
 
 _ENG = [CLEAN_CTE, SHAPED_CTE, ENGINEERED_CTE]
+_ENG_CTES = _ENG
 
 
 @register("woe4_fit_all_features", _bin_table_oracle(_ENG, "e", GIVEN_CUTS, CATEGORICAL))
@@ -218,3 +219,20 @@ def woe3(spark, sf):
     unsupported = [f for f, k in kinds.items() if k == "unsupported"]
     bt = WO.fit_woe(df, T, None, cats)
     return rounded(WO.iv_summary(bt, unsupported), ("iv",))
+
+
+def sql_woe_select(numeric_cuts: dict, categorical: list[str], src: str = "e", extra: str = "") -> str:
+    """DuckDB text: id + WoE of each feature from the ``bt`` CTE (unseen/NULL -> 0)."""
+    cols = []
+    for f in categorical:
+        cols.append(f"coalesce((SELECT woe FROM bt WHERE feature = '{f}' AND valid AND category = coalesce(CAST({src}.{f} AS VARCHAR), 'nan')), 0e0) AS {f}")
+    for f in numeric_cuts:
+        cols.append(f"coalesce((SELECT woe FROM bt WHERE feature = '{f}' AND valid AND {src}.{f} > lo AND {src}.{f} <= hi), 0e0) AS {f}")
+    return f"SELECT {src}.id{extra}, {', '.join(cols)} FROM {src}"
+
+
+def woe_encoded_oracle(numeric_cuts: dict, categorical: list[str], extra: str = "") -> tuple[list[str], str]:
+    """CTE list (source ``e`` .. ``bt``, then ``we`` = WoE-encoded rows) for selection oracles."""
+    parts, body = sql_bin_table("e", T, numeric_cuts, categorical)
+    ctes = [*_ENG, *parts, f"bt AS ({body})", f"we AS ({sql_woe_select(numeric_cuts, categorical, extra=extra)})"]
+    return ctes

@@ -27,7 +27,7 @@ def fit_logistic(
     c_penalty: float = 1.0,
     max_iter: int = 1000,
     class_weight: str | None = "balanced",
-    tol: float = 1e-8,
+    tol: float = 1e-6,
 ) -> LogisticRegressionModel:
     """MOD1: L2 logistic regression equal to the scikit-learn objective
     0.5||beta||^2 + C * sum(w_i * loss_i): Spark minimises mean(w_i * loss_i) + reg/2 ||beta||^2

@@ -19,8 +19,8 @@ def iv_selection(iv: DataFrame, min_iv: float = 0.02, max_iv: float = 0.55, fall
     """SEL1 + SEL2: the IV filter; when nothing passes, the top ``fallback`` features by IV."""
     passed = filter_by_iv(iv, min_iv, max_iv)
     ranked = iv.orderBy(F.col("iv").desc(), "feature").limit(fallback)
-    use_fallback = passed.limit(1).count() == 0
-    return ranked if use_fallback else passed
+    # either branch is decided on the IV table: one row per feature
+    return ranked if not passed.take(1) else passed
 
 
 def correlation_pairs(df_woe: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -6,9 +6,9 @@ round works on that histogram only:
 
 1. the current cuts of each feature (a bounded literal: at most ``max_leaves - 1`` per feature)
    assign each histogram value to its leaf;
-2. running sums of n and good in value order within each leaf are computed per value block
-   (blocks from approximate quantiles, fixed once) plus broadcast block offsets, so no task
-   holds a whole feature or leaf;
+2. running sums of n and good in value order within each leaf are the feature's running sums
+   (computed once with value blocks and broadcast block offsets, so no task holds a whole
+   feature) minus the leaf's offset, one small grouped aggregation per round;
 3. every value with a legal split after it (both sides >= min leaf size, leaf impure) gets the
    weighted Gini decrease ``(gL²+bL²)/nL + (gR²+bR²)/nR - (G²+B²)/n``;
 4. the best candidate per feature (best-first growth, BIN1) or per leaf (level-wise growth,
@@ -24,11 +24,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.operators.cumulative import assign_blocks, block_bounds
+from riskspark.operators.cumulative import running_totals
+from riskspark.session import checkpoint_dir
 
 
 def value_histogram(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -48,44 +48,48 @@ def _leaf_expr(cuts: dict[str, list[float]]) -> F.Column:
     return F.size(F.filter(arr, lambda c: F.col("value") > c))
 
 
-def _candidates(hist: DataFrame, cuts: dict[str, list[float]], min_leaf: dict[str, int], depth_of: dict | None = None) -> DataFrame:
-    """Every legal split position with its gain, for all features and leaves."""
+def _candidates(hist: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """Every legal split position with its gain, for all features and leaves.
+
+    ``hist`` carries per-feature running sums in value order (``cum_n``, ``cum_good``) and the
+    next value, computed once. Within a leaf the running sums are the feature's running sums
+    minus the leaf's offset (the running sum just before its first value, i.e. the minimum of
+    ``cum - own``), so a round needs one grouped aggregation per (feature, leaf) — a table of at
+    most features x max_leaves rows, broadcast back — and no window at all. The last value of a
+    leaf is never legal (its right side is empty), so the feature-level next value is exact."""
     h = hist.withColumn("leaf", _leaf_expr(cuts))
-    part = ["feature", "leaf"]
-    blocks = h.groupBy(*part, "_blk").agg(F.sum("n").alias("_bn"), F.sum("good").alias("_bg"), F.min("value").alias("_bmin"))
-    w_prev = Window.partitionBy(*part).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*part)
-    w_ord = Window.partitionBy(*part).orderBy("_blk")
-    offs = blocks.select(
-        *part, "_blk",
-        F.coalesce(F.sum("_bn").over(w_prev), F.lit(0)).alias("_on"),
-        F.coalesce(F.sum("_bg").over(w_prev), F.lit(0)).alias("_og"),
-        F.sum("_bn").over(w_all).alias("_tn"),
-        F.sum("_bg").over(w_all).alias("_tg"),
-        F.lead("_bmin").over(w_ord).alias("_nxb"),
+    leaves = h.groupBy("feature", "leaf").agg(
+        F.min(F.col("cum_n") - F.col("n")).alias("_on"),
+        F.min(F.col("cum_good") - F.col("good")).alias("_og"),
+        F.sum("n").alias("_tn"),
+        F.sum("good").alias("_tg"),
     )
-    mins = h.sparkSession.createDataFrame([(f, int(m)) for f, m in min_leaf.items()], "feature string, _m long")
-    local = Window.partitionBy(*part, "_blk").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local_ord = Window.partitionBy(*part, "_blk").orderBy("value")
-    j = h.join(F.broadcast(offs), [*part, "_blk"]).join(F.broadcast(mins), "feature")
-    c = j.select(
-        "feature", "leaf", "value", "_m", "_tn", "_tg",
-        (F.sum("n").over(local) + F.col("_on")).alias("nl"),
-        (F.sum("good").over(local) + F.col("_og")).alias("gl"),
-        F.coalesce(F.lead("value").over(local_ord), F.col("_nxb")).alias("next_value"),
+    j = h.join(F.broadcast(leaves), ["feature", "leaf"])
+    # Staged projections keep every expression small (the expanded gain formula would otherwise
+    # exceed the code-generation size limit and run interpreted).
+    s1 = j.select(
+        "feature", "leaf", "value", "next_value", "_m",
+        (F.col("cum_n") - F.col("_on")).cast("double").alias("nl"),
+        (F.col("cum_good") - F.col("_og")).cast("double").alias("gl"),
+        F.col("_tn").cast("double").alias("tn"),
+        F.col("_tg").cast("double").alias("tg"),
+    ).where(
+        F.col("next_value").isNotNull() & (F.col("tg") > 0) & (F.col("tg") < F.col("tn"))
+        & (F.col("nl") >= F.col("_m")) & ((F.col("tn") - F.col("nl")) >= F.col("_m"))
     )
-    nl, gl = F.col("nl").cast("double"), F.col("gl").cast("double")
-    n, g = F.col("_tn").cast("double"), F.col("_tg").cast("double")
-    bl, nr, gr = nl - gl, n - nl, g - gl
-    br = nr - gr
-    b = n - g
-    gain = (gl * gl + bl * bl) / nl + (gr * gr + br * br) / nr - (g * g + b * b) / n
-    legal = (
-        F.col("next_value").isNotNull()
-        & (F.col("nl") >= F.col("_m")) & ((F.col("_tn") - F.col("nl")) >= F.col("_m"))
-        & (F.col("_tg") > 0) & (F.col("_tg") < F.col("_tn"))
+    s2 = s1.select(
+        "feature", "leaf", "value", "next_value", "nl", "gl", "tn", "tg",
+        (F.col("nl") - F.col("gl")).alias("bl"),
+        (F.col("tn") - F.col("nl")).alias("nr"),
+        (F.col("tg") - F.col("gl")).alias("gr"),
+        (F.col("tn") - F.col("tg")).alias("tb"),
     )
-    return c.where(legal).select("feature", "leaf", "value", "next_value", F.greatest(gain, F.lit(0.0)).alias("gain"))
+    s3 = s2.select("feature", "leaf", "value", "next_value", "nl", "gl", "bl", "nr", "gr", "tn", "tg", "tb",
+                   (F.col("nr") - F.col("gr")).alias("br"))
+    gain = ((F.col("gl") * F.col("gl") + F.col("bl") * F.col("bl")) / F.col("nl")
+            + (F.col("gr") * F.col("gr") + F.col("br") * F.col("br")) / F.col("nr")
+            - (F.col("tg") * F.col("tg") + F.col("tb") * F.col("tb")) / F.col("tn"))
+    return s3.select("feature", "leaf", "value", "next_value", F.greatest(gain, F.lit(0.0)).alias("gain"))
 
 
 def _midpoint(a: float, b: float) -> float:
@@ -110,19 +114,25 @@ def tree_cuts(
     features = list(features)
     if not features:
         return {}
-    hist = value_histogram(df, features, target)
-    bounds = block_bounds(hist, "value", ["feature"], blocks)
-    hist = assign_blocks(hist, "value", bounds, ["feature"]).persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_dir(df.sparkSession)
+    hist = running_totals(value_histogram(df, features, target), "value", ["n", "good"], ["feature"],
+                          blocks=blocks, with_next=True)
+    # The histogram (bounded by distinct values, far smaller than the rows) is written once to the
+    # shared checkpoint folder: every round then plans against a short lineage and survives the
+    # loss of an executor.
+    hist = hist.checkpoint(eager=True)
     try:
-        totals = {r["feature"]: r["N"] for r in hist.groupBy("feature").agg(F.sum("n").alias("N")).collect()}
+        totals = {r["feature"]: r["N"] for r in hist.groupBy("feature").agg(F.max("tot_n").alias("N")).collect()}
         if isinstance(min_samples_leaf, float) and min_samples_leaf < 1.0:
             min_leaf = {f: max(1, math.ceil(min_samples_leaf * totals.get(f, 0))) for f in features}
         else:
             min_leaf = {f: int(min_samples_leaf) for f in features}
+        m = F.create_map(*[e for f, v in min_leaf.items() for e in (F.lit(f), F.lit(int(v)))])
+        hist = hist.withColumn("_m", F.coalesce(F.element_at(m, F.col("feature")), F.lit(1)).cast("long"))
         cuts: dict[str, list[float]] = {f: [] for f in features}
         rounds = (max_leaves - 1) if max_depth is None else max_depth
         for _ in range(max(0, rounds)):
-            cand = _candidates(hist, cuts, min_leaf)
+            cand = _candidates(hist, cuts)
             order = F.struct(F.col("gain"), -F.col("value"))
             pick = F.max_by(F.struct("value", "next_value", "gain"), order).alias("best")
             if max_depth is None:
@@ -138,4 +148,4 @@ def tree_cuts(
                     cuts[f] = sorted(cuts[f])[: max_leaves - 1]
         return {f: sorted(c) for f, c in cuts.items()}
     finally:
-        hist.unpersist()
+        pass

@@ -53,7 +53,7 @@ def cleaned(spark, sf):
 
 
 def engineered(spark, sf):
-    return E.engineer_features(cleaned(spark, sf))
+    return fx.persisted(spark, ("engineered", sf), lambda: E.engineer_features(cleaned(spark, sf)))
 
 
 @register("cln1_map_target", W() + f"""

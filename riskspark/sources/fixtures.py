@@ -9,8 +9,13 @@ The same SQL text runs in Spark (DataFrames passed as ``spark.sql`` arguments) a
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from riskspark.session import checkpoint_dir
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -21,14 +26,6 @@ _ORDERS_COLS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_ord
 _CUSTOMER_COLS = ["c_custkey", "c_acctbal", "c_mktsegment"]
 
 _LOANS_BODY = """
-WITH base AS (
-  SELECT o_orderkey AS id, o_totalprice, c_acctbal, c_mktsegment, o_orderpriority,
-         year(o_orderdate) AS yy, month(o_orderdate) AS mm,
-         CASE WHEN ((o_orderkey * 7919 + 104729) % 1000) / 10e0
-                   < 70e0 - o_totalprice / 20000e0 + c_acctbal / 400e0
-                     + CASE c_mktsegment WHEN 'BUILDING' THEN 15e0 WHEN 'MACHINERY' THEN -10e0 ELSE 0e0 END
-              THEN 1 ELSE 0 END AS y
-  FROM {orders} JOIN {customer} ON o_custkey = c_custkey)
 SELECT id,
   CASE WHEN id % 50 = 0 THEN 'Issued'
        WHEN y = 1 THEN CASE id % 3 WHEN 0 THEN 'Fully Paid' WHEN 1 THEN 'Current' ELSE 'In Grace Period' END
@@ -47,20 +44,26 @@ SELECT id,
        WHEN id % 12 = 1 THEN '1 year' ELSE CAST(id % 12 AS STRING) || ' years' END AS emp_length,
   CASE WHEN id % 4 = 0 THEN ' 60 months' ELSE ' 36 months' END AS term,
   CASE WHEN y = 0 THEN o_totalprice * 0.1e0 ELSE 0e0 END AS recoveries
-FROM base
+FROM (
+  SELECT o_orderkey AS id, o_totalprice, c_acctbal, c_mktsegment, o_orderpriority,
+         year(o_orderdate) AS yy, month(o_orderdate) AS mm,
+         CASE WHEN ((o_orderkey * 7919 + 104729) % 1000) / 10e0
+                   < 70e0 - o_totalprice / 20000e0 + c_acctbal / 400e0
+                     + CASE c_mktsegment WHEN 'BUILDING' THEN 15e0 WHEN 'MACHINERY' THEN -10e0 ELSE 0e0 END
+              THEN 1 ELSE 0 END AS y
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey) base
 """
 
 _SCORED_BODY = """
-WITH l AS (
-  SELECT id,
-         CASE WHEN loan_status IN ('Fully Paid','Current','In Grace Period') THEN 1 ELSE 0 END AS target,
-         1.8e0 + 1.5e0 * coalesce(annual_inc, 4500e0) / 10000e0 - 2e0 * loan_amnt / 500000e0 AS logit
-  FROM {loans} WHERE loan_status <> 'Issued')
 SELECT id, target, logit,
        1e0 / (1e0 + exp(-logit)) AS raw_good,
        1e0 - 1e0 / (1e0 + exp(-logit)) AS pd,
        CAST(@ROUND@(600e0 - 50e0/ln(2e0)*ln(50e0) + 50e0/ln(2e0)*logit, 0) AS INT) AS score
-FROM l
+FROM (
+  SELECT id,
+         CASE WHEN loan_status IN ('Fully Paid','Current','In Grace Period') THEN 1 ELSE 0 END AS target,
+         1.8e0 + 1.5e0 * coalesce(annual_inc, 4500e0) / 10000e0 - 2e0 * loan_amnt / 500000e0 AS logit
+  FROM {loans} WHERE loan_status <> 'Issued') l
 """
 
 
@@ -69,19 +72,48 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
+_PERSISTED: dict[tuple, DataFrame] = {}
+
+
+def persisted(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Derive an input table once per session and materialise it with a reliable checkpoint in
+    the shared checkpoint folder (as the reference keeps its loan table in memory for every
+    step). Later queries plan against a short lineage, and the table survives executor loss."""
+    k = (spark.sparkContext.applicationId, *key)
+    df = _PERSISTED.get(k)
+    if df is None:
+        checkpoint_dir(spark)
+        df = build().checkpoint(eager=True)
+        _PERSISTED[k] = df
+    return df
+
+
+def _view(df: DataFrame, kind: str, sf_dir: str) -> str:
+    """Session temp view with a name unique to (kind, folder)."""
+    name = f"rs_{kind}_{hashlib.sha1(sf_dir.encode()).hexdigest()[:10]}_{uuid.uuid4().hex[:6]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``loans`` view (FIXTURES §2): orders ⋈ customer, a shuffle join on the customer key."""
-    return spark.sql(
-        _LOANS_BODY,
-        orders=table(spark, sf_dir, "orders", _ORDERS_COLS),
-        customer=table(spark, sf_dir, "customer", _CUSTOMER_COLS),
-    )
+    """The ``loans`` view (FIXTURES §2): orders ⋈ customer on the customer key."""
+    def build() -> DataFrame:
+        o = _view(table(spark, sf_dir, "orders", _ORDERS_COLS), "orders", sf_dir)
+        c = _view(table(spark, sf_dir, "customer", _CUSTOMER_COLS), "customer", sf_dir)
+        return spark.sql(_LOANS_BODY.replace("{orders}", o).replace("{customer}", c))
+
+    return persisted(spark, ("loans", sf_dir), build)
 
 
 def scored(spark: SparkSession, sf_dir: str, loans_df: DataFrame | None = None) -> DataFrame:
     """The ``scored`` view (FIXTURES §3): id, target, logit, raw_good, pd, score."""
-    src = loans_df if loans_df is not None else loans(spark, sf_dir)
-    return spark.sql(_SCORED_BODY.replace("@ROUND@", "bround"), loans=src)
+    def build(src: DataFrame) -> DataFrame:
+        name = _view(src, "loans", sf_dir)
+        return spark.sql(_SCORED_BODY.replace("@ROUND@", "bround").replace("{loans}", name))
+
+    if loans_df is not None:
+        return build(loans_df)
+    return persisted(spark, ("scored", sf_dir), lambda: build(loans(spark, sf_dir)))
 
 
 # ---- DuckDB text of the same views, used as CTEs by the oracle SQL --------------------------

@@ -9,6 +9,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.session import checkpoint_dir
+
 
 def balanced_weights(df: DataFrame, target: str, weight_col: str = "weight") -> DataFrame:
     """MOD2: class weight n / (2 n_class) as a column. Class counts come from one small
@@ -35,6 +37,10 @@ def fit_logistic(
     data = balanced_weights(df, target, "_w") if class_weight == "balanced" else df.withColumn("_w", F.lit(1.0))
     vec = VectorAssembler(inputCols=list(features), outputCol="_features").transform(
         data.select(*features, F.col(target).cast("double").alias("_label"), "_w"))
+    # The optimiser passes over the training set many times: materialise the projected rows once
+    # (shared checkpoint folder; survives executor loss, short lineage for every pass).
+    checkpoint_dir(df.sparkSession)
+    vec = vec.select("_features", "_label", "_w").checkpoint(eager=True)
     w_sum = vec.agg(F.sum("_w")).first()[0]
     lr = LogisticRegression(
         featuresCol="_features", labelCol="_label", weightCol="_w", maxIter=max_iter, tol=tol,

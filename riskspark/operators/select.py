@@ -23,16 +23,21 @@ def iv_selection(iv: DataFrame, min_iv: float = 0.02, max_iv: float = 0.55, fall
     return ranked if not passed.take(1) else passed
 
 
+def correlation_matrix(df_woe: DataFrame, features: Sequence[str]):
+    """|Pearson r| matrix of the given columns in one pass (Gramian aggregation in Spark ML);
+    a k x k NumPy array, k = number of candidate features. A constant column gives NaN."""
+    vec = VectorAssembler(inputCols=list(features), outputCol="_v", handleInvalid="keep").transform(df_woe.select(*features))
+    return abs(Correlation.corr(vec, "_v", "pearson").head()[0].toArray())
+
+
 def correlation_pairs(df_woe: DataFrame, features: Sequence[str]) -> DataFrame:
-    """SEL3: |Pearson r| for every pair (a before b in the given order), one pass over the data
-    (Gramian aggregation in Spark ML). A constant column gives NaN, never an error."""
+    """SEL3: |Pearson r| for every pair (a before b in the given order)."""
     feats = list(features)
     spark = df_woe.sparkSession
     if len(feats) < 2:
         return spark.createDataFrame([], "a string, b string, a_pos int, b_pos int, r double")
-    vec = VectorAssembler(inputCols=feats, outputCol="_v", handleInvalid="keep").transform(df_woe.select(*feats))
-    m = Correlation.corr(vec, "_v", "pearson").head()[0].toArray()
-    rows = [(feats[i], feats[j], i, j, float(abs(m[i][j]))) for i in range(len(feats)) for j in range(i + 1, len(feats))]
+    m = correlation_matrix(df_woe, feats)
+    rows = [(feats[i], feats[j], i, j, float(m[i][j])) for i in range(len(feats)) for j in range(i + 1, len(feats))]
     return spark.createDataFrame(rows, "a string, b string, a_pos int, b_pos int, r double")
 
 
@@ -50,14 +55,25 @@ def collinear_drops(pairs: DataFrame, iv: DataFrame, threshold: float = 0.70) ->
 def select_features(
     df_woe: DataFrame, iv: DataFrame, min_iv: float = 0.02, max_iv: float = 0.55, corr_threshold: float = 0.70
 ) -> DataFrame:
-    """SEL5: SEL1 -> SEL2 -> SEL4; (rank, feature, iv) of the kept features in IV order."""
-    chosen = iv_selection(iv, min_iv, max_iv).collect()  # bounded by the number of features
-    feats = [r["feature"] for r in chosen]
-    drops = collinear_drops(correlation_pairs(df_woe, feats), iv, corr_threshold)
-    kept = iv.where(F.col("feature").isin(feats)).join(drops, "feature", "left_anti")
-    order = {f: i for i, f in enumerate(feats)}
-    rank = F.element_at(F.create_map(*[e for f, i in order.items() for e in (F.lit(f), F.lit(i))]), F.col("feature")) if order else F.lit(0)
-    return kept.select(rank.alias("rank"), "feature", "iv")
+    """SEL5: SEL1 -> SEL2 -> SEL4; (rank, feature, iv) of the kept features in IV order.
+
+    Two jobs: the IV table (one row per feature) and one correlation pass over the data; the
+    pair rule runs on the bounded k x k matrix."""
+    spark = df_woe.sparkSession
+    ranked = [(r["feature"], r["iv"]) for r in iv.orderBy(F.col("iv").desc(), "feature").collect()]
+    chosen = [(f, v) for f, v in ranked if min_iv <= v <= max_iv] or ranked[:5]
+    feats = [f for f, _ in chosen]
+    ivs = dict(ranked)
+    drops = set()
+    if len(feats) > 1:
+        m = correlation_matrix(df_woe, feats)
+        for j in range(len(feats)):
+            for i in range(j):
+                r = m[i][j]
+                if r == r and r > corr_threshold:  # NaN never counts
+                    drops.add(feats[i] if ivs.get(feats[j], 0.0) > ivs.get(feats[i], 0.0) else feats[j])
+    kept = [(k, f, ivs[f]) for k, f in enumerate(feats) if f not in drops]
+    return spark.createDataFrame(kept, "rank int, feature string, iv double")
 
 
 def top_iv_bands(iv: DataFrame, top_n: int = 15) -> DataFrame:

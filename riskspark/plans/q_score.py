@@ -298,3 +298,16 @@ def cal8(spark, sf):
     s, model = _iso_fit(spark, sf)
     c = CA.calibrated_pd(s, model, "x")
     return rounded(CA.mean_comparison(c, "target", "pd", "calibrated_pd"), ("mean_raw_pd", "mean_calibrated_pd", "actual_bad_rate"))
+
+
+@register("scl1_scaling_factor_offset", W() + f"""
+SELECT id, {_FACTOR} AS factor, {_OFFSET} AS offset, round({_OFFSET} + {_FACTOR} * logit, 9) AS raw_score,
+  round(exp(logit), 9) AS odds FROM scored""")
+def scl1(spark, sf):
+    """SCL1: factor = PDO / ln 2 and offset = base - factor x ln(base odds), applied to each
+    scored row's logit (raw score before rounding) with its odds."""
+    s = fx.scored(spark, sf)
+    out = s.select("id", F.lit(SCALING.factor).alias("factor"), F.lit(SCALING.offset).alias("offset"),
+                   (F.lit(SCALING.offset) + F.lit(SCALING.factor) * F.col("logit")).alias("raw_score"),
+                   F.exp("logit").alias("odds"))
+    return rounded(out, digits={"raw_score": 9, "odds": 9})

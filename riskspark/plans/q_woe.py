@@ -236,3 +236,16 @@ def woe_encoded_oracle(numeric_cuts: dict, categorical: list[str], extra: str =
     parts, body = sql_bin_table("e", T, numeric_cuts, categorical)
     ctes = [*_ENG, *parts, f"bt AS ({body})", f"we AS ({sql_woe_select(numeric_cuts, categorical, extra=extra)})"]
     return ctes
+
+
+@register("bin4_equal_width_bins", W(CLEAN_CTE, *_equal_width_sql("installment", 8)) + """
+SELECT c.id, CAST(bn.bin AS INTEGER) AS bin FROM (SELECT id, installment FROM c WHERE installment IS NOT NULL) c
+JOIN (SELECT b.*, c2.id FROM (SELECT c.id AS id, (SELECT count(*) FROM ed WHERE ed.i BETWEEN 1 AND 7 AND c.installment > ed.e) AS bin FROM c
+      WHERE c.installment IS NOT NULL) b JOIN c c2 ON c2.id = b.id) bn ON bn.id = c.id""")
+def bin4(spark, sf):
+    """BIN4: equal-width bin of every row (8 bins over [min, max], lowest edge lowered by 0.1 %)."""
+    from riskspark.functions.exprs import right_closed_bin
+
+    df = _cleaned_loans(spark, sf).where(F.col("installment").isNotNull())
+    edges = WO.equal_width_edges(df, "installment", 8)
+    return df.select("id", right_closed_bin("installment", edges[1:-1]).alias("bin"))

@@ -96,6 +96,10 @@ def assign_blocks(df: DataFrame, value: str, bounds: DataFrame, group_cols: Sequ
     return joined.withColumn("_blk", F.size(F.filter("_bounds", lambda b: v > b))).drop("_bounds")
 
 
+# Groups up to this many rows may run as one ordered window task (checked before use).
+DIRECT_WINDOW_MAX_ROWS = 1_000_000
+
+
 def running_totals(
     df: DataFrame,
     order_col: str,
@@ -104,12 +108,22 @@ def running_totals(
     descending: bool = False,
     blocks: int = 64,
     with_next: bool = False,
+    direct_max_rows: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums ``cum_<c>`` of ``sum_cols`` ordered by ``order_col`` within
     ``group_cols``, and group totals ``tot_<c>``. ``df`` must be distinct on
     (group_cols, order_col), e.g. a histogram. With ``with_next``, also ``next_<order_col>``:
-    the following value in order within the group (NULL for the last)."""
+    the following value in order within the group (NULL for the last).
+
+    The largest group's size is checked first (one small aggregation): groups of at most
+    ``direct_max_rows`` rows use one ordered window per group; larger ones are cut into value
+    blocks so no task holds a whole group."""
     group_cols = list(group_cols)
+    limit = DIRECT_WINDOW_MAX_ROWS if direct_max_rows is None else direct_max_rows
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rows")) if group_cols else df.agg(F.count(F.lit(1)).alias("_rows"))
+    largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    if largest <= limit:
+        return _direct_running_totals(df, order_col, sum_cols, group_cols, descending, with_next)
     ordered = F.col(order_col).cast("double")
     key = "_okey"
     src = df.withColumn(key, -ordered if descending else ordered)
@@ -144,3 +158,18 @@ def running_totals(
         nxt = -F.col("_next_key") if descending else F.col("_next_key")
         out = out.withColumn(f"next_{order_col}", nxt).drop("_next_key")
     return out
+
+
+def _direct_running_totals(
+    df: DataFrame, order_col: str, sum_cols: Sequence[str], group_cols: list[str], descending: bool, with_next: bool
+) -> DataFrame:
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    run = Window.partitionBy(*group_cols).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = Window.partitionBy(*group_cols).orderBy(order)
+    whole = Window.partitionBy(*group_cols)
+    return df.select(
+        *df.columns,
+        *[F.sum(c).over(run).alias(f"cum_{c}") for c in sum_cols],
+        *[F.sum(c).over(whole).alias(f"tot_{c}") for c in sum_cols],
+        *([F.lead(order_col).over(ordered).alias(f"next_{order_col}")] if with_next else []),
+    )

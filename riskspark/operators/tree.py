@@ -107,6 +107,7 @@ def tree_cuts(
     min_samples_leaf: float | int = 0.05,
     max_depth: int | None = None,
     blocks: int = 32,
+    direct_max_rows: int | None = None,
 ) -> dict[str, list[float]]:
     """BIN1 (``max_leaves``, best-first) or BIN5 (``max_depth``, level-wise) cut points per
     feature, sorted. A float ``min_samples_leaf`` < 1 is a fraction of the feature's rows
@@ -116,7 +117,7 @@ def tree_cuts(
         return {}
     checkpoint_dir(df.sparkSession)
     hist = running_totals(value_histogram(df, features, target), "value", ["n", "good"], ["feature"],
-                          blocks=blocks, with_next=True)
+                          blocks=blocks, with_next=True, direct_max_rows=direct_max_rows)
     # The histogram (bounded by distinct values, far smaller than the rows) is written once to the
     # shared checkpoint folder: every round then plans against a short lineage and survives the
     # loss of an executor.

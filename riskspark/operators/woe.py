@@ -63,35 +63,28 @@ def bin_counts(
     numeric_cuts: Mapping[str, Sequence[float]] | None = None,
     categorical: Sequence[str] = (),
 ) -> DataFrame:
-    """(feature, kind, bin_id, category, total, good) for all features in one aggregation.
+    """(feature, kind, bin_id, category, total, good) for all features: one scan, one
+    aggregation. Every feature becomes a text key (numeric: its bin index; categorical: the
+    category, NULL -> 'nan'), the keys are unpivoted and counted with partial aggregation.
     Numeric NULL/NaN values fall in no bin (as ``pd.cut``)."""
     numeric_cuts = dict(numeric_cuts or {})
-    parts = []
-    if numeric_cuts:
-        num = df.select(
-            F.col(target).cast("long").alias("_y"),
-            *[right_closed_bin(F.col(f).cast("double"), cuts).alias(f) for f, cuts in numeric_cuts.items()],
-        )
-        long_num = num.unpivot("_y", list(numeric_cuts), "feature", "bin_id").where(F.col("bin_id").isNotNull())
-        parts.append(
-            long_num.groupBy("feature", "bin_id").agg(F.count(F.lit(1)).alias("total"), F.sum("_y").alias("good"))
-            .select("feature", F.lit("num").alias("kind"), "bin_id", F.lit(None).cast("string").alias("category"),
-                    "total", "good")
-        )
-    if categorical:
-        cat = df.select(F.col(target).cast("long").alias("_y"), *[category_text(f).alias(f) for f in categorical])
-        long_cat = cat.unpivot("_y", list(categorical), "feature", "category")
-        parts.append(
-            long_cat.groupBy("feature", "category").agg(F.count(F.lit(1)).alias("total"), F.sum("_y").alias("good"))
-            .select("feature", F.lit("cat").alias("kind"), F.lit(None).cast("int").alias("bin_id"), "category",
-                    "total", "good")
-        )
-    if not parts:
+    categorical = list(categorical)
+    if not numeric_cuts and not categorical:
         raise ValueError("no features to bin")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    keys = [right_closed_bin(F.col(f).cast("double"), cuts).cast("string").alias(f) for f, cuts in numeric_cuts.items()]
+    keys += [category_text(f).alias(f) for f in categorical]
+    wide = df.select(F.col(target).cast("long").alias("_y"), *keys)
+    long = wide.unpivot("_y", [*numeric_cuts, *categorical], "feature", "key").where(F.col("key").isNotNull())
+    counts = long.groupBy("feature", "key").agg(F.count(F.lit(1)).alias("total"), F.sum("_y").alias("good"))
+    is_num = F.col("feature").isin(list(numeric_cuts)) if numeric_cuts else F.lit(False)
+    return counts.select(
+        "feature",
+        F.when(is_num, F.lit("num")).otherwise(F.lit("cat")).alias("kind"),
+        F.when(is_num, F.col("key").cast("int")).alias("bin_id"),
+        F.when(~is_num, F.col("key")).alias("category"),
+        "total",
+        "good",
+    )
 
 
 def _numeric_grid(spark, numeric_cuts: Mapping[str, Sequence[float]]) -> DataFrame:
@@ -139,10 +132,11 @@ def woe_from_counts(
             hi = F.when(F.col("feature") == f, F.element_at(F.lit(e[1:]), F.col("bin_id") + 1)).otherwise(hi)
         full = counts.select("feature", "kind", "bin_id", lo.alias("lo"), hi.alias("hi"), "category", "total", "good")
     full = full.withColumn("bad", F.col("total") - F.col("good"))
-    totals = full.groupBy("feature").agg(
-        F.sum("good").alias("_G"), F.sum("bad").alias("_B"), F.count(F.lit(1)).alias("_k")
-    )
-    j = full.join(F.broadcast(totals), "feature")
+    # Feature totals over the counts table (one group per feature, bounded by its bins or
+    # categories) -- a window here avoids deriving the counts, and so scanning the source, twice.
+    per_feature = Window.partitionBy("feature")
+    j = full.select("*", F.sum("good").over(per_feature).alias("_G"), F.sum("bad").over(per_feature).alias("_B"),
+                    F.count(F.lit(1)).over(per_feature).alias("_k"))
     G, B, k = F.col("_G"), F.col("_B"), F.col("_k")
     good, bad = F.col("good"), F.col("bad")
     if smoothing == "laplace":

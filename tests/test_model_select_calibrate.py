@@ -114,10 +114,13 @@ def test_running_totals_many_blocks(spark):
     v = rng.permutation(3000).astype(float)
     a = rng.integers(0, 5, 3000)
     df = spark.createDataFrame([(float(x), int(y)) for x, y in zip(v, a)], "v double, a long")
-    out = sorted(running_totals(df, "v", ["a"], blocks=17, with_next=True).collect(), key=lambda r: r["v"])
+    out = sorted(running_totals(df, "v", ["a"], blocks=17, with_next=True, direct_max_rows=0).collect(), key=lambda r: r["v"])
     ref = np.cumsum(a[np.argsort(v)])
     assert [r["cum_a"] for r in out] == list(ref)
     assert [r["next_v"] for r in out[:-1]] == [r["v"] for r in out[1:]] and out[-1]["next_v"] is None
-    desc = sorted(running_totals(df, "v", ["a"], descending=True, blocks=5).collect(), key=lambda r: -r["v"])
-    assert [r["cum_a"] for r in desc] == list(np.cumsum(a[np.argsort(-v)]))
+    for limit in (0, None):  # block path and checked direct path
+        desc = sorted(running_totals(df, "v", ["a"], descending=True, blocks=5, direct_max_rows=limit).collect(), key=lambda r: -r["v"])
+        assert [r["cum_a"] for r in desc] == list(np.cumsum(a[np.argsort(-v)]))
+    direct = sorted(running_totals(df, "v", ["a"], with_next=True).collect(), key=lambda r: r["v"])
+    assert [r["cum_a"] for r in direct] == list(ref) and direct[-1]["next_v"] is None
     assert F is not None

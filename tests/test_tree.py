@@ -8,9 +8,14 @@ from tests.conftest import SF_SMALL
 FEATS = ["loan_amnt", "installment", "annual_inc", "emp_length", "term_int", "credit_hist_months"]
 
 
-def test_best_first_matches_numpy(spark):
+import pytest
+
+
+@pytest.mark.parametrize("direct_max_rows", [0, None])
+def test_best_first_matches_numpy(spark, direct_max_rows):
     df = engineered(spark, SF_SMALL).cache()
-    cuts = TR.tree_cuts(df, FEATS, "loan_status_binary", max_leaves=6, min_samples_leaf=0.05, blocks=4)
+    cuts = TR.tree_cuts(df, FEATS, "loan_status_binary", max_leaves=6, min_samples_leaf=0.05, blocks=4,
+                        direct_max_rows=direct_max_rows)
     pdf = df.toPandas()
     for f in FEATS:
         ref = R.best_first_tree(pdf[f].to_numpy(float), pdf["loan_status_binary"].to_numpy(int), max_leaves=6,

@@ -58,11 +58,13 @@ def imputation_values(df: DataFrame, exclude: Sequence[str] = (), median_method:
 
     row = df.agg(
         *[F.coalesce(med(c), F.lit(0.0)).alias(f"n_{i}") for i, c in enumerate(nums)],
+        *[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(f"g_{i}") for i, c in enumerate(nums)],
         *[F.mode(F.col(c), True).alias(f"s_{i}") for i, c in enumerate(strs)],
     ).first()
     values: dict = {}
     for i, c in enumerate(nums):
-        values[c] = float(row[f"n_{i}"])
+        if row[f"g_{i}"] > 0:  # filling a column without gaps is a no-op (and keeps its type)
+            values[c] = float(row[f"n_{i}"])
     for i, c in enumerate(strs):
         if row[f"s_{i}"] is not None:
             values[c] = row[f"s_{i}"]
@@ -81,8 +83,10 @@ def impute(df: DataFrame, values: dict) -> DataFrame:
             v = num_fill[f.name]
             if f.dataType.typeName() in ("double", "float"):
                 c = F.when(c.isNull() | F.isnan(c), F.lit(v)).otherwise(c)
-            else:
+            elif float(v).is_integer():
                 c = F.coalesce(c, F.lit(v).cast(f.dataType))
+            else:  # a column with gaps is floating point in the reference: keep the exact median
+                c = F.coalesce(c.cast("double"), F.lit(v))
         elif f.name in values:
             c = F.coalesce(c, F.lit(values[f.name]))
         cols.append(c.alias(f.name))

@@ -32,6 +32,7 @@ def test_mode_and_median_imputation(spark):
                                "id int, s string, x double")
     vals = E.imputation_values(df, exclude=("id",))
     assert vals == {"x": 3.0, "s": "a"}
+    assert E.imputation_values(df.where("x IS NOT NULL"), exclude=("id",)) == {"s": "b"}
     out = {r["id"]: (r["s"], r["x"]) for r in E.impute(df, vals).collect()}
     assert out[3] == ("a", 3.0) and out[5] == ("a", 4.0)
 
@@ -86,3 +87,11 @@ def test_text_helpers(spark):
     assert tuple(r) == ("12.34%", "2.50bn", "1.50K", "999")
     assert df.select(X.percent_text(F.lit(None).cast("double"))).first()[0] is None
     assert math.isclose(X.DAYS_PER_MONTH, 30.4375)
+
+
+def test_integer_column_with_fractional_median(spark):
+    df = spark.createDataFrame([(1, 1), (2, 2), (3, None), (4, 3), (5, 4)], "id int, k int")
+    vals = E.imputation_values(df, exclude=("id",))
+    assert vals == {"k": 2.5}
+    out = {r["id"]: r["k"] for r in E.impute(df, vals).collect()}
+    assert out[3] == 2.5 and out[1] == 1.0

@@ -44,27 +44,84 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in exclude]
 
 
-def imputation_values(df: DataFrame, exclude: Sequence[str] = (), median_method: str = "exact") -> dict:
-    """FE6/FE7 statistics: median of every numeric column (all-NULL -> 0) and the mode of every
-    string column (ties -> smallest; all-NULL -> left untouched). One aggregation job; the
-    collected row has one value per column."""
+def _bracket_medians(df: DataFrame, cols: list[str], approx: dict, counts: dict, accuracy: int) -> dict[str, float]:
+    """Exact medians from approximate brackets: one pass counts the rows below each bracket and
+    builds a (value, count) histogram inside it -- bounded by the sketch accuracy (about
+    6 n / accuracy distinct values per column, however often a value repeats) -- and the
+    driver walks it to the middle ranks. Falls back to ``median`` for a column whose bracket
+    misses the middle (not expected; guards the sketch's error bound)."""
+    live = [c for c in cols if counts[c] > 0 and approx[c] is not None]
+    out: dict[str, float] = {c: None for c in cols}
+    if not live:
+        return out
+    xs = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in live}
+    below = df.agg(*[F.count_if(xs[c] < F.lit(approx[c][0])).alias(f"b{i}") for i, c in enumerate(live)]).first()
+    inside = df.select(*[F.when((xs[c] >= F.lit(approx[c][0])) & (xs[c] <= F.lit(approx[c][1])), xs[c]).alias(f"c{i}")
+                         for i, c in enumerate(live)])
+    hist = (inside.unpivot([], [f"c{i}" for i in range(len(live))], "col", "value").where(F.col("value").isNotNull())
+            .groupBy("col", "value").agg(F.count(F.lit(1)).alias("k")).collect())
+    per: dict[str, list] = {}
+    for r in hist:
+        per.setdefault(r["col"], []).append((r["value"], r["k"]))
+    fallback = []
+    for i, c in enumerate(live):
+        n = counts[c]
+        lo_rank, hi_rank = (n - 1) // 2, n // 2
+        rank = below[f"b{i}"]
+        vals = sorted(per.get(f"c{i}", []))
+        a = b = None
+        for v, k in vals:
+            if a is None and rank + k > lo_rank:
+                a = v
+            if rank + k > hi_rank:
+                b = v
+                break
+            rank += k
+        if a is None or b is None or below[f"b{i}"] > lo_rank:
+            fallback.append(c)
+        else:
+            out[c] = (a + b) / 2.0
+    if fallback:
+        row = df.agg(*[F.median(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(fallback)]).first()
+        for i, c in enumerate(fallback):
+            out[c] = row[f"m{i}"]
+    return out
+
+
+def imputation_values(
+    df: DataFrame, exclude: Sequence[str] = (), median_method: str = "exact", accuracy: int = 10000
+) -> dict:
+    """FE6/FE7 statistics: median of every numeric column with gaps (all-NULL -> 0) and the mode
+    of every string column (ties -> smallest; all-NULL -> left untouched).
+
+    One aggregation gives counts, gap counts, modes and approximate median brackets; with
+    ``median_method='exact'`` a second pass makes the medians exact (``_bracket_medians``),
+    matching the interpolated median of the reference."""
     nums, strs = numeric_columns(df, exclude), string_columns(df, exclude)
     if not nums and not strs:
         return {}
+    eps = 1.0 / accuracy
+    probs = [max(0.0, 0.5 - 3 * eps), 0.5, min(1.0, 0.5 + 3 * eps)]
 
-    def med(c: str):
-        x = F.col(c).cast("double")
-        return F.median(x) if median_method == "exact" else F.percentile_approx(x, 0.5, 100000)
+    def x(c: str):
+        return F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
 
     row = df.agg(
-        *[F.coalesce(med(c), F.lit(0.0)).alias(f"n_{i}") for i, c in enumerate(nums)],
+        *[F.count(x(c)).alias(f"k_{i}") for i, c in enumerate(nums)],
+        *[F.percentile_approx(x(c), probs, accuracy).alias(f"q_{i}") for i, c in enumerate(nums)],
         *[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(f"g_{i}") for i, c in enumerate(nums)],
         *[F.mode(F.col(c), True).alias(f"s_{i}") for i, c in enumerate(strs)],
     ).first()
+    gappy = [c for i, c in enumerate(nums) if row[f"g_{nums.index(c)}"] > 0]
+    counts = {c: row[f"k_{nums.index(c)}"] for c in gappy}
+    quant = {c: row[f"q_{nums.index(c)}"] for c in gappy}
+    if median_method == "exact":
+        med = _bracket_medians(df, gappy, {c: (q[0], q[2]) if q else None for c, q in quant.items()}, counts, accuracy)
+    else:
+        med = {c: (q[1] if q else None) for c, q in quant.items()}
     values: dict = {}
-    for i, c in enumerate(nums):
-        if row[f"g_{i}"] > 0:  # filling a column without gaps is a no-op (and keeps its type)
-            values[c] = float(row[f"n_{i}"])
+    for c in gappy:  # filling a column without gaps is a no-op (and keeps its type)
+        values[c] = float(med[c]) if med[c] is not None else 0.0
     for i, c in enumerate(strs):
         if row[f"s_{i}"] is not None:
             values[c] = row[f"s_{i}"]

@@ -4,8 +4,9 @@ Rows are ordered inside each class by ``md5(key || '|' || seed)``; the first
 ``round(n_y * test_size)`` rows of class y are test, the next ``round((n_y - test_y) * val_size)``
 validation, the rest train. The rank is computed in two levels so no window ever holds a whole
 class: counts per (class, hash prefix) give offsets (a table of at most classes x 16^prefix
-rows -- 131,072 for two classes and 4 hex digits -- broadcast), then ``row_number`` runs inside
-each (class, prefix) group, about rows / 65,536 per group.
+rows -- 8,192 for two classes and 3 hex digits -- broadcast), then ``row_number`` runs inside
+each (class, prefix) group: about rows / 8,192 rows per group (~10^7 at 10^11 rows; pass
+``prefix_len=4`` beyond that).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def stratified_split(
     test_size: float = 0.20,
     val_size: float = 0.25,
     random_state: int = 42,
-    prefix_len: int = 4,
+    prefix_len: int = 3,
     split_col: str = "split",
 ) -> DataFrame:
     """SPL1: add ``split`` in {'train', 'val', 'test'}, class shares kept."""

@@ -95,3 +95,19 @@ def test_integer_column_with_fractional_median(spark):
     assert vals == {"k": 2.5}
     out = {r["id"]: r["k"] for r in E.impute(df, vals).collect()}
     assert out[3] == 2.5 and out[1] == 1.0
+
+
+def test_bracket_median_exact_with_hot_value(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=30001)
+    x[: 10000] = 0.123  # a third of the rows share one value
+    x[5:40] = np.nan
+    df = spark.createDataFrame([(i, None if np.isnan(v) else float(v)) for i, v in enumerate(x)], "id int, x double")
+    for acc in (10000, 100):
+        got = E.imputation_values(df, exclude=("id",), accuracy=acc)["x"]
+        assert got == float(np.nanmedian(x))
+    even = df.where("id % 2 = 0 OR x IS NULL")
+    ev = np.array([r["x"] for r in even.collect() if r["x"] is not None])
+    assert E.imputation_values(even, exclude=("id",))["x"] == float(np.median(ev))

@@ -109,6 +109,7 @@ def running_totals(
     blocks: int = 64,
     with_next: bool = False,
     direct_max_rows: int | None = None,
+    known_largest: int | None = None,
 ) -> DataFrame:
     """Inclusive running sums ``cum_<c>`` of ``sum_cols`` ordered by ``order_col`` within
     ``group_cols``, and group totals ``tot_<c>``. ``df`` must be distinct on
@@ -120,8 +121,11 @@ def running_totals(
     blocks so no task holds a whole group."""
     group_cols = list(group_cols)
     limit = DIRECT_WINDOW_MAX_ROWS if direct_max_rows is None else direct_max_rows
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rows")) if group_cols else df.agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    if known_largest is None:
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rows")) if group_cols else df.agg(F.count(F.lit(1)).alias("_rows"))
+        largest = sizes.agg(F.max("_rows")).first()[0] or 0
+    else:
+        largest = known_largest
     if largest <= limit:
         return _direct_running_totals(df, order_col, sum_cols, group_cols, descending, with_next)
     ordered = F.col(order_col).cast("double")

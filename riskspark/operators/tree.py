@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.operators.cumulative import running_totals
+from riskspark.operators.cumulative import DIRECT_WINDOW_MAX_ROWS, running_totals
 from riskspark.session import checkpoint_dir
 
 
@@ -48,7 +48,7 @@ def _leaf_expr(cuts: dict[str, list[float]]) -> F.Column:
     return F.size(F.filter(arr, lambda c: F.col("value") > c))
 
 
-def _candidates(hist: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+def _candidates(hist: DataFrame, cuts: dict[str, list[float]], direct: bool = False) -> DataFrame:
     """Every legal split position with its gain, for all features and leaves.
 
     ``hist`` carries per-feature running sums in value order (``cum_n``, ``cum_good``) and the
@@ -58,13 +58,19 @@ def _candidates(hist: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     most features x max_leaves rows, broadcast back — and no window at all. The last value of a
     leaf is never legal (its right side is empty), so the feature-level next value is exact."""
     h = hist.withColumn("leaf", _leaf_expr(cuts))
-    leaves = h.groupBy("feature", "leaf").agg(
-        F.min(F.col("cum_n") - F.col("n")).alias("_on"),
-        F.min(F.col("cum_good") - F.col("good")).alias("_og"),
-        F.sum("n").alias("_tn"),
-        F.sum("good").alias("_tg"),
-    )
-    j = h.join(F.broadcast(leaves), ["feature", "leaf"])
+    if direct:  # every feature was checked to fit one task: leaf statistics by window
+        w = Window.partitionBy("feature", "leaf")
+        j = h.select("*", F.min(F.col("cum_n") - F.col("n")).over(w).alias("_on"),
+                     F.min(F.col("cum_good") - F.col("good")).over(w).alias("_og"),
+                     F.sum("n").over(w).alias("_tn"), F.sum("good").over(w).alias("_tg"))
+    else:
+        leaves = h.groupBy("feature", "leaf").agg(
+            F.min(F.col("cum_n") - F.col("n")).alias("_on"),
+            F.min(F.col("cum_good") - F.col("good")).alias("_og"),
+            F.sum("n").alias("_tn"),
+            F.sum("good").alias("_tg"),
+        )
+        j = h.join(F.broadcast(leaves), ["feature", "leaf"])
     # Staged projections keep every expression small (the expanded gain formula would otherwise
     # exceed the code-generation size limit and run interpreted).
     s1 = j.select(
@@ -116,14 +122,18 @@ def tree_cuts(
     if not features:
         return {}
     checkpoint_dir(df.sparkSession)
-    hist = running_totals(value_histogram(df, features, target), "value", ["n", "good"], ["feature"],
-                          blocks=blocks, with_next=True, direct_max_rows=direct_max_rows)
     # The histogram (bounded by distinct values, far smaller than the rows) is written once to the
-    # shared checkpoint folder: every round then plans against a short lineage and survives the
-    # loss of an executor.
+    # shared checkpoint folder, and again with its running sums: every round then plans against a
+    # short lineage and survives the loss of an executor.
+    raw = value_histogram(df, features, target).checkpoint(eager=True)
+    stats = raw.groupBy("feature").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("N")).collect()
+    limit = DIRECT_WINDOW_MAX_ROWS if direct_max_rows is None else direct_max_rows
+    direct = max((r["rows"] for r in stats), default=0) <= limit
+    hist = running_totals(raw, "value", ["n", "good"], ["feature"], blocks=blocks, with_next=True,
+                          direct_max_rows=limit, known_largest=max((r["rows"] for r in stats), default=0))
     hist = hist.checkpoint(eager=True)
     try:
-        totals = {r["feature"]: r["N"] for r in hist.groupBy("feature").agg(F.max("tot_n").alias("N")).collect()}
+        totals = {r["feature"]: r["N"] for r in stats}
         if isinstance(min_samples_leaf, float) and min_samples_leaf < 1.0:
             min_leaf = {f: max(1, math.ceil(min_samples_leaf * totals.get(f, 0))) for f in features}
         else:
@@ -133,7 +143,7 @@ def tree_cuts(
         cuts: dict[str, list[float]] = {f: [] for f in features}
         rounds = (max_leaves - 1) if max_depth is None else max_depth
         for _ in range(max(0, rounds)):
-            cand = _candidates(hist, cuts)
+            cand = _candidates(hist, cuts, direct)
             order = F.struct(F.col("gain"), -F.col("value"))
             pick = F.max_by(F.struct("value", "next_value", "gain"), order).alias("best")
             if max_depth is None:

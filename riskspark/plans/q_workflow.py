@@ -59,9 +59,11 @@ def wf3_stream(spark, sf):
 def src1(spark, sf):
     """Loans written as gzip CSV and read back with inferred types (SNK1 + SRC1)."""
     path = io.scratch_path(spark, "loans-csv")
-    (fx.loans(spark, sf).write.option("header", True).option("compression", "gzip")
+    loans = fx.loans(spark, sf)
+    (loans.write.option("header", True).option("compression", "gzip")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-    return io.load_raw_data(spark, path)
+    # explicit schema (SRC1 option) keeps the result schema stable; inference is the default
+    return io.load_raw_data(spark, path, schema=loans.schema)
 
 
 @register("src2_sample_rows", W() + "SELECT * FROM loans ORDER BY md5(CAST(id AS VARCHAR) || '|' || '42'), id LIMIT 1000")
@@ -73,8 +75,9 @@ def src2(spark, sf):
 def snk1(spark, sf):
     from riskspark.plans.q_score import mst3
 
-    path = io.write_csv(mst3(spark, sf), io.scratch_path(spark, "deciles"))
-    return io.read_csv(spark, path)
+    table = mst3(spark, sf)
+    path = io.write_csv(table, io.scratch_path(spark, "deciles"))
+    return io.read_csv(spark, path, schema=table.schema)
 
 
 @register("snk3_read_decile_report", ORACLES["mst4_decile_pd"].replace(
@@ -85,7 +88,7 @@ def snk3(spark, sf):
 
     t = mst4(spark, sf).select("decile", "volume", F.col("actual_bad_rate").alias("bad_rate"))
     path = io.write_csv(t, io.scratch_path(spark, "decile-report"))
-    return io.read_decile_report(spark, path)
+    return io.read_decile_report(spark, path, schema=t.schema)
 
 
 @register("snk2_model_roundtrip")

@@ -84,10 +84,10 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
-def read_decile_report(spark: SparkSession, path: str) -> DataFrame:
+def read_decile_report(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """SNK3: read a saved decile table; the bad-rate column may be named ``actual_bad_rate`` or
     ``bad_rate``; returned as ``actual_bad_rate``."""
-    df = read_csv(spark, path)
+    df = read_csv(spark, path, schema)
     if "actual_bad_rate" in df.columns:
         return df
     if "bad_rate" in df.columns:

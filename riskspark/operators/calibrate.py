@@ -11,13 +11,19 @@ from riskspark.functions.exprs import clip, linspace, right_closed_bin
 
 def fit_isotonic(df: DataFrame, x: str, y: str, weight: str | None = None) -> IsotonicRegressionModel:
     """CAL1: increasing isotonic regression of y on x (pool-adjacent-violators; equal x pooled).
-    Spark runs PAVA per partition and once more on the reduced blocks."""
-    est = IsotonicRegression(featuresCol=x, labelCol=y, predictionCol="_iso", isotonic=True)
-    if weight:
-        est = est.setWeightCol(weight)
-    src = df.select(F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y),
-                    *([F.col(weight).cast("double").alias(weight)] if weight else []))
-    return est.fit(src.where(F.col(x).isNotNull() & F.col(y).isNotNull()))
+
+    Rows are first pooled per distinct x (weighted mean label, summed weight) with a partial
+    aggregation: the fit is identical, and Spark ML's sort and PAVA then run on distinct x
+    values instead of rows."""
+    xs = F.col(x).cast("double")
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    pooled = (
+        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+        .groupBy(xs.alias("_x"))
+        .agg((F.sum(F.col(y).cast("double") * w) / F.sum(w)).alias("_y"), F.sum(w).alias("_w"))
+    )
+    est = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="_iso", isotonic=True)
+    return est.fit(pooled)
 
 
 def isotonic_boundaries(model: IsotonicRegressionModel) -> DataFrame:

@@ -49,3 +49,16 @@ def test_missing_file_raises(spark):
         io.load_raw_data(spark, "/nonexistent/loans.csv.gz")
     with pytest.raises(FileNotFoundError):
         WF.load_artifacts(spark, "/nonexistent/scorecard")
+
+
+def test_cli_runs_on_a_csv(spark):
+    from riskspark import cli
+
+    src = io.scratch_path(spark, "t-cli-csv")
+    (fx.loans(spark, SF_SMALL).write.option("header", True).option("compression", "gzip")
+        .option("ignoreLeadingWhiteSpace", False).csv(src))
+    out = io.scratch_path(spark, "t-cli-out")
+    summary = cli.main(["--data", src, "--output-dir", out, "--sample-size", "1200"], spark=spark)
+    assert summary["n_features"] >= 1
+    assert any(k.startswith("optimal_cutoff[Baseline (LGD=45%)") for k in summary)
+    assert spark.read.option("header", True).csv(f"{out}/decile_table").count() > 0

@@ -213,27 +213,29 @@ def _value_tree(x: Column, cuts: Sequence[float], values: Sequence[float | None]
 
 
 def collect_mappings(bin_table: DataFrame, value_col: str = "woe", max_literal: int = MAX_LITERAL_CATEGORIES):
-    """Bounded driver-side mappings: numeric cuts and values per feature, categorical maps up to
-    ``max_literal`` categories; larger categorical features are returned by name for the join
-    path (their mapping stays distributed)."""
+    """Bounded driver-side mappings in one job: numeric cuts and values per feature, and
+    categorical maps up to ``max_literal`` categories. A larger categorical feature sends one
+    marker row only and is returned by name for the join path (its mapping stays distributed)."""
     valid = bin_table.where("valid")
-    sizes = {r["feature"]: (r["kind"], r["n"]) for r in valid.groupBy("feature", "kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [f for f, (k, n) in sizes.items() if k == "num" or n <= max_literal]
-    big = [f for f, (k, n) in sizes.items() if k == "cat" and n > max_literal]
-    numeric, categorical = {}, {}
-    if small:
-        rows = valid.where(F.col("feature").isin(small)).select("feature", "kind", "bin_id", "hi", "category", value_col).collect()
-        for r in rows:
-            if r["kind"] == "num":
-                numeric.setdefault(r["feature"], []).append((r["bin_id"], r["hi"], r[value_col]))
-            else:
-                categorical.setdefault(r["feature"], {})[r["category"]] = r[value_col]
+    per_feature = Window.partitionBy("feature")  # the bins/categories of one feature
+    tagged = valid.select("feature", "kind", "bin_id", "hi", "category", F.col(value_col).alias("_v"),
+                          F.count(F.lit(1)).over(per_feature).alias("_n"),
+                          F.row_number().over(per_feature.orderBy("category", "bin_id")).alias("_r"))
+    rows = tagged.where((F.col("kind") == "num") | (F.col("_n") <= max_literal) | (F.col("_r") == 1)).collect()
+    numeric, categorical, big = {}, {}, {}
+    for r in rows:
+        if r["kind"] == "num":
+            numeric.setdefault(r["feature"], []).append((r["bin_id"], r["hi"], r["_v"]))
+        elif r["_n"] <= max_literal:
+            categorical.setdefault(r["feature"], {})[r["category"]] = r["_v"]
+        else:
+            big[r["feature"]] = r["_n"]
     num_spec = {}
     for f, items in numeric.items():
         items.sort()
         cuts = [hi for _, hi, _ in items[:-1]]
         num_spec[f] = (cuts, [v for _, _, v in items])
-    return num_spec, categorical, {f: sizes[f][1] for f in big}
+    return num_spec, categorical, big
 
 
 def transform_woe(

@@ -53,8 +53,9 @@ def fit(spark: SparkSession, cfg: ScorecardConfig, prepared: DataFrame) -> dict:
     unsupported = [f for f, k in kinds.items() if k == "unsupported"]
     train = prepared.where(F.col("split") == "train")
     cuts = TR.tree_cuts(train, numeric, y, cfg.max_bins, cfg.min_samples_leaf)
-    bins = WO.fit_woe(train, y, cuts, categorical).checkpoint()
-    iv = WO.iv_summary(bins, unsupported).checkpoint()
+    # small results (bins x features) over the checkpointed prepared table: cached, recomputable
+    bins = WO.fit_woe(train, y, cuts, categorical).cache()
+    iv = WO.iv_summary(bins, unsupported).cache()
     enc = WO.transform_woe(prepared, bins, keep=[key, y, "split"])
     enc_train = enc.where(F.col("split") == "train")
     chosen = SE.select_features(enc_train, iv, cfg.iv_min, cfg.iv_max, cfg.corr_threshold).orderBy("rank").collect()

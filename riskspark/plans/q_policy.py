@@ -234,8 +234,7 @@ def pol10_summary(spark, sf):
     return P.scenario_summary(rounded(_sweep(spark, sf), STRATEGY_RATIOS, STRATEGY_MONEY))
 
 
-@register("pol11_scenario_labels", _SWEEP2.replace("SELECT sc.scenario_order", "SELECT DISTINCT sc.scenario_order, sc.Scenario AS label --", 1).split("--")[0]
-          + " FROM sc")
+@register("pol11_scenario_labels", f"SELECT DISTINCT scenario_order, Scenario AS label FROM ({_SWEEP2})")
 def pol11(spark, sf):
     labels = {P.scenario_label("Baseline", 0.45): 0.45, P.scenario_label("Stressed", 0.70): 0.70}
     return _sweep(spark, sf, labels).select("scenario_order", F.col("Scenario").alias("label")).distinct()

@@ -9,8 +9,8 @@ from riskspark.operators import calibrate as CA
 from riskspark.operators import metrics as M
 from riskspark.operators import scorecard as SC
 from riskspark.operators import woe as WO
-from riskspark.plans.catalog import ORACLES, register, rounded
-from riskspark.plans.q_woe import _TRANSFORM_CUTS, BIN_RATIOS, CATEGORICAL, T
+from riskspark.plans.catalog import register, rounded
+from riskspark.plans.q_woe import _TRANSFORM_CUTS, BIN_RATIOS, CATEGORICAL, T, transform_oracle_ctes
 from riskspark.plans.q_prep import engineered
 from riskspark.sources import fixtures as fx
 
@@ -32,7 +32,7 @@ def _encoded(spark, sf):
 
 
 def _woe_sql() -> str:
-    return f"({ORACLES['woe7_transform']})"
+    return f"({W(*transform_oracle_ctes())} SELECT * FROM we)"
 
 
 _LOGIT_SQL = f"{INTERCEPT!r}e0 + " + " + ".join(f"{b!r}e0 * {f}" for f, b in COEFS.items())
@@ -60,10 +60,9 @@ def scl4(spark, sf):
 
 
 def _bt_sql(select: str) -> str:
-    """The woe7 oracle's bin table (``bt``) with another final select."""
-    text = ORACLES["woe7_transform"]
-    head = text[: text.index(", wn AS (")]
-    return head + select
+    """The woe7 oracle's CTEs (source ``e``, bin table ``bt``, encoded ``we``) with another final
+    select (which may continue the WITH list)."""
+    return W(*transform_oracle_ctes()) + select
 
 
 _COEF_VALUES = ", ".join(f"('{f}', {b!r}e0)" for f, b in COEFS.items())
@@ -126,14 +125,14 @@ def mst2(spark, sf):
     return SC.master_scale_legacy(fx.scored(spark, sf))
 
 
-_DECILE_CTE = """
+DECILE_CTE = """
 , q AS (SELECT quantile_cont(CAST(score AS DOUBLE), [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS qs FROM scored),
 inner_e AS (SELECT DISTINCT e FROM (SELECT unnest(qs) AS e FROM q) WHERE e > (SELECT list_min(qs) FROM q) AND e < (SELECT list_max(qs) FROM q)),
 d AS (SELECT s.*, CAST((SELECT count(*) FROM inner_e WHERE e < s.score) AS INTEGER) AS decile FROM scored s)
 """
 
 
-@register("mst3_decile_table", W() + _DECILE_CTE + """
+@register("mst3_decile_table", W() + DECILE_CTE + """
 , a AS (SELECT decile, min(score) AS min_score, max(score) AS max_score, count(*) AS volume, sum(target) AS good_count,
           sum(1 - target) AS bad_count, avg(1 - target) AS actual_bad_rate FROM d GROUP BY decile),
 c AS (SELECT *, CASE WHEN sum(bad_count) OVER () > 0 THEN sum(bad_count) OVER (ORDER BY decile) / sum(bad_count) OVER () ELSE 0 END AS cb,
@@ -144,7 +143,7 @@ def mst3(spark, sf):
     return rounded(SC.decile_table(fx.scored(spark, sf)), ("actual_bad_rate", "cum_bad_rate", "cum_good_rate", "ks_decile"))
 
 
-@register("mst4_decile_pd", W() + _DECILE_CTE + """
+@register("mst4_decile_pd", W() + DECILE_CTE + """
 SELECT decile, CAST(count(*) AS BIGINT) AS volume, round(1 - avg(target), 6) AS actual_bad_rate, round(avg(pd), 6) AS avg_pd FROM d GROUP BY decile""")
 def mst4(spark, sf):
     return rounded(SC.decile_pd(fx.scored(spark, sf)), ("actual_bad_rate", "avg_pd"))

@@ -157,24 +157,7 @@ def woe10(spark, sf):
 
 
 _TRANSFORM_CUTS = {k: GIVEN_CUTS[k] for k in ("loan_amnt", "annual_inc")}
-
-
-@register("woe7_transform", _bin_table_oracle(_ENG, "e", _TRANSFORM_CUTS, CATEGORICAL, select=f"""
-, wn AS (SELECT e.id, bt.feature, bt.woe FROM e JOIN bt ON bt.kind = 'num' AND
-          ((bt.feature = 'loan_amnt' AND e.loan_amnt > bt.lo AND e.loan_amnt <= bt.hi) OR
-           (bt.feature = 'annual_inc' AND e.annual_inc > bt.lo AND e.annual_inc <= bt.hi)))
-SELECT e.id,
-  coalesce((SELECT woe FROM bt WHERE feature = 'purpose' AND category = coalesce(e.purpose, 'nan')), 0e0) AS purpose,
-  coalesce((SELECT woe FROM bt WHERE feature = 'grade' AND category = coalesce(e.grade, 'nan')), 0e0) AS grade,
-  coalesce((SELECT woe FROM bt WHERE feature = 'title' AND category = coalesce(e.title, 'nan')), 0e0) AS title,
-  coalesce((SELECT woe FROM wn WHERE wn.id = e.id AND wn.feature = 'loan_amnt'), 0e0) AS loan_amnt,
-  coalesce((SELECT woe FROM wn WHERE wn.id = e.id AND wn.feature = 'annual_inc'), 0e0) AS annual_inc
-FROM e""").replace("SELECT * FROM bt", "").replace("bt AS (", "bt AS (SELECT * FROM (", 1).replace(" FROM wt)", " FROM wt))", 1))
-def woe7(spark, sf):
-    df = engineered(spark, sf)
-    bt = WO.fit_woe(df, T, _TRANSFORM_CUTS, CATEGORICAL)
-    bt = rounded(bt, BIN_RATIOS).cache()
-    return WO.transform_woe(df, bt, keep=["id"], features=["purpose", "grade", "title", "loan_amnt", "annual_inc"])
+_TRANSFORM_FEATURES = ["purpose", "grade", "title", "loan_amnt", "annual_inc"]
 
 
 @register("woe8_iv_summary", _bin_table_oracle(_ENG, "e", GIVEN_CUTS, CATEGORICAL,
@@ -231,17 +214,16 @@ def sql_woe_select(numeric_cuts: dict, categorical: list[str], src: str = "e", e
     return f"SELECT {src}.id{extra}, {', '.join(cols)} FROM {src}"
 
 
-def woe_encoded_oracle(numeric_cuts: dict, categorical: list[str], extra: str = "") -> tuple[list[str], str]:
+def woe_encoded_oracle(numeric_cuts: dict, categorical: list[str], extra: str = "") -> list[str]:
     """CTE list (source ``e`` .. ``bt``, then ``we`` = WoE-encoded rows) for selection oracles."""
     parts, body = sql_bin_table("e", T, numeric_cuts, categorical)
     ctes = [*_ENG, *parts, f"bt AS ({body})", f"we AS ({sql_woe_select(numeric_cuts, categorical, extra=extra)})"]
     return ctes
 
 
-@register("bin4_equal_width_bins", W(CLEAN_CTE, *_equal_width_sql("installment", 8)) + """
-SELECT c.id, CAST(bn.bin AS INTEGER) AS bin FROM (SELECT id, installment FROM c WHERE installment IS NOT NULL) c
-JOIN (SELECT b.*, c2.id FROM (SELECT c.id AS id, (SELECT count(*) FROM ed WHERE ed.i BETWEEN 1 AND 7 AND c.installment > ed.e) AS bin FROM c
-      WHERE c.installment IS NOT NULL) b JOIN c c2 ON c2.id = b.id) bn ON bn.id = c.id""")
+@register("bin4_equal_width_bins", W(CLEAN_CTE, *_equal_width_sql("installment", 8)[:2]) + """
+SELECT id, CAST((SELECT count(*) FROM ed WHERE ed.i BETWEEN 1 AND 7 AND c.installment > ed.e) AS INTEGER) AS bin
+FROM c WHERE installment IS NOT NULL""")
 def bin4(spark, sf):
     """BIN4: equal-width bin of every row (8 bins over [min, max], lowest edge lowered by 0.1 %)."""
     from riskspark.functions.exprs import right_closed_bin
@@ -249,3 +231,17 @@ def bin4(spark, sf):
     df = _cleaned_loans(spark, sf).where(F.col("installment").isNotNull())
     edges = WO.equal_width_edges(df, "installment", 8)
     return df.select("id", right_closed_bin("installment", edges[1:-1]).alias("bin"))
+
+
+def transform_oracle_ctes() -> list[str]:
+    """CTEs of the woe7 oracle: engineered source ``e``, bin table ``bt`` (and its parts) and the
+    encoded rows ``we``; reused by the scorecard oracles."""
+    return woe_encoded_oracle(_TRANSFORM_CUTS, CATEGORICAL)
+
+
+@register("woe7_transform", W(*transform_oracle_ctes()) + "SELECT * FROM we")
+def woe7(spark, sf):
+    df = engineered(spark, sf)
+    bt = WO.fit_woe(df, T, _TRANSFORM_CUTS, CATEGORICAL)
+    bt = rounded(bt, BIN_RATIOS).cache()
+    return WO.transform_woe(df, bt, keep=["id"], features=["purpose", "grade", "title", "loan_amnt", "annual_inc"])

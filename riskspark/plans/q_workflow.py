@@ -8,6 +8,7 @@ from riskspark.config import ScorecardConfig
 from riskspark.operators import scorecard as SC
 from riskspark.plans import workflow as WF
 from riskspark.plans.catalog import ORACLES, register, rounded
+from riskspark.plans.q_score import DECILE_CTE
 from riskspark.sources import fixtures as fx
 from riskspark.sources import io
 from riskspark.streaming import scoring as ST
@@ -80,9 +81,8 @@ def snk1(spark, sf):
     return io.read_csv(spark, path, schema=table.schema)
 
 
-@register("snk3_read_decile_report", ORACLES["mst4_decile_pd"].replace(
-    "SELECT decile, CAST(count(*) AS BIGINT) AS volume, round(1 - avg(target), 6) AS actual_bad_rate, round(avg(pd), 6) AS avg_pd",
-    "SELECT decile, CAST(count(*) AS BIGINT) AS volume, round(1 - avg(target), 6) AS actual_bad_rate"))
+@register("snk3_read_decile_report", W() + DECILE_CTE + """
+SELECT decile, CAST(count(*) AS BIGINT) AS volume, round(1 - avg(target), 6) AS actual_bad_rate FROM d GROUP BY decile""")
 def snk3(spark, sf):
     from riskspark.plans.q_score import mst4
 

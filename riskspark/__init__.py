@@ -5,7 +5,7 @@ coefficients, isotonic boundaries) are collected only when their size is bounded
 number of bins, features or distinct integer scores.
 """
 
-from riskspark.config import ScorecardConfig
+from riskspark.config import ScorecardConfig  # noqa: F401  (re-export)
 
 __all__ = ["ScorecardConfig"]
 __version__ = "0.1.0"

@@ -13,7 +13,7 @@ from riskspark.operators import tree as TR
 from riskspark.operators import woe as WO
 from riskspark.plans.catalog import register, rounded
 from riskspark.plans.q_prep import _ENG_CTES as ENG, engineered
-from riskspark.plans.q_woe import BIN_RATIOS, CATEGORICAL, GIVEN_CUTS, T, sql_bin_table, woe_encoded_oracle
+from riskspark.plans.q_woe import BIN_RATIOS, CATEGORICAL, GIVEN_CUTS, T, woe_encoded_oracle
 from riskspark.sources import fixtures as fx
 
 W = fx.duckdb_with

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskspark.config import ScorecardConfig
-from riskspark.operators import scorecard as SC
 from riskspark.plans import workflow as WF
-from riskspark.plans.catalog import ORACLES, register, rounded
+from riskspark.plans.catalog import ORACLES, register
 from riskspark.plans.q_score import DECILE_CTE
 from riskspark.sources import fixtures as fx
 from riskspark.sources import io

@@ -124,8 +124,10 @@ def save_artifacts(spark: SparkSession, results: dict, out_dir: str, cfg: Scorec
     """SNK1 + SNK2: small tables as CSV; bin table as Parquet; model and isotonic model with the
     ML writers; coefficients, settings and imputation values as JSON."""
     art = results["_artifacts"]
-    for name in ("points_table", "master_scale", "decile_table", "cutoff_simulation", "scenario_summary"):
+    for name in ("master_scale", "decile_table", "cutoff_simulation", "scenario_summary"):  # <= a few hundred rows
         io.write_csv(results[name], f"{out_dir}/{name}")
+    # one row per bin or category of the model features: large with uncapped categoricals (K25)
+    io.write_csv(results["points_table"], f"{out_dir}/points_table", single_file=False)
     art["bins"].write.mode("overwrite").parquet(f"{out_dir}/bins")
     art["model"].write().overwrite().save(f"{out_dir}/logistic_model")
     art["isotonic"].write().overwrite().save(f"{out_dir}/isotonic_model")

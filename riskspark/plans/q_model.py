@@ -45,10 +45,40 @@ def bin1_two_leaves(spark, sf):
     return _cuts_frame(spark, TR.tree_cuts(engineered(spark, sf), NUMERIC, T, max_leaves=2, min_samples_leaf=0.05))
 
 
-@register("bin1_tree_cuts")
+def _tree_oracle_rounds(features: list[str], rounds: int = 5, min_frac: float = 0.05) -> str:
+    """DuckDB text of the best-first tree: ``rounds`` unrolled CTE rounds over the value
+    histogram. Round r assigns each value to its leaf from the cuts found so far (k_{r-1}),
+    scores every legal split, keeps the best per feature and appends its cut (k_r)."""
+    hist = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value, loan_status_binary AS y FROM e WHERE {f} IS NOT NULL" for f in features)
+    ctes = [*ENG, f"lg AS ({hist})",
+            "h AS (SELECT feature, value, count(*) AS n, sum(y) AS good FROM lg GROUP BY ALL)",
+            f"hs AS (SELECT feature, CAST(ceil({min_frac!r} * sum(n)) AS BIGINT) AS m FROM h GROUP BY feature)",
+            "hc AS (SELECT h.*, sum(n) OVER w AS cn, sum(good) OVER w AS cg, lead(value) OVER (PARTITION BY feature ORDER BY value) AS nv "
+            "FROM h WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
+            "k0 AS (SELECT CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS cut WHERE false)"]
+    gain = ("greatest((gl*gl + (nl-gl)*(nl-gl)) / nl + ((tg-gl)*(tg-gl) + ((tn-nl)-(tg-gl))*((tn-nl)-(tg-gl))) / (tn-nl)"
+            " - (tg*tg + (tn-tg)*(tn-tg)) / tn, 0e0)")
+    for r in range(1, rounds + 1):
+        p = f"k{r - 1}"
+        ctes += [
+            f"l{r} AS (SELECT hc.*, (SELECT count(*) FROM {p} k WHERE k.feature = hc.feature AND hc.value > k.cut) AS leaf FROM hc)",
+            f"s{r} AS (SELECT *, min(cn - n) OVER q AS on_, min(cg - good) OVER q AS og, sum(n) OVER q AS tn, sum(good) OVER q AS tg "
+            f"FROM l{r} WINDOW q AS (PARTITION BY feature, leaf))",
+            f"c{r} AS (SELECT s.feature, s.value, s.nv, s.cn - s.on_ AS nl, s.cg - s.og AS gl, s.tn, s.tg FROM s{r} s JOIN hs USING (feature) "
+            "WHERE s.nv IS NOT NULL AND s.tg > 0 AND s.tg < s.tn AND s.cn - s.on_ >= hs.m AND s.tn - (s.cn - s.on_) >= hs.m)",
+            f"g{r} AS (SELECT feature, value, nv, {gain} AS gain FROM c{r})",
+            f"b{r} AS (SELECT feature, arg_max(value, (gain, -value)) AS v, arg_max(nv, (gain, -value)) AS nv FROM g{r} GROUP BY feature)",
+            f"k{r} AS (SELECT * FROM {p} UNION ALL SELECT feature, CASE WHEN v / 2e0 + nv / 2e0 = nv THEN v ELSE v / 2e0 + nv / 2e0 END FROM b{r})",
+        ]
+    return W(*ctes) + (f"SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY cut) - 1 AS INTEGER) AS cut_index, cut "
+                       f"FROM k{rounds}")
+
+
+@register("bin1_tree_cuts", _tree_oracle_rounds(NUMERIC))
 def bin1(spark, sf):
-    """Best-first tree, <= 6 leaves, >= 5 % of rows per leaf (checked rows-only here and
-    against an independent NumPy tree in tests)."""
+    """Best-first tree, <= 6 leaves, >= 5 % of rows per leaf (also checked against an
+    independent NumPy tree in tests)."""
     return _cuts_frame(spark, TR.tree_cuts(engineered(spark, sf), NUMERIC, T, max_leaves=6, min_samples_leaf=0.05))
 
 
@@ -66,7 +96,39 @@ def bin5(spark, sf):
     return WO.utility_woe_table(df, "annual_inc", T, edges, round_woe=False)
 
 
-@register("woe4_fit_with_tree_bins")
+def _tree_bin_table_oracle() -> str:
+    """Bin table on the SQL tree cuts (``k5``): numeric bin = number of cuts below the value,
+    every interval kept (empty ones too), categorical bins as in WOE1."""
+    tree = _tree_oracle_rounds(NUMERIC)
+    head = tree[: tree.rindex("SELECT feature, CAST(row_number()")]
+    feats = ", ".join(f"('{f}')" for f in NUMERIC)
+    num_long = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, loan_status_binary AS y FROM e" for f in NUMERIC)
+    cat_long = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, coalesce(CAST({f} AS VARCHAR), 'nan') AS category, loan_status_binary AS y FROM e" for f in CATEGORICAL)
+    return head + f"""
+, nf AS (SELECT * FROM (VALUES {feats}) v(feature)),
+bd AS (SELECT feature, cut AS hi, lag(cut) OVER (PARTITION BY feature ORDER BY cut) AS lo FROM k5
+       UNION ALL SELECT nf.feature, 'inf'::DOUBLE, (SELECT max(cut) FROM k5 WHERE k5.feature = nf.feature) FROM nf),
+gr AS (SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY hi) - 1 AS INTEGER) AS bin_id,
+       coalesce(lo, '-inf'::DOUBLE) AS lo, hi FROM bd),
+nl AS (SELECT feature, CAST((SELECT count(*) FROM k5 WHERE k5.feature = u.feature AND u.x > k5.cut) AS INTEGER) AS bin_id, y
+       FROM ({num_long}) u WHERE x IS NOT NULL AND NOT isnan(x)),
+nc AS (SELECT feature, bin_id, count(*) AS total, sum(y) AS good FROM nl GROUP BY ALL),
+cc AS (SELECT feature, category, count(*) AS total, sum(y) AS good FROM ({cat_long}) GROUP BY ALL),
+fl AS (SELECT gr.feature, 'num' AS kind, gr.bin_id, gr.lo, gr.hi, CAST(NULL AS VARCHAR) AS category,
+              coalesce(nc.total, 0) AS total, coalesce(nc.good, 0) AS good FROM gr LEFT JOIN nc USING (feature, bin_id)
+       UNION ALL SELECT feature, 'cat', CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), category, total, good FROM cc),
+fb AS (SELECT *, total - good AS bad FROM fl),
+tt AS (SELECT feature, sum(good) AS G, sum(bad) AS B, count(*) AS k FROM fb GROUP BY feature),
+wt AS (SELECT fb.*, G > 0 AND B > 0 AS valid, (good + 0.5) / (G + 0.5 * k) AS dg, (bad + 0.5) / (B + 0.5 * k) AS db FROM fb JOIN tt USING (feature))
+SELECT feature, kind, bin_id, lo, hi, category, CAST(total AS BIGINT) AS total, CAST(good AS BIGINT) AS good, CAST(bad AS BIGINT) AS bad,
+  round(CASE WHEN valid THEN dg END, 6) AS dist_good, round(CASE WHEN valid THEN db END, 6) AS dist_bad,
+  round(CASE WHEN valid THEN ln(dg / db) END, 6) AS woe, round(CASE WHEN valid THEN (dg - db) * ln(dg / db) END, 6) AS iv,
+  round(CASE WHEN total > 0 THEN bad / total END, 6) AS bad_rate, valid FROM wt"""
+
+
+@register("woe4_fit_with_tree_bins", _tree_bin_table_oracle())
 def woe4_tree(spark, sf):
     df = engineered(spark, sf)
     cuts = TR.tree_cuts(df, NUMERIC, T, max_leaves=6, min_samples_leaf=0.05)

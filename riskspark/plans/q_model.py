@@ -45,7 +45,8 @@ def bin1_two_leaves(spark, sf):
     return _cuts_frame(spark, TR.tree_cuts(engineered(spark, sf), NUMERIC, T, max_leaves=2, min_samples_leaf=0.05))
 
 
-def _tree_oracle_rounds(features: list[str], rounds: int = 5, min_frac: float = 0.05) -> str:
+def _tree_oracle_rounds(features: list[str], rounds: int = 5, min_frac: float = 0.05, min_rows_sql: str | None = None,
+                        per_leaf: bool = False) -> str:
     """DuckDB text of the best-first tree: ``rounds`` unrolled CTE rounds over the value
     histogram. Round r assigns each value to its leaf from the cuts found so far (k_{r-1}),
     scores every legal split, keeps the best per feature and appends its cut (k_r)."""
@@ -53,7 +54,8 @@ def _tree_oracle_rounds(features: list[str], rounds: int = 5, min_frac: float =
         f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS value, loan_status_binary AS y FROM e WHERE {f} IS NOT NULL" for f in features)
     ctes = [*ENG, f"lg AS ({hist})",
             "h AS (SELECT feature, value, count(*) AS n, sum(y) AS good FROM lg GROUP BY ALL)",
-            f"hs AS (SELECT feature, CAST(ceil({min_frac!r} * sum(n)) AS BIGINT) AS m FROM h GROUP BY feature)",
+            (f"hs AS (SELECT feature, CAST(ceil({min_frac!r} * sum(n)) AS BIGINT) AS m FROM h GROUP BY feature)" if min_rows_sql is None
+             else f"hs AS (SELECT feature, CAST({min_rows_sql} AS BIGINT) AS m FROM h GROUP BY feature)"),
             "hc AS (SELECT h.*, sum(n) OVER w AS cn, sum(good) OVER w AS cg, lead(value) OVER (PARTITION BY feature ORDER BY value) AS nv "
             "FROM h WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
             "k0 AS (SELECT CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS cut WHERE false)"]
@@ -65,10 +67,11 @@ def _tree_oracle_rounds(features: list[str], rounds: int = 5, min_frac: float =
             f"l{r} AS (SELECT hc.*, (SELECT count(*) FROM {p} k WHERE k.feature = hc.feature AND hc.value > k.cut) AS leaf FROM hc)",
             f"s{r} AS (SELECT *, min(cn - n) OVER q AS on_, min(cg - good) OVER q AS og, sum(n) OVER q AS tn, sum(good) OVER q AS tg "
             f"FROM l{r} WINDOW q AS (PARTITION BY feature, leaf))",
-            f"c{r} AS (SELECT s.feature, s.value, s.nv, s.cn - s.on_ AS nl, s.cg - s.og AS gl, s.tn, s.tg FROM s{r} s JOIN hs USING (feature) "
+            f"c{r} AS (SELECT s.feature, s.leaf, s.value, s.nv, s.cn - s.on_ AS nl, s.cg - s.og AS gl, s.tn, s.tg FROM s{r} s JOIN hs USING (feature) "
             "WHERE s.nv IS NOT NULL AND s.tg > 0 AND s.tg < s.tn AND s.cn - s.on_ >= hs.m AND s.tn - (s.cn - s.on_) >= hs.m)",
-            f"g{r} AS (SELECT feature, value, nv, {gain} AS gain FROM c{r})",
-            f"b{r} AS (SELECT feature, arg_max(value, (gain, -value)) AS v, arg_max(nv, (gain, -value)) AS nv FROM g{r} GROUP BY feature)",
+            f"g{r} AS (SELECT feature, leaf, value, nv, {gain} AS gain FROM c{r})",
+            (f"b{r} AS (SELECT feature, arg_max(value, (gain, -value)) AS v, arg_max(nv, (gain, -value)) AS nv FROM g{r} "
+             f"GROUP BY feature{', leaf' if per_leaf else ''})"),
             f"k{r} AS (SELECT * FROM {p} UNION ALL SELECT feature, CASE WHEN v / 2e0 + nv / 2e0 = nv THEN v ELSE v / 2e0 + nv / 2e0 END FROM b{r})",
         ]
     return W(*ctes) + (f"SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY cut) - 1 AS INTEGER) AS cut_index, cut "
@@ -82,7 +85,33 @@ def bin1(spark, sf):
     return _cuts_frame(spark, TR.tree_cuts(engineered(spark, sf), NUMERIC, T, max_leaves=6, min_samples_leaf=0.05))
 
 
-@register("bin5_tree_depth_woe")
+def _trunc3(x: str) -> str:
+    d = f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18))"
+    return f"CAST(sign({d}) * floor(abs({d}) * 1000) / 1000 AS DOUBLE)"
+
+
+def _depth_tree_woe_oracle() -> str:
+    tree = _tree_oracle_rounds(["annual_inc"], rounds=4, per_leaf=True,
+                               min_rows_sql="greatest(1, round_even(2000 * (SELECT count(*) FROM e) / 100000e0, 0))")
+    head = tree[: tree.rindex("SELECT feature, CAST(row_number()")]
+    return head + f"""
+, tc AS (SELECT {_trunc3('cut')} AS e FROM k4
+         UNION SELECT {_trunc3('min(annual_inc)')} FROM e UNION SELECT {_trunc3('max(annual_inc)')} FROM e),
+ed AS (SELECT e, CAST(row_number() OVER (ORDER BY e) - 1 AS INTEGER) AS i FROM tc),
+ne AS (SELECT count(*) AS k, min(e) AS e0, max(e) AS e1 FROM ed),
+xb AS (SELECT CAST((SELECT count(*) FROM ed, ne WHERE ed.i BETWEEN 1 AND ne.k - 2 AND x.annual_inc > ed.e) AS INTEGER) AS bin,
+              loan_status_binary AS y FROM e x, ne WHERE x.annual_inc >= ne.e0 AND x.annual_inc <= ne.e1),
+ct AS (SELECT bin, count(*) AS total_count, sum(y) AS event_count FROM xb GROUP BY bin),
+ut AS (SELECT ct.*, total_count - event_count AS non_event_count,
+         (event_count + 0.0001e0) / sum(event_count) OVER () AS er,
+         (total_count - event_count + 0.0001e0) / sum(total_count - event_count) OVER () AS nr FROM ct)
+SELECT ut.bin, lo.e AS lo, hi.e AS hi, CAST(total_count AS BIGINT) AS total_count, CAST(event_count AS BIGINT) AS event_count,
+  CAST(non_event_count AS BIGINT) AS non_event_count, round(er, 6) AS event_rate, round(nr, 6) AS non_event_rate,
+  round(ln(nr / er), 6) AS WOE, round((nr - er) * ln(nr / er), 6) AS IV
+FROM ut JOIN ed lo ON lo.i = ut.bin JOIN ed hi ON hi.i = ut.bin + 1"""
+
+
+@register("bin5_tree_depth_woe", _depth_tree_woe_oracle())
 def bin5(spark, sf):
     """Depth <= 4, >= 2,000 rows per leaf (scaled to the table: 2,000 at 100k rows), cuts and
     edges truncated to 3 dp, eps-WoE table."""
@@ -93,7 +122,8 @@ def bin5(spark, sf):
     ends = df.agg(truncate_decimals(F.min("annual_inc"), 3).alias("a"), truncate_decimals(F.max("annual_inc"), 3).alias("b")).first()
     tcuts = [r[0] for r in spark.createDataFrame([(c,) for c in cuts] or [(0.0,)], "c double").select(truncate_decimals("c", 3)).collect()] if cuts else []
     edges = sorted({ends["a"], *tcuts, ends["b"]})
-    return WO.utility_woe_table(df, "annual_inc", T, edges, round_woe=False)
+    t = WO.utility_woe_table(df, "annual_inc", T, edges, round_woe=False)
+    return rounded(t, ("event_rate", "non_event_rate", "WOE", "IV"))
 
 
 def _tree_bin_table_oracle() -> str:

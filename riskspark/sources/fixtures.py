@@ -72,7 +72,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
-_PERSISTED: dict[tuple, DataFrame] = {}
+_PERSISTED: dict[tuple, str] = {}
 
 
 def persisted(spark: SparkSession, key: tuple, build) -> DataFrame:
@@ -81,13 +81,12 @@ def persisted(spark: SparkSession, key: tuple, build) -> DataFrame:
     back with column pruning and filter pushdown, plan against a short lineage, and the table
     survives executor loss."""
     k = (spark.sparkContext.applicationId, *key)
-    df = _PERSISTED.get(k)
-    if df is None:
+    path = _PERSISTED.get(k)
+    if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/fixture-{key[0]}-{uuid.uuid4().hex[:12]}"
         build().write.mode("overwrite").parquet(path)
-        df = spark.read.parquet(path)
-        _PERSISTED[k] = df
-    return df
+        _PERSISTED[k] = path
+    return spark.read.parquet(path)  # read with the calling session (any session of the context)
 
 
 def _view(df: DataFrame, kind: str, sf_dir: str) -> str:

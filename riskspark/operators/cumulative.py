@@ -8,9 +8,11 @@ Two building blocks used across the library:
   shuffle carries at most ``len(thresholds) + 2`` groups per partition; the prefix/suffix sums
   then run over that tiny table. This replaces an O(rows x thresholds) theta join.
 * ``running_totals`` — exact running sums over an unbounded ordered key (distinct predicted
-  probabilities, histogram values). Rows are cut into value blocks from approximate quantiles,
-  block totals become offsets (a table bounded by groups x blocks, safe to broadcast), and the
-  ordered window runs per (group, block), so no task ever holds a whole group.
+  probabilities, histogram values). The largest group is measured first; groups within the
+  checked bound run as one ordered window each. Beyond it rows are cut into value blocks from
+  approximate quantiles, block totals become offsets (a table bounded by groups x blocks, safe
+  to broadcast), and the ordered window runs per (group, block), so no task holds an unbounded
+  group.
 """
 
 from __future__ import annotations

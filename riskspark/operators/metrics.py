@@ -1,8 +1,9 @@
 """Discrimination and calibration metrics (EVL1-EVL6).
 
 ROC points come from a histogram of distinct predicted values (partial aggregation) whose
-running sums are computed with ``running_totals`` (value blocks + broadcast offsets), so the
-number of distinct probabilities is never held by one task.
+running sums are computed with ``running_totals`` (one ordered window up to a checked size,
+value blocks with broadcast offsets beyond), so an unbounded number of distinct probabilities
+is never held by one task.
 """
 
 from __future__ import annotations

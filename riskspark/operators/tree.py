@@ -7,8 +7,9 @@ round works on that histogram only:
 1. the current cuts of each feature (a bounded literal: at most ``max_leaves - 1`` per feature)
    assign each histogram value to its leaf;
 2. running sums of n and good in value order within each leaf are the feature's running sums
-   (computed once with value blocks and broadcast block offsets, so no task holds a whole
-   feature) minus the leaf's offset, one small grouped aggregation per round;
+   (computed once: one ordered window per feature when every feature's histogram was checked to
+   hold at most ``DIRECT_WINDOW_MAX_ROWS`` values, value blocks with broadcast offsets beyond)
+   minus the leaf's offset, one small per-(feature, leaf) aggregation per round;
 3. every value with a legal split after it (both sides >= min leaf size, leaf impure) gets the
    weighted Gini decrease ``(gL²+bL²)/nL + (gR²+bR²)/nR - (G²+B²)/n``;
 4. the best candidate per feature (best-first growth, BIN1) or per leaf (level-wise growth,

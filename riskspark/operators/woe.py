@@ -3,8 +3,8 @@
 Fitting for all features is one job: each feature becomes a bin index (numeric: a comparison
 tree over its cuts; categorical: the text, NULL -> 'nan'), the columns are unpivoted to
 (feature, bin) and aggregated with partial aggregation, so the shuffle carries at most
-features x bins (or categories) groups per partition. Totals per feature come from a second
-small aggregation joined back by broadcast (bounded by the number of features).
+features x bins (or categories) groups per partition. Totals per feature are a window over
+that small counts table (one group per feature, bounded by its bins or categories).
 
 The result is one **bin table** for every feature:
 ``feature, kind ('num'|'cat'), bin_id, lo, hi, category, total, good, bad, dist_good,

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.session import checkpoint_dir
+from riskspark.session import checkpoint_dir, materialize
 
 
 def balanced_weights(df: DataFrame, target: str, weight_col: str = "weight") -> DataFrame:
@@ -40,7 +40,7 @@ def fit_logistic(
     # The optimiser passes over the training set many times: materialise the projected rows once
     # (shared checkpoint folder; survives executor loss, short lineage for every pass).
     checkpoint_dir(df.sparkSession)
-    vec = vec.select("_features", "_label", "_w").checkpoint(eager=True)
+    vec = materialize(vec.select("_features", "_label", "_w"), "logistic-train")
     w_sum = vec.agg(F.sum("_w")).first()[0]
     lr = LogisticRegression(
         featuresCol="_features", labelCol="_label", weightCol="_w", maxIter=max_iter, tol=tol,

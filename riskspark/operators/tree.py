@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.cumulative import DIRECT_WINDOW_MAX_ROWS, running_totals
-from riskspark.session import checkpoint_dir
+from riskspark.session import checkpoint_dir, materialize
 
 
 def value_histogram(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -124,15 +124,15 @@ def tree_cuts(
         return {}
     checkpoint_dir(df.sparkSession)
     # The histogram (bounded by distinct values, far smaller than the rows) is written once to the
-    # shared checkpoint folder, and again with its running sums: every round then plans against a
+    # shared checkpoint folder (as Parquet), and again with its running sums: every round then plans against a
     # short lineage and survives the loss of an executor.
-    raw = value_histogram(df, features, target).checkpoint(eager=True)
+    raw = materialize(value_histogram(df, features, target), "tree-histogram")
     stats = raw.groupBy("feature").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("N")).collect()
     limit = DIRECT_WINDOW_MAX_ROWS if direct_max_rows is None else direct_max_rows
     direct = max((r["rows"] for r in stats), default=0) <= limit
     hist = running_totals(raw, "value", ["n", "good"], ["feature"], blocks=blocks, with_next=True,
                           direct_max_rows=limit, known_largest=max((r["rows"] for r in stats), default=0))
-    hist = hist.checkpoint(eager=True)
+    hist = materialize(hist, "tree-running-sums")
     try:
         totals = {r["feature"]: r["N"] for r in stats}
         if isinstance(min_samples_leaf, float) and min_samples_leaf < 1.0:

@@ -1,7 +1,7 @@
 """End-to-end workflow (WF1) and scoring with saved artefacts (WF3).
 
-Stages 3-6 (read, clean, engineer, split) are one lazy plan, materialised once with a reliable
-checkpoint because every later stage reuses it. Driver round trips carry only bounded results:
+Stages 3-6 (read, clean, engineer, split) are one lazy plan, written once as Parquet in the shared
+checkpoint folder because every later stage reuses it. Driver round trips carry only bounded results:
 imputation values (one per column), tree cuts (<= max_bins - 1 per feature), the bin table
 (bins and categories), the selected feature list, coefficients and isotonic boundaries.
 """
@@ -26,18 +26,18 @@ from riskspark.operators import select as SE
 from riskspark.operators import split as SP
 from riskspark.operators import tree as TR
 from riskspark.operators import woe as WO
-from riskspark.session import checkpoint_dir
+from riskspark.session import checkpoint_dir, materialize
 from riskspark.sources import io
 
 
 def prepare(spark: SparkSession, cfg: ScorecardConfig, raw: DataFrame) -> tuple[DataFrame, dict]:
-    """CLN5 -> FE8 -> SPL1, materialised with ``checkpoint()`` in the shared checkpoint folder."""
+    """CLN5 -> FE8 -> SPL1, materialised once as Parquet in the shared checkpoint folder."""
     checkpoint_dir(spark)
     cleaned = CL.clean_target_and_leakage(raw, cfg.target_col, cfg.loan_status_mapping, cfg.leakage_cols,
                                           cfg.target_binary_col, keep=(cfg.key_col,))
     shaped = cleaned.transform(EN.engineer_dates).transform(EN.engineer_emp_length).transform(EN.engineer_term)
     split = SP.stratified_split(shaped, cfg.target_binary_col, cfg.key_col, cfg.test_size, cfg.val_size, cfg.random_state)
-    split = split.checkpoint()
+    split = materialize(split, "prepared")
     fit_src = split if cfg.impute_fit_on == "all" else split.where(F.col("split") == "train")
     values = EN.imputation_values(fit_src, exclude=(cfg.key_col, cfg.target_binary_col, "split"), median_method=cfg.median_method)
     return EN.impute(split, values), values
@@ -86,7 +86,7 @@ def run(spark: SparkSession, cfg: ScorecardConfig, raw: DataFrame) -> dict[str,
     key, y = cfg.key_col, cfg.target_binary_col
     test_enc = art["encoded"].where(F.col("split") == "test")
     scored = score(test_enc, cfg, art["intercept"], art["coefficients"], art["isotonic"], [key, y]).withColumnRenamed(y, "target")
-    scored = scored.checkpoint()
+    scored = materialize(scored, "scored-test")
     sweep = PO.compare_lgd_scenarios(scored, cfg.ead, cfg.interest_margin,
                                      PO.workflow_scenarios(cfg.lgd_baseline, cfg.lgd_stressed),
                                      cfg.cutoff_min, cfg.cutoff_max, cfg.cutoff_step)

@@ -45,3 +45,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="riskspark-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts lineage like a reliable checkpoint and survives executor loss, but computes the plan
+    once (an unpersisted eager ``checkpoint()`` computes it twice: for its count and again for
+    the checkpoint files), and later readers get column pruning and filter pushdown."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

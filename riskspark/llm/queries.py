@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import sentencepiece_codec
+from riskspark.llm import html_lineblocks, quality_lines, sentencepiece_codec
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,13 @@ def public_model(name: str) -> str:
 @register("op1_sentencepiece")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, sf_dir, "documents"), public_model("piece_bpe_32k.model"))
+
+
+@register("op2_quality_lines", quality_lines.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lines.verdicts(table(spark, sf_dir, "documents"))
+
+
+@register("op10_html_lineblocks")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_lineblocks.article_text(table(spark, sf_dir, "pages"))

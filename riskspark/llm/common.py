@@ -3,7 +3,9 @@ connected components over an edge table."""
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +17,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's files import the package from here, as the driver
+    does; on a cluster it is installed or given with ``--py-files``, and the path is without effect."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), root) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def only(df: DataFrame, **types: str) -> DataFrame:
     """The named columns alone, cast to their types: further columns of the input, whatever their
     names, cannot clash with an operator's own."""
+    importable(df.sparkSession)
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import html_lineblocks, quality_lines, sentencepiece_codec
+from riskspark.llm import html_lineblocks, langid_ftrl, quality_lines, sentencepiece_codec
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_html_lineblocks")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_lineblocks.article_text(table(spark, sf_dir, "pages"))
+
+
+@register("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid_ftrl.languages(table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import html_lineblocks, langid_ftrl, quality_lines, sentencepiece_codec
+from riskspark.llm import html_lineblocks, langid_ftrl, minhash_tensor, quality_lines, sentencepiece_codec, shard_minimax
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_language_id")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid_ftrl.languages(table(spark, sf_dir, "documents"))
+
+
+@register("op9_shard_minimax")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_minimax.shard(table(spark, sf_dir, "documents"))
+
+
+@register("op3_minhash_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_tensor.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)

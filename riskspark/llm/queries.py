@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import html_lineblocks, langid_ftrl, minhash_tensor, quality_lines, sentencepiece_codec, shard_minimax
+from riskspark.llm import decontaminate, html_lineblocks, langid_ftrl, minhash_tensor, quality_lines, sentencepiece_codec, shard_minimax
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_minhash_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_tensor.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@register("op8_decontaminate", decontaminate.ORACLE)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -68,9 +68,10 @@ def dropped(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines(html: str) -> list[tuple[str, int, int]]:
+def lines(html: str, everything: bool = False) -> list[tuple[str, int, int]]:
     """(text, length without links, article number) of every line; article 0 is outside of any. Where an
-    article begins or ends there are as many empty lines as a window has."""
+    article begins or ends there are as many empty lines as a window has. With ``everything`` the lines of
+    menus, adverts and the like stand among them (scripts and styles never do)."""
     out: list[tuple[str, int, int]] = []
     text: list[str] = []
     linked = at = number = articles = links = 0
@@ -118,7 +119,7 @@ def lines(html: str) -> list[tuple[str, int, int]]:
             stack.append(tag)
             if tag == "body":
                 skip = 0  # an unclosed head ends here
-            if not skip and dropped(tag, m[4], bool(number)):
+            if not skip and (tag == "head" if everything else dropped(tag, m[4], bool(number))):
                 skip = len(stack)
                 if not block:
                     text.append(" ")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import decontaminate, html_lineblocks, langid_ftrl, minhash_tensor, quality_lines, sentencepiece_codec, shard_minimax
+from riskspark.llm import (chat_preference, decontaminate, html_lineblocks, langid_ftrl, minhash_tensor, quality_lines,
+                            sentencepiece_codec, shard_minimax, warc_derive)
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_decontaminate", decontaminate.ORACLE)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op5_chat_preference", chat_preference.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_preference.pairs(table(spark, sf_dir, "conversations"))
+
+
+@register("op6_warc_derive")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_derive.derivatives(table(spark, sf_dir, "pages"))

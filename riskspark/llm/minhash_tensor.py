@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import Stash, components, only
+from riskspark.llm.text_hashes import mix, word_hashes
 
 TABLES, ROWS = 12, 3
 #: Documents and shingles that a block of a cluster holds at most (a single document may be longer).
@@ -42,49 +43,11 @@ BLOCK_DOCS, BLOCK_SHINGLES = 768, 1_000_000
 #: Columns of the comparison matrix at a time.
 COLUMNS = 4096
 
-_rng = np.random.default_rng(20)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_WHITE = np.zeros(256, bool)
-_WHITE[[32, *range(9, 14)]] = True
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    """A fixed bijection of 64-bit numbers that spreads every bit."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def powers(n: int, _kept: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
-    """The first n powers of the base and of its inverse (modulo 2 ** 64)."""
-    if len(_kept.get("p", ())) < n:
-        size = max(1 << 12, 1 << (n - 1).bit_length())
-        for name, base in (("p", _BASE), ("q", _INVERSE)):
-            x = np.full(size, base, np.uint64)
-            x[0] = 1
-            _kept[name] = np.multiply.accumulate(x)
-    return _kept["p"][:n], _kept["q"][:n]
-
-
 def shingles(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles.
-
-    Words are hashed from running sums of byte values times powers of a base, without a loop."""
-    if not text:
-        return np.zeros(0, np.uint64)
-    raw = _LOWER[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]
-    word = ~_WHITE[raw]
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).astype(np.int8)))
-    begin, end = edge[::2], edge[1::2]
-    if not len(begin):
-        return np.zeros(0, np.uint64)
-    p, q = powers(len(raw) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * p[:len(raw)], dtype=np.uint64)])
-    words = mix((sums[end] - sums[begin]) * q[begin] + (end - begin).astype(np.uint64))
+    """Sorted distinct 64-bit hashes of a text's word shingles."""
+    words = word_hashes(text)
+    if not len(words):
+        return words
     k = min(width, len(words))
     h = np.zeros(len(words) - k + 1, np.uint64)
     for i in range(k):
@@ -108,7 +71,7 @@ def keys(signature: np.ndarray, tables: int, rows: int) -> np.ndarray:
     for i in range(rows):
         groups = mix(groups * np.uint64(5) + parts[:, :, i])
     pair = np.arange(tables * tables, dtype=np.uint64)
-    return mix(np.repeat(groups[0], tables) * np.uint64(3) + np.tile(groups[1], tables) + pair * _BASE).view(np.int64)
+    return mix(np.repeat(groups[0], tables) * np.uint64(3) + np.tile(groups[1], tables) + pair * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
 def least_agreement(similarity: float, n: int) -> int:

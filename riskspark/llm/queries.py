@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.llm import (chat_preference, decontaminate, html_lineblocks, langid_ftrl, minhash_tensor, quality_lines,
-                            sentencepiece_codec, shard_minimax, warc_derive)
+from riskspark.llm import (chat_preference, decontaminate, html_lineblocks, langid_ftrl, lm_backoff, minhash_tensor,
+                            quality_lines, sentencepiece_codec, shard_minimax, warc_derive)
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_warc_derive")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_derive.derivatives(table(spark, sf_dir, "pages"))
+
+
+@register("op7_stupid_backoff", lm_backoff.ORACLE)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_backoff.rounded(table(spark, sf_dir, "documents"))

@@ -20,8 +20,9 @@ passage which a third of the documents share costs rows in proportion to those d
 broadcast up to ``BROADCAST_ROWS`` shingles; beyond that the join is left to the optimiser.
 
 Words are runs of letters and digits, lower-cased. Null or empty texts and items contain nothing and
-match nothing. Repeated documents give one row, repeated items (equal item_id) are one item with all
-their shingles; an empty table gives an empty result."""
+match nothing. Repeated rows of a document count once, and rows of one doc_id with different texts are
+looked at one by one; repeated items (equal item_id) are one item with all their shingles. Rows without
+an id are left out, as nothing could name them; an empty table gives an empty result."""
 
 from __future__ import annotations
 
@@ -76,7 +77,7 @@ def contained(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, perce
     """``(doc_id, item_id, first_word, shared, united)`` of every document and item it contains: the most
     similar window's first word (the smallest, if several are), and its shared and united weights."""
     stash = stash or Stash(docs.sparkSession, "decontaminate")
-    docs = only(docs, doc_id="bigint", text="string")
+    docs = only(docs, doc_id="bigint", text="string").where("doc_id is not null").withColumn("t", F.xxhash64("text"))
     items = only(benchmark, item_id="bigint", text="string").where("item_id is not null").withColumn("w", words(F.col("text")))
     items = items.withColumn("len", F.size("w")).where("len > 0")
     grams = items.select("item_id", "len", "w", F.explode(F.sequence(F.lit(0), n_shingles(F.col("len")) - 1)).alias("p")).select(
@@ -90,35 +91,36 @@ def contained(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, perce
     if small:
         wanted = F.broadcast(wanted)
 
-    shingled = docs.select("doc_id", words(F.col("text")).alias("w")).withColumn("all", n_shingles(F.size("w"))).where("all > 0")
-    hits = shingled.select("doc_id", "all", "w", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("p")).select(
-        "doc_id", "all", "p", shingle(F.col("w"), F.col("p")).alias("h")).join(wanted, "h").select("doc_id", "all", "size", "p")
-    places = hits.groupBy("doc_id", "all", "size").agg(F.sort_array(F.collect_set("p")).alias("places"))
+    shingled = docs.select("doc_id", "t", words(F.col("text")).alias("w")).withColumn("all", n_shingles(F.size("w"))).where("all > 0")
+    hits = shingled.select("doc_id", "t", "all", "w", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("p")).select(
+        "doc_id", "t", "all", "p", shingle(F.col("w"), F.col("p")).alias("h")).join(wanted, "h").select("doc_id", "t", "all", "size", "p")
+    places = hits.groupBy("doc_id", "t", "all", "size").agg(F.sort_array(F.collect_set("p")).alias("places"))
     held = F.least("all", "size")  # shingles in a window: fewer only if the document has fewer
     need = F.ceil((held + F.col("size")) * percent / (100 + percent)).cast("int")
     places = places.withColumn("held", held).withColumn("need", need).where("size(places) >= need")
     starts = F.transform(
         F.filter("places", lambda x, i: F.get("places", i + F.col("need") - 1) < x + F.col("held")),
         lambda x: F.greatest(F.lit(0), F.least(x, F.col("all") - F.col("held"))))
-    windows = stash.put(places.select("doc_id", "size", "held", F.array_distinct(starts).alias("starts")).where("size(starts) > 0")
-                        .groupBy("doc_id").agg(F.collect_list(F.struct("size", "held", "starts")).alias("windows")))
+    windows = stash.put(places.select("doc_id", "t", "size", "held", F.array_distinct(starts).alias("starts")).where("size(starts) > 0")
+                        .groupBy("doc_id", "t").agg(F.collect_list(F.struct("size", "held", "starts")).alias("windows")))
 
-    laid = docs.join(windows, "doc_id").select("doc_id", words(F.col("text")).alias("w"), F.explode("windows").alias("x"))
-    laid = laid.select("doc_id", "w", "x.size", "x.held", F.explode("x.starts").alias("s"))
-    laid = laid.select("doc_id", "size", "s", "w", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("held") - 1)).alias("p"))
-    cells = stash.put(laid.select("doc_id", "size", "s", shingle(F.col("w"), F.col("p")).alias("h")))
+    laid = docs.join(windows, ["doc_id", "t"]).select("doc_id", "t", words(F.col("text")).alias("w"), F.explode("windows").alias("x"))
+    laid = laid.select("doc_id", "t", "w", "x.size", "x.held", F.explode("x.starts").alias("s"))
+    laid = laid.select("doc_id", "t", "size", "s", "w", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("held") - 1)).alias("p"))
+    window = ["doc_id", "t", "size", "s"]
+    cells = stash.put(laid.select(*window, "p", shingle(F.col("w"), F.col("p")).alias("h")).distinct())
 
-    prints = fingerprint(cells, ["doc_id", "size", "s"])
+    prints = fingerprint(cells, window)
     marks = fingerprint(grams.select("item_id", "h").join(sizes, "item_id"), ["item_id", "size"])
-    left = prints.select("doc_id", "size", "s", "f", "n", blocks(radius).alias("b")).select("*", "b.block", "b.value")
+    left = prints.select(*window, "f", "n", blocks(radius).alias("b")).select("*", "b.block", "b.value")
     right = marks.select("item_id", "size", F.col("f").alias("g"), blocks(radius).alias("b")).select("*", "b.block", "b.value").drop("b")
     near = left.join(F.broadcast(right) if small else right, ["size", "block", "value"])
-    near = near.where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius).select("doc_id", "size", "s", "n", "item_id").distinct()
+    near = near.where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius).select(*window, "n", "item_id").distinct()
 
-    counted = cells.groupBy("doc_id", "size", "s", "h").agg(F.count("*").alias("c"))
-    both = near.join(counted, ["doc_id", "size", "s"]).join(
+    counted = cells.groupBy(*window, "h").agg(F.count("*").alias("c"))
+    both = near.join(counted, window).join(
         (F.broadcast(item_rows) if small else item_rows).withColumnRenamed("c", "ci"), ["item_id", "h"])
-    scored = both.groupBy("doc_id", "item_id", "s", "size", "n").agg(F.sum(F.least("c", "ci")).alias("shared"))
+    scored = both.groupBy(*window, "item_id", "n").agg(F.sum(F.least("c", "ci")).alias("shared"))
     scored = scored.withColumn("united", F.col("n") + F.col("size") - F.col("shared")).where(f"100 * shared >= {percent} * united")
     best = F.max(F.struct((F.col("shared") / F.col("united")).alias("r"), (-F.col("s")).alias("s"), "shared", "united")).alias("x")
     return scored.groupBy("doc_id", "item_id").agg(best).select(

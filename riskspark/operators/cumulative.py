@@ -8,11 +8,9 @@ Two building blocks used across the library:
   shuffle carries at most ``len(thresholds) + 2`` groups per partition; the prefix/suffix sums
   then run over that tiny table. This replaces an O(rows x thresholds) theta join.
 * ``running_totals`` — exact running sums over an unbounded ordered key (distinct predicted
-  probabilities, histogram values). The largest group is measured first; groups within the
-  checked bound run as one ordered window each. Beyond it rows are cut into value blocks from
-  approximate quantiles, block totals become offsets (a table bounded by groups x blocks, safe
-  to broadcast), and the ordered window runs per (group, block), so no task holds an unbounded
-  group.
+  probabilities, histogram values): the rows are range-partitioned into blocks of bounded size,
+  block totals become offsets, and the ordered window runs per block, so no task holds an
+  unbounded group.
 """
 
 from __future__ import annotations
@@ -23,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.exprs import at_or_above_index, right_closed_bin
+from riskspark.session import materialize
 
 _IDX = "_t_idx"
 
@@ -73,33 +72,8 @@ def threshold_sums(
     return out.where(F.col("threshold").isNotNull()).withColumnRenamed(_IDX, "t_idx")
 
 
-def block_bounds(
-    df: DataFrame, value: str, group_cols: Sequence[str], blocks: int, accuracy: int = 10000
-) -> DataFrame:
-    """Per group, ``blocks - 1`` approximate quantile boundaries of ``value`` (array column
-    ``_bounds``); one aggregation, output bounded by the number of groups."""
-    probs = [i / blocks for i in range(1, blocks)]
-    if not probs:
-        probs = [0.5]
-    return df.groupBy(*group_cols).agg(
-        F.array_distinct(F.percentile_approx(F.col(value).cast("double"), probs, accuracy)).alias("_bounds")
-    )
-
-
-def assign_blocks(df: DataFrame, value: str, bounds: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    """Add ``_blk`` = number of boundaries strictly below the value (blocks are right-closed,
-    so block order follows value order). ``bounds`` has one row per group (broadcast)."""
-    if group_cols:
-        joined = df.join(F.broadcast(bounds), list(group_cols))
-    else:
-        row = bounds.first()
-        joined = df.withColumn("_bounds", F.lit(row["_bounds"] if row else []).cast("array<double>"))
-    v = F.col(value).cast("double")
-    return joined.withColumn("_blk", F.size(F.filter("_bounds", lambda b: v > b))).drop("_bounds")
-
-
-# Groups up to this many rows may run as one ordered window task (checked before use).
-DIRECT_WINDOW_MAX_ROWS = 1_000_000
+# Rows of the running sums that one task orders.
+BLOCK_ROWS = 1_000_000
 
 
 def running_totals(
@@ -108,74 +82,43 @@ def running_totals(
     sum_cols: Sequence[str],
     group_cols: Sequence[str] = (),
     descending: bool = False,
-    blocks: int = 64,
     with_next: bool = False,
-    direct_max_rows: int | None = None,
-    known_largest: int | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Inclusive running sums ``cum_<c>`` of ``sum_cols`` ordered by ``order_col`` within
     ``group_cols``, and group totals ``tot_<c>``. ``df`` must be distinct on
     (group_cols, order_col), e.g. a histogram. With ``with_next``, also ``next_<order_col>``:
-    the following value in order within the group (NULL for the last).
+    the following value in order within the group (NULL for the last), of the same type. NULL keys
+    come last in either direction; NaN counts as the largest number.
 
-    The largest group's size is checked first (one small aggregation): groups of at most
-    ``direct_max_rows`` rows use one ordered window per group; larger ones are cut into value
-    blocks so no task holds a whole group."""
+    The table is written once, range-partitioned by (group, key) into ceil(rows / block_rows)
+    blocks, so a task orders a bounded number of rows whatever the size of a group; the totals of
+    the blocks of a group (rows / block_rows of them) give the offsets. One plan at every size."""
     group_cols = list(group_cols)
-    limit = DIRECT_WINDOW_MAX_ROWS if direct_max_rows is None else direct_max_rows
-    if known_largest is None:
-        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rows")) if group_cols else df.agg(F.count(F.lit(1)).alias("_rows"))
-        largest = sizes.agg(F.max("_rows")).first()[0] or 0
-    else:
-        largest = known_largest
-    if largest <= limit:
-        return _direct_running_totals(df, order_col, sum_cols, group_cols, descending, with_next)
-    ordered = F.col(order_col).cast("double")
-    key = "_okey"
-    src = df.withColumn(key, -ordered if descending else ordered)
-    bounds = block_bounds(src, key, group_cols, blocks)
-    blk = assign_blocks(src, key, bounds, group_cols)
+    order = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
+    src = materialize(df, "running-input")
+    blocks = max(1, -(-src.count() // block_rows))
+    ranged = src.repartitionByRange(blocks, *[F.col(g) for g in group_cols], order)
+    blk = materialize(ranged.withColumn("_blk", F.spark_partition_id()), "running-blocks")
     part = [*group_cols, "_blk"]
-    block_tot = blk.groupBy(*part).agg(
-        *[F.sum(c).alias(f"_b_{c}") for c in sum_cols], F.min(key).alias("_b_min")
-    )
-    w_prev = Window.partitionBy(*group_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*group_cols)
-    w_next = Window.partitionBy(*group_cols).orderBy("_blk")
-    offsets = block_tot.select(
+    first = F.first(F.struct(F.col(order_col).alias("v")))
+    firsts = blk.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy(order))).where("_r = 1")
+    totals = blk.groupBy(*part).agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
+    if with_next:
+        totals = totals.join(firsts.groupBy(*part).agg(first.alias("_first")), part)
+    before = Window.partitionBy(*group_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    following = Window.partitionBy(*group_cols).orderBy("_blk")
+    offsets = totals.select(
         *part,
-        *[F.coalesce(F.sum(f"_b_{c}").over(w_prev), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
-        *[F.sum(f"_b_{c}").over(w_all).alias(f"tot_{c}") for c in sum_cols],
-        F.lead("_b_min").over(w_next).alias("_next_blk_min"),
+        *[F.coalesce(F.sum(f"_b_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
+        *[F.sum(f"_b_{c}").over(Window.partitionBy(*group_cols)).alias(f"tot_{c}") for c in sum_cols],
+        *([F.lead("_first").over(following).alias("_next_first")] if with_next else []),
     )
-    local = Window.partitionBy(*part).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local_next = Window.partitionBy(*part).orderBy(key)
-    out = blk.join(F.broadcast(offsets), part).select(
+    local = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return blk.join(offsets, part).select(
         *df.columns,
         *[(F.sum(c).over(local) + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
         *[F.col(f"tot_{c}") for c in sum_cols],
-        *(
-            [F.coalesce(F.lead(key).over(local_next), F.col("_next_blk_min")).alias("_next_key")]
-            if with_next
-            else []
-        ),
-    )
-    if with_next:
-        nxt = -F.col("_next_key") if descending else F.col("_next_key")
-        out = out.withColumn(f"next_{order_col}", nxt).drop("_next_key")
-    return out
-
-
-def _direct_running_totals(
-    df: DataFrame, order_col: str, sum_cols: Sequence[str], group_cols: list[str], descending: bool, with_next: bool
-) -> DataFrame:
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    run = Window.partitionBy(*group_cols).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = Window.partitionBy(*group_cols).orderBy(order)
-    whole = Window.partitionBy(*group_cols)
-    return df.select(
-        *df.columns,
-        *[F.sum(c).over(run).alias(f"cum_{c}") for c in sum_cols],
-        *[F.sum(c).over(whole).alias(f"tot_{c}") for c in sum_cols],
-        *([F.lead(order_col).over(ordered).alias(f"next_{order_col}")] if with_next else []),
+        *([F.coalesce(F.lead(F.struct(F.col(order_col).alias("v"))).over(Window.partitionBy(*part).orderBy(order)),
+                      F.col("_next_first"))["v"].alias(f"next_{order_col}")] if with_next else []),
     )

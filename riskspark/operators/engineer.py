@@ -1,8 +1,7 @@
 """Feature engineering and imputation (FE1-FE8).
 
-Column presence is dynamic, as in the reference: each step acts only if its columns exist.
-Imputation statistics for every column come from one aggregation job whose result (one value
-per column) is collected and applied with ``fillna``.
+Column presence is dynamic: each step acts only if its columns exist. Imputation statistics come
+from value counts (one value per column is collected) and are applied as literals.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from riskspark.functions.exprs import emp_length_years, first_number, months_between_truncated, parse_month_year
+from riskspark.operators.cumulative import running_totals
 
 
 def engineer_dates(df: DataFrame, issue: str = "issue_d", earliest: str = "earliest_cr_line") -> DataFrame:
@@ -44,48 +44,36 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in exclude]
 
 
-def _bracket_medians(df: DataFrame, cols: list[str], approx: dict, counts: dict, accuracy: int) -> dict[str, float]:
-    """Exact medians from approximate brackets: one pass counts the rows below each bracket and
-    builds a (value, count) histogram inside it -- bounded by the sketch accuracy (about
-    6 n / accuracy distinct values per column, however often a value repeats) -- and the
-    driver walks it to the middle ranks. Falls back to ``median`` for a column whose bracket
-    misses the middle (not expected; guards the sketch's error bound)."""
-    live = [c for c in cols if counts[c] > 0 and approx[c] is not None]
-    out: dict[str, float] = {c: None for c in cols}
-    if not live:
-        return out
-    xs = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in live}
-    below = df.agg(*[F.count_if(xs[c] < F.lit(approx[c][0])).alias(f"b{i}") for i, c in enumerate(live)]).first()
-    inside = df.select(*[F.when((xs[c] >= F.lit(approx[c][0])) & (xs[c] <= F.lit(approx[c][1])), xs[c]).alias(f"c{i}")
-                         for i, c in enumerate(live)])
-    hist = (inside.unpivot([], [f"c{i}" for i in range(len(live))], "col", "value").where(F.col("value").isNotNull())
-            .groupBy("col", "value").agg(F.count(F.lit(1)).alias("k")).collect())
-    per: dict[str, list] = {}
-    for r in hist:
-        per.setdefault(r["col"], []).append((r["value"], r["k"]))
-    fallback = []
-    for i, c in enumerate(live):
-        n = counts[c]
-        lo_rank, hi_rank = (n - 1) // 2, n // 2
-        rank = below[f"b{i}"]
-        vals = sorted(per.get(f"c{i}", []))
-        a = b = None
-        for v, k in vals:
-            if a is None and rank + k > lo_rank:
-                a = v
-            if rank + k > hi_rank:
-                b = v
-                break
-            rank += k
-        if a is None or b is None or below[f"b{i}"] > lo_rank:
-            fallback.append(c)
-        else:
-            out[c] = (a + b) / 2.0
-    if fallback:
-        row = df.agg(*[F.median(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(fallback)]).first()
-        for i, c in enumerate(fallback):
-            out[c] = row[f"m{i}"]
-    return out
+def _long(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
+    """(col, value, k): how often each value of each column occurs, without NULL and NaN."""
+    wide = df.select(*[F.col(f"`{c}`").cast(kind).alias(f"c{i}") for i, c in enumerate(cols)])
+    long = wide.unpivot([], [f"c{i}" for i in range(len(cols))], "col", "value").where("value is not null")
+    if kind == "double":
+        long = long.where(~F.isnan("value"))
+    return long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("k"))
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Interpolated medians: value counts, their running sums in value order, and of each column the
+    one or two values at the middle ranks, which are all that is collected."""
+    if not cols:
+        return {}
+    run = running_totals(_long(df, cols, "double"), "value", ["k"], ["col"])
+    low, high = F.expr("(tot_k - 1) div 2"), F.expr("tot_k div 2")
+    before, upto = F.col("cum_k") - F.col("k"), F.col("cum_k")
+    middle = run.where(((before <= low) & (low < upto)) | ((before <= high) & (high < upto)))
+    found: dict[str, list[float]] = {}
+    for r in middle.select("col", "value").collect():
+        found.setdefault(r["col"], []).append(r["value"])
+    return {c: sum(v) / len(v) for i, c in enumerate(cols) if (v := found.get(f"c{i}"))}
+
+
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
+    """The most frequent text of each column (ties: the smallest), from value counts."""
+    if not cols:
+        return {}
+    best = F.min_by("value", F.struct(-F.col("k"), F.col("value"))).alias("v")
+    return {cols[int(r["col"][1:])]: r["v"] for r in _long(df, cols, "string").groupBy("col").agg(best).collect()}
 
 
 def imputation_values(
@@ -94,38 +82,25 @@ def imputation_values(
     """FE6/FE7 statistics: median of every numeric column with gaps (all-NULL -> 0) and the mode
     of every string column (ties -> smallest; all-NULL -> left untouched).
 
-    One aggregation gives counts, gap counts, modes and approximate median brackets; with
-    ``median_method='exact'`` a second pass makes the medians exact (``_bracket_medians``),
-    matching the interpolated median of the reference."""
+    One aggregation counts gaps; medians and modes come from value counts that are pre-aggregated
+    before their shuffle, and at most two values of a column reach the driver. With
+    ``median_method='approx'`` medians are ``percentile_approx``."""
     nums, strs = numeric_columns(df, exclude), string_columns(df, exclude)
-    if not nums and not strs:
-        return {}
-    eps = 1.0 / accuracy
-    probs = [max(0.0, 0.5 - 3 * eps), 0.5, min(1.0, 0.5 + 3 * eps)]
-
-    def x(c: str):
-        return F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-
-    row = df.agg(
-        *[F.count(x(c)).alias(f"k_{i}") for i, c in enumerate(nums)],
-        *[F.percentile_approx(x(c), probs, accuracy).alias(f"q_{i}") for i, c in enumerate(nums)],
-        *[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(f"g_{i}") for i, c in enumerate(nums)],
-        *[F.mode(F.col(c), True).alias(f"s_{i}") for i, c in enumerate(strs)],
-    ).first()
-    gappy = [c for i, c in enumerate(nums) if row[f"g_{nums.index(c)}"] > 0]
-    counts = {c: row[f"k_{nums.index(c)}"] for c in gappy}
-    quant = {c: row[f"q_{nums.index(c)}"] for c in gappy}
-    if median_method == "exact":
-        med = _bracket_medians(df, gappy, {c: (q[0], q[2]) if q else None for c, q in quant.items()}, counts, accuracy)
-    else:
-        med = {c: (q[1] if q else None) for c, q in quant.items()}
     values: dict = {}
-    for c in gappy:  # filling a column without gaps is a no-op (and keeps its type)
-        values[c] = float(med[c]) if med[c] is not None else 0.0
-    for i, c in enumerate(strs):
-        if row[f"s_{i}"] is not None:
-            values[c] = row[f"s_{i}"]
-    return values
+    if nums:
+        gaps = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(f"g_{i}") for i, c in enumerate(nums)]).first()
+        gappy = [c for i, c in enumerate(nums) if gaps[f"g_{i}"] > 0]
+        if median_method == "exact":
+            med = exact_medians(df, gappy)
+        else:
+            def x(c: str):
+                return F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+
+            row = df.agg(F.lit(0).alias("_"), *[F.percentile_approx(x(c), 0.5, accuracy).alias(f"m_{i}") for i, c in enumerate(gappy)]).first()
+            med = {c: row[f"m_{i}"] for i, c in enumerate(gappy) if row[f"m_{i}"] is not None}
+        # filling a column without gaps is a no-op (and keeps its type)
+        values |= {c: float(med.get(c, 0.0)) for c in gappy}
+    return values | modes(df, strs)
 
 
 def impute(df: DataFrame, values: dict) -> DataFrame:

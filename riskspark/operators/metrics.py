@@ -1,8 +1,7 @@
 """Discrimination and calibration metrics (EVL1-EVL6).
 
 ROC points come from a histogram of distinct predicted values (partial aggregation) whose
-running sums are computed with ``running_totals`` (one ordered window up to a checked size,
-value blocks with broadcast offsets beyond), so an unbounded number of distinct probabilities
+running sums are computed with ``running_totals`` (range-partitioned blocks of bounded size), so an unbounded number of distinct probabilities
 is never held by one task.
 """
 
@@ -17,12 +16,17 @@ from riskspark.functions.exprs import at_or_above_index, linspace
 from riskspark.operators.cumulative import running_totals
 
 
-def roc_points(df: DataFrame, label: str = "target", prob: str = "prob", blocks: int = 64) -> DataFrame:
+def roc_points(df: DataFrame, label: str = "target", prob: str = "prob") -> DataFrame:
     """EVL1: one row per distinct threshold (descending): tp, fp (rows with prob >= threshold),
     tpr, fpr, and the positives/negatives exactly at the threshold."""
     hist = df.groupBy(F.col(prob).cast("double").alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg"))
-    run = running_totals(hist, "threshold", ["pos", "neg"], descending=True, blocks=blocks)
+    return from_histogram(hist)
+
+
+def from_histogram(hist: DataFrame) -> DataFrame:
+    """ROC points of a histogram ``(threshold, pos, neg)``."""
+    run = running_totals(hist, "threshold", ["pos", "neg"], descending=True)
     return run.select(
         "threshold", "pos", "neg",
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
@@ -32,14 +36,19 @@ def roc_points(df: DataFrame, label: str = "target", prob: str = "prob", blocks:
     )
 
 
-def discrimination(df: DataFrame, label: str = "target", prob: str = "prob", blocks: int = 64) -> DataFrame:
+def discrimination(df: DataFrame, label: str = "target", prob: str = "prob") -> DataFrame:
     """EVL2-EVL4: AUC (ties count half), Gini = 2 AUC - 1, KS = max(tpr - fpr) and its threshold
     (first maximum = highest threshold; no positive gap -> 0 at +inf)."""
-    roc = roc_points(df, label, prob, blocks)
+    return discrimination_of(roc_points(df, label, prob))
+
+
+def discrimination_of(roc: DataFrame) -> DataFrame:
+    """EVL2-EVL4 of ROC points. Products of counts are taken as doubles: as integers they overflow."""
     above = F.col("tp") - F.col("pos")
     diff = F.col("tpr") - F.col("fpr")
     agg = roc.agg(
-        (F.sum(F.col("neg") * (above + F.col("pos") / 2.0)) / (F.max("tot_pos") * F.max("tot_neg"))).alias("auc"),
+        F.try_divide(F.sum(F.col("neg").cast("double") * (above + F.col("pos") / 2.0)),
+                     F.max("tot_pos").cast("double") * F.max("tot_neg")).alias("auc"),
         F.max(diff).alias("_ks"),
         F.max_by(F.col("threshold"), F.struct(diff, F.col("threshold"))).alias("_thr"),
     )

@@ -1,22 +1,19 @@
 """Supervised numeric binning with a one-feature CART (BIN1, BIN5), in plain DataFrame jobs.
 
 All numeric features are fitted together. The data are reduced once to a histogram
-(feature, value, n, good) — partial aggregation absorbs low-cardinality columns — and every
-round works on that histogram only:
-
-1. the current cuts of each feature (a bounded literal: at most ``max_leaves - 1`` per feature)
-   assign each histogram value to its leaf;
-2. running sums of n and good in value order within each leaf are the feature's running sums
-   (computed once: one ordered window per feature when every feature's histogram was checked to
-   hold at most ``DIRECT_WINDOW_MAX_ROWS`` values, value blocks with broadcast offsets beyond)
-   minus the leaf's offset, one small per-(feature, leaf) aggregation per round;
-3. every value with a legal split after it (both sides >= min leaf size, leaf impure) gets the
+(feature, value, n, good) — partial aggregation absorbs low-cardinality columns — with running
+sums in value order, and every round works on that table only:
+
+1. the leaves of each feature are literals: upper end, running sums before and at the end (the
+   sums at a cut come back with it, so no leaf is ever summed again);
+2. every value with a legal split after it (both sides >= min leaf size, leaf impure) gets the
    weighted Gini decrease ``(gL²+bL²)/nL + (gR²+bR²)/nR - (G²+B²)/n``;
-4. the best candidate per feature (best-first growth, BIN1) or per leaf (level-wise growth,
-   BIN5) is collected — at most one row per feature / leaf — and its cut, the midpoint of the
-   two neighbouring values, is added.
+3. the best candidate per (feature, leaf) is collected, a maximum that is pre-aggregated: a round
+   is one scan. Best-first growth (``max_leaves``, BIN1) splits the best leaf of each feature,
+   level-wise growth (``max_depth`` alone, BIN5) splits every leaf; with both limits growth is
+   best-first among the leaves that are not yet at the depth limit. Cuts are midpoints.
 
-Because the cuts are literals, each round's plan is the histogram plus one projection: lineage
+Because the leaves are literals, each round's plan is the table plus one projection: lineage
 does not grow with the number of rounds.
 """
 
@@ -24,12 +21,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.operators.cumulative import DIRECT_WINDOW_MAX_ROWS, running_totals
-from riskspark.session import checkpoint_dir, materialize
+from riskspark.operators.cumulative import BLOCK_ROWS, running_totals
+from riskspark.session import materialize
 
 
 def value_histogram(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -40,63 +38,46 @@ def value_histogram(df: DataFrame, features: Sequence[str], target: str) -> Data
     return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("good"))
 
 
-def _leaf_expr(cuts: dict[str, list[float]]) -> F.Column:
-    present = {f: c for f, c in cuts.items() if c}
-    if not present:
-        return F.lit(0)
-    m = F.create_map(*[e for f, c in present.items() for e in (F.lit(f), F.array(*[F.lit(float(x)) for x in sorted(c)]))])
-    arr = F.coalesce(F.element_at(m, F.col("feature")), F.array().cast("array<double>"))
-    return F.size(F.filter(arr, lambda c: F.col("value") > c))
-
-
-def _candidates(hist: DataFrame, cuts: dict[str, list[float]], direct: bool = False) -> DataFrame:
-    """Every legal split position with its gain, for all features and leaves.
-
-    ``hist`` carries per-feature running sums in value order (``cum_n``, ``cum_good``) and the
-    next value, computed once. Within a leaf the running sums are the feature's running sums
-    minus the leaf's offset (the running sum just before its first value, i.e. the minimum of
-    ``cum - own``), so a round needs one grouped aggregation per (feature, leaf) — a table of at
-    most features x max_leaves rows, broadcast back — and no window at all. The last value of a
-    leaf is never legal (its right side is empty), so the feature-level next value is exact."""
-    h = hist.withColumn("leaf", _leaf_expr(cuts))
-    if direct:  # every feature was checked to fit one task: leaf statistics by window
-        w = Window.partitionBy("feature", "leaf")
-        j = h.select("*", F.min(F.col("cum_n") - F.col("n")).over(w).alias("_on"),
-                     F.min(F.col("cum_good") - F.col("good")).over(w).alias("_og"),
-                     F.sum("n").over(w).alias("_tn"), F.sum("good").over(w).alias("_tg"))
-    else:
-        leaves = h.groupBy("feature", "leaf").agg(
-            F.min(F.col("cum_n") - F.col("n")).alias("_on"),
-            F.min(F.col("cum_good") - F.col("good")).alias("_og"),
-            F.sum("n").alias("_tn"),
-            F.sum("good").alias("_tg"),
-        )
-        j = h.join(F.broadcast(leaves), ["feature", "leaf"])
+@dataclass
+class _Leaf:
+    """A leaf of one feature: values up to ``hi``, running sums before it and at its end."""
+
+    hi: float
+    before_n: int
+    before_good: int
+    end_n: int
+    end_good: int
+    depth: int = 0
+
+
+def _candidates(hist: DataFrame, leaves: dict[str, list[_Leaf]], min_leaf: dict[str, int], max_depth: int | None) -> DataFrame:
+    """Every legal split position with its gain, for all features and leaves not at the depth limit.
+
+    ``hist`` carries per-feature running sums in value order (``cum_n``, ``cum_good``) and the next
+    value, computed once. The last value of a leaf is never legal (its right side is empty), so the
+    feature-level next value is exact."""
+    def literal(f: str, leaf: _Leaf) -> Column:
+        return F.struct(F.lit(leaf.hi).alias("hi"), F.lit(float(leaf.before_n)).alias("on"), F.lit(float(leaf.before_good)).alias("og"),
+                        F.lit(float(leaf.end_n - leaf.before_n)).alias("tn"), F.lit(float(leaf.end_good - leaf.before_good)).alias("tg"),
+                        F.lit(float(min_leaf[f])).alias("m"), F.lit(max_depth is None or leaf.depth < max_depth).alias("open"))
+
+    known = F.create_map(*[e for f, ls in leaves.items() for e in (F.lit(f), F.array(*[literal(f, x) for x in ls]))])
+    mine = F.filter(F.element_at(known, F.col("feature")), lambda x: F.col("value") <= x["hi"])
     # Staged projections keep every expression small (the expanded gain formula would otherwise
     # exceed the code-generation size limit and run interpreted).
-    s1 = j.select(
-        "feature", "leaf", "value", "next_value", "_m",
-        (F.col("cum_n") - F.col("_on")).cast("double").alias("nl"),
-        (F.col("cum_good") - F.col("_og")).cast("double").alias("gl"),
-        F.col("_tn").cast("double").alias("tn"),
-        F.col("_tg").cast("double").alias("tg"),
-    ).where(
-        F.col("next_value").isNotNull() & (F.col("tg") > 0) & (F.col("tg") < F.col("tn"))
-        & (F.col("nl") >= F.col("_m")) & ((F.col("tn") - F.col("nl")) >= F.col("_m"))
-    )
-    s2 = s1.select(
-        "feature", "leaf", "value", "next_value", "nl", "gl", "tn", "tg",
-        (F.col("nl") - F.col("gl")).alias("bl"),
-        (F.col("tn") - F.col("nl")).alias("nr"),
-        (F.col("tg") - F.col("gl")).alias("gr"),
-        (F.col("tn") - F.col("tg")).alias("tb"),
-    )
-    s3 = s2.select("feature", "leaf", "value", "next_value", "nl", "gl", "bl", "nr", "gr", "tn", "tg", "tb",
-                   (F.col("nr") - F.col("gr")).alias("br"))
+    s1 = hist.where(F.col("next_value").isNotNull()).select("feature", "value", "next_value", "cum_n", "cum_good", F.get(mine, F.lit(0)).alias("s"))
+    s1 = s1.where("s.open").select(
+        "feature", "value", "next_value", "cum_n", "cum_good", F.col("s.hi").alias("leaf"), F.col("s.m").alias("m"),
+        (F.col("cum_n") - F.col("s.on")).alias("nl"), (F.col("cum_good") - F.col("s.og")).alias("gl"),
+        F.col("s.tn").alias("tn"), F.col("s.tg").alias("tg"),
+    ).where("tg > 0 and tg < tn and nl >= m and tn - nl >= m")
+    s2 = s1.select("*", (F.col("nl") - F.col("gl")).alias("bl"), (F.col("tn") - F.col("nl")).alias("nr"),
+                   (F.col("tg") - F.col("gl")).alias("gr"), (F.col("tn") - F.col("tg")).alias("tb"))
+    s3 = s2.select("*", (F.col("nr") - F.col("gr")).alias("br"))
     gain = ((F.col("gl") * F.col("gl") + F.col("bl") * F.col("bl")) / F.col("nl")
             + (F.col("gr") * F.col("gr") + F.col("br") * F.col("br")) / F.col("nr")
             - (F.col("tg") * F.col("tg") + F.col("tb") * F.col("tb")) / F.col("tn"))
-    return s3.select("feature", "leaf", "value", "next_value", F.greatest(gain, F.lit(0.0)).alias("gain"))
+    return s3.select("feature", "leaf", "value", "next_value", "cum_n", "cum_good", F.greatest(gain, F.lit(0.0)).alias("gain"))
 
 
 def _midpoint(a: float, b: float) -> float:
@@ -113,51 +94,43 @@ def tree_cuts(
     max_leaves: int | None = 6,
     min_samples_leaf: float | int = 0.05,
     max_depth: int | None = None,
-    blocks: int = 32,
-    direct_max_rows: int | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> dict[str, list[float]]:
-    """BIN1 (``max_leaves``, best-first) or BIN5 (``max_depth``, level-wise) cut points per
-    feature, sorted. A float ``min_samples_leaf`` < 1 is a fraction of the feature's rows
-    (rounded up), an int an absolute count. Constant features (BIN2) get no cuts."""
+    """BIN1 (``max_leaves``, best-first) or BIN5 (``max_depth`` with ``max_leaves=None``, level-wise) cut
+    points per feature, sorted; with both limits best-first growth within the depth limit. A float
+    ``min_samples_leaf`` < 1 is a fraction of the feature's rows (rounded up), an int an absolute
+    count. Constant features (BIN2) get no cuts."""
     features = list(features)
     if not features:
         return {}
-    checkpoint_dir(df.sparkSession)
-    # The histogram (bounded by distinct values, far smaller than the rows) is written once to the
-    # shared checkpoint folder (as Parquet), and again with its running sums: every round then plans against a
-    # short lineage and survives the loss of an executor.
-    raw = materialize(value_histogram(df, features, target), "tree-histogram")
-    stats = raw.groupBy("feature").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("N")).collect()
-    limit = DIRECT_WINDOW_MAX_ROWS if direct_max_rows is None else direct_max_rows
-    direct = max((r["rows"] for r in stats), default=0) <= limit
-    hist = running_totals(raw, "value", ["n", "good"], ["feature"], blocks=blocks, with_next=True,
-                          direct_max_rows=limit, known_largest=max((r["rows"] for r in stats), default=0))
-    hist = materialize(hist, "tree-running-sums")
-    try:
-        totals = {r["feature"]: r["N"] for r in stats}
-        if isinstance(min_samples_leaf, float) and min_samples_leaf < 1.0:
-            min_leaf = {f: max(1, math.ceil(min_samples_leaf * totals.get(f, 0))) for f in features}
-        else:
-            min_leaf = {f: int(min_samples_leaf) for f in features}
-        m = F.create_map(*[e for f, v in min_leaf.items() for e in (F.lit(f), F.lit(int(v)))])
-        hist = hist.withColumn("_m", F.coalesce(F.element_at(m, F.col("feature")), F.lit(1)).cast("long"))
-        cuts: dict[str, list[float]] = {f: [] for f in features}
-        rounds = (max_leaves - 1) if max_depth is None else max_depth
-        for _ in range(max(0, rounds)):
-            cand = _candidates(hist, cuts, direct)
-            order = F.struct(F.col("gain"), -F.col("value"))
-            pick = F.max_by(F.struct("value", "next_value", "gain"), order).alias("best")
-            if max_depth is None:
-                best = cand.groupBy("feature").agg(pick).collect()
-            else:
-                best = cand.groupBy("feature", "leaf").agg(pick).collect()
-            if not best:
-                break
-            for r in best:
-                cuts[r["feature"]].append(_midpoint(r["best"]["value"], r["best"]["next_value"]))
-            if max_leaves is not None and max_depth is not None:
-                for f in cuts:
-                    cuts[f] = sorted(cuts[f])[: max_leaves - 1]
-        return {f: sorted(c) for f, c in cuts.items()}
-    finally:
-        pass
+    if max_leaves is None and max_depth is None:
+        raise ValueError("tree_cuts needs max_leaves or max_depth")
+    # The running sums (bounded by distinct values, far smaller than the rows) are written once to
+    # the shared checkpoint folder: every round plans against a short lineage.
+    hist = materialize(running_totals(value_histogram(df, features, target), "value", ["n", "good"], ["feature"],
+                                      with_next=True, block_rows=block_rows), "tree-running-sums")
+    totals = {r["feature"]: (r["n"], r["g"]) for r in hist.groupBy("feature").agg(
+        F.max("tot_n").alias("n"), F.max("tot_good").alias("g")).collect()}
+    fraction = isinstance(min_samples_leaf, float) and min_samples_leaf < 1.0
+    min_leaf = {f: max(1, math.ceil(min_samples_leaf * n)) if fraction else int(min_samples_leaf) for f, (n, _) in totals.items()}
+    leaves = {f: [_Leaf(math.inf, 0, 0, n, g)] for f, (n, g) in totals.items()}
+    rounds = max_depth if max_leaves is None else max_leaves - 1
+    pick = F.max_by(F.struct("value", "next_value", "gain", "cum_n", "cum_good"), F.struct(F.col("gain"), -F.col("value"))).alias("best")
+    for _ in range(rounds if leaves else 0):
+        found = _candidates(hist, leaves, min_leaf, max_depth).groupBy("feature", "leaf").agg(pick).collect()
+        if max_leaves is not None:  # the best leaf of each feature; of equal gains the smallest value
+            best: dict[str, tuple] = {}
+            for r in found:
+                rank = (r["best"]["gain"], -r["best"]["value"])
+                if r["feature"] not in best or rank > best[r["feature"]][0]:
+                    best[r["feature"]] = (rank, r)
+            found = [r for _, r in best.values()]
+        if not found:
+            break
+        for r in found:
+            at, b = leaves[r["feature"]], r["best"]
+            i = next(k for k, leaf in enumerate(at) if leaf.hi == r["leaf"])
+            old, cut = at[i], _midpoint(b["value"], b["next_value"])
+            at[i:i + 1] = [_Leaf(cut, old.before_n, old.before_good, b["cum_n"], b["cum_good"], old.depth + 1),
+                           _Leaf(old.hi, b["cum_n"], b["cum_good"], old.end_n, old.end_good, old.depth + 1)]
+    return {f: [leaf.hi for leaf in leaves.get(f, [])[:-1]] for f in features}

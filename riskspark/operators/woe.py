@@ -3,8 +3,8 @@
 Fitting for all features is one job: each feature becomes a bin index (numeric: a comparison
 tree over its cuts; categorical: the text, NULL -> 'nan'), the columns are unpivoted to
 (feature, bin) and aggregated with partial aggregation, so the shuffle carries at most
-features x bins (or categories) groups per partition. Totals per feature are a window over
-that small counts table (one group per feature, bounded by its bins or categories).
+features x bins (or categories) groups per partition. Totals per feature are pre-aggregated
+over the written counts table and joined back.
 
 The result is one **bin table** for every feature:
 ``feature, kind ('num'|'cat'), bin_id, lo, hi, category, total, good, bad, dist_good,
@@ -17,16 +17,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from riskspark.functions.exprs import linspace, right_closed_bin, round_half_even
-
-# A categorical mapping with more categories than this is applied with a join, not a literal map.
-MAX_LITERAL_CATEGORIES = 1000
-# Category tables up to this many rows may be broadcast in the join path.
-MAX_BROADCAST_CATEGORIES = 200_000
+from riskspark.session import materialize
 
 BIN_TABLE_SCHEMA = (
     "feature string, kind string, bin_id int, lo double, hi double, category string, total long, good long, "
@@ -132,11 +128,11 @@ def woe_from_counts(
             hi = F.when(F.col("feature") == f, F.element_at(F.lit(e[1:]), F.col("bin_id") + 1)).otherwise(hi)
         full = counts.select("feature", "kind", "bin_id", lo.alias("lo"), hi.alias("hi"), "category", "total", "good")
     full = full.withColumn("bad", F.col("total") - F.col("good"))
-    # Feature totals over the counts table (one group per feature, bounded by its bins or
-    # categories) -- a window here avoids deriving the counts, and so scanning the source, twice.
-    per_feature = Window.partitionBy("feature")
-    j = full.select("*", F.sum("good").over(per_feature).alias("_G"), F.sum("bad").over(per_feature).alias("_B"),
-                    F.count(F.lit(1)).over(per_feature).alias("_k"))
+    # The counts are written once (bins and categories, not rows); totals per feature are
+    # pre-aggregated and joined back, so a feature of many categories stays spread over tasks.
+    full = materialize(full, "bin-counts")
+    totals = full.groupBy("feature").agg(F.sum("good").alias("_G"), F.sum("bad").alias("_B"), F.count(F.lit(1)).alias("_k"))
+    j = full.join(F.broadcast(totals), "feature")  # one row per feature
     G, B, k = F.col("_G"), F.col("_B"), F.col("_k")
     good, bad = F.col("good"), F.col("bad")
     if smoothing == "laplace":
@@ -212,30 +208,12 @@ def _value_tree(x: Column, cuts: Sequence[float], values: Sequence[float | None]
     return tree(0, len(cuts))
 
 
-def collect_mappings(bin_table: DataFrame, value_col: str = "woe", max_literal: int = MAX_LITERAL_CATEGORIES):
-    """Bounded driver-side mappings in one job: numeric cuts and values per feature, and
-    categorical maps up to ``max_literal`` categories. A larger categorical feature sends one
-    marker row only and is returned by name for the join path (its mapping stays distributed)."""
-    valid = bin_table.where("valid")
-    per_feature = Window.partitionBy("feature")  # the bins/categories of one feature
-    tagged = valid.select("feature", "kind", "bin_id", "hi", "category", F.col(value_col).alias("_v"),
-                          F.count(F.lit(1)).over(per_feature).alias("_n"),
-                          F.row_number().over(per_feature.orderBy("category", "bin_id")).alias("_r"))
-    rows = tagged.where((F.col("kind") == "num") | (F.col("_n") <= max_literal) | (F.col("_r") == 1)).collect()
-    numeric, categorical, big = {}, {}, {}
-    for r in rows:
-        if r["kind"] == "num":
-            numeric.setdefault(r["feature"], []).append((r["bin_id"], r["hi"], r["_v"]))
-        elif r["_n"] <= max_literal:
-            categorical.setdefault(r["feature"], {})[r["category"]] = r["_v"]
-        else:
-            big[r["feature"]] = r["_n"]
-    num_spec = {}
-    for f, items in numeric.items():
-        items.sort()
-        cuts = [hi for _, hi, _ in items[:-1]]
-        num_spec[f] = (cuts, [v for _, _, v in items])
-    return num_spec, categorical, big
+def numeric_mappings(bin_table: DataFrame, value_col: str = "woe") -> dict[str, tuple[list[float], list[float]]]:
+    """Cuts and bin values of the numeric features (bounded by features x bins)."""
+    found: dict[str, list] = {}
+    for r in bin_table.where("valid and kind = 'num'").select("feature", "bin_id", "hi", F.col(value_col).alias("v")).collect():
+        found.setdefault(r["feature"], []).append((r["bin_id"], r["hi"], r["v"]))
+    return {f: ([hi for _, hi, _ in sorted(x)[:-1]], [v for *_, v in sorted(x)]) for f, x in found.items()}
 
 
 def transform_woe(
@@ -250,38 +228,30 @@ def transform_woe(
     """WOE7: replace each mapped feature by its bin's value (WoE, or points for SCL6).
 
     Unseen categories and NULLs -> ``unseen`` (0.0; K11 legacy: None). Features without a
-    mapping are omitted. Numeric features and small categoricals are pure expressions (no
-    shuffle); categoricals above ``MAX_LITERAL_CATEGORIES`` are joined on the category."""
+    mapping are omitted. Numeric features are pure expressions (no shuffle); categorical ones are
+    joined on the category, with the mapping written as a table first, so that Spark knows its size
+    and chooses the join."""
     if numeric_unseen is None:
         numeric_unseen = unseen
-    num_spec, cat_maps, big = collect_mappings(bin_table, value_col)
-    wanted = [f for f in (features or [*num_spec, *cat_maps, *big]) if f in df.columns and (f in num_spec or f in cat_maps or f in big)]
-    cols = [F.col(k) for k in keep]
+    maps = materialize(bin_table.where("valid").select("feature", "kind", "bin_id", "hi", "category", value_col), "woe-mapping")
+    numeric = numeric_mappings(maps.withColumn("valid", F.lit(True)), value_col)
+    categorical = [r[0] for r in maps.where("kind = 'cat'").select("feature").distinct().collect()]
+    wanted = [f for f in (features or [*numeric, *categorical]) if f in df.columns and (f in numeric or f in categorical)]
+    texts = [f for f in wanted if f not in numeric]
+    cols = []
     for f in wanted:
-        if f in num_spec:
-            cuts, values = num_spec[f]
+        if f in numeric:
+            cuts, values = numeric[f]
             x = F.col(f).cast("double")
             val = F.when(x.isNull() | F.isnan(x), F.lit(numeric_unseen).cast("double")).otherwise(_value_tree(x, cuts, values))
             cols.append(val.alias(f))
-        elif f in cat_maps:
-            m = cat_maps[f]
-            lookup = F.create_map(*[e for k, v in m.items() for e in (F.lit(k), F.lit(v))])
-            val = F.try_element_at(lookup, category_text(f))
-            cols.append((F.coalesce(val, F.lit(unseen)) if unseen is not None else val).cast("double").alias(f))
-        else:
-            cols.append(F.col(f))  # replaced below by joins
-    out = df.select(*cols, *[F.col(f).alias(f"__raw_{f}") for f in wanted if f in big])
-    for f in wanted:
-        if f not in big:
-            continue
-        table = bin_table.where((F.col("feature") == f) & F.col("valid")).select(
-            F.col("category").alias(f"__cat_{f}"), F.col(value_col).alias(f"__val_{f}"))
-        if big[f] <= MAX_BROADCAST_CATEGORIES:
-            table = F.broadcast(table)
-        out = out.join(table, category_text(f"__raw_{f}") == F.col(f"__cat_{f}"), "left")
+    out = df.select(*keep, *cols, *[category_text(f).alias(f"__cat_{f}") for f in texts])
+    for f in texts:
+        one = maps.where((F.col("feature") == f) & (F.col("kind") == "cat")).select(
+            F.col("category").alias(f"__cat_{f}"), F.col(value_col).cast("double").alias(f"__val_{f}"))
+        out = out.join(one, f"__cat_{f}", "left")
         v = F.col(f"__val_{f}")
-        out = out.withColumn(f, F.coalesce(v, F.lit(unseen)) if unseen is not None else v).drop(
-            f"__raw_{f}", f"__cat_{f}", f"__val_{f}")
+        out = out.withColumn(f, F.coalesce(v, F.lit(unseen)) if unseen is not None else v).drop(f"__cat_{f}", f"__val_{f}")
     return out.select(*keep, *wanted)
 
 

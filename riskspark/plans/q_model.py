@@ -92,7 +92,7 @@ def _trunc3(x: str) -> str:
 
 def _depth_tree_woe_oracle() -> str:
     tree = _tree_oracle_rounds(["annual_inc"], rounds=4, per_leaf=True,
-                               min_rows_sql="greatest(1, round_even(2000 * (SELECT count(*) FROM e) / 100000e0, 0))")
+                               min_rows_sql="2000")
     head = tree[: tree.rindex("SELECT feature, CAST(row_number()")]
     return head + f"""
 , tc AS (SELECT {_trunc3('cut')} AS e FROM k4
@@ -113,12 +113,9 @@ FROM ut JOIN ed lo ON lo.i = ut.bin JOIN ed hi ON hi.i = ut.bin + 1"""
 
 @register("bin5_tree_depth_woe", _depth_tree_woe_oracle())
 def bin5(spark, sf):
-    """Depth <= 4, >= 2,000 rows per leaf (scaled to the table: 2,000 at 100k rows), cuts and
-    edges truncated to 3 dp, eps-WoE table."""
+    """Depth <= 4, >= 2,000 rows per leaf, cuts and edges truncated to 3 dp, eps-WoE table."""
     df = engineered(spark, sf)
-    n = df.count()
-    leaf = max(1, round(2000 * n / 100000))
-    cuts = TR.tree_cuts(df, ["annual_inc"], T, max_leaves=None, min_samples_leaf=leaf, max_depth=4)["annual_inc"]
+    cuts = TR.tree_cuts(df, ["annual_inc"], T, max_leaves=None, min_samples_leaf=2000, max_depth=4)["annual_inc"]
     ends = df.agg(truncate_decimals(F.min("annual_inc"), 3).alias("a"), truncate_decimals(F.max("annual_inc"), 3).alias("b")).first()
     tcuts = [r[0] for r in spark.createDataFrame([(c,) for c in cuts] or [(0.0,)], "c double").select(truncate_decimals("c", 3)).collect()] if cuts else []
     edges = sorted({ends["a"], *tcuts, ends["b"]})

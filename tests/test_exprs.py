@@ -97,7 +97,7 @@ def test_integer_column_with_fractional_median(spark):
     assert out[3] == 2.5 and out[1] == 1.0
 
 
-def test_bracket_median_exact_with_hot_value(spark):
+def test_exact_median_with_hot_value(spark):
     import numpy as np
 
     rng = np.random.default_rng(7)
@@ -105,9 +105,13 @@ def test_bracket_median_exact_with_hot_value(spark):
     x[: 10000] = 0.123  # a third of the rows share one value
     x[5:40] = np.nan
     df = spark.createDataFrame([(i, None if np.isnan(v) else float(v)) for i, v in enumerate(x)], "id int, x double")
-    for acc in (10000, 100):
-        got = E.imputation_values(df, exclude=("id",), accuracy=acc)["x"]
-        assert got == float(np.nanmedian(x))
+    assert E.imputation_values(df, exclude=("id",))["x"] == float(np.nanmedian(x))
     even = df.where("id % 2 = 0 OR x IS NULL")
     ev = np.array([r["x"] for r in even.collect() if r["x"] is not None])
     assert E.imputation_values(even, exclude=("id",))["x"] == float(np.median(ev))
+
+
+def test_modes_of_hot_and_all_distinct_texts(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i}", f"u{i:05d}", None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, a string, b string, c string")
+    assert E.imputation_values(df, exclude=("id",)) == {"a": "hot", "b": "u00000"}

@@ -114,13 +114,37 @@ def test_running_totals_many_blocks(spark):
     v = rng.permutation(3000).astype(float)
     a = rng.integers(0, 5, 3000)
     df = spark.createDataFrame([(float(x), int(y)) for x, y in zip(v, a)], "v double, a long")
-    out = sorted(running_totals(df, "v", ["a"], blocks=17, with_next=True, direct_max_rows=0).collect(), key=lambda r: r["v"])
     ref = np.cumsum(a[np.argsort(v)])
-    assert [r["cum_a"] for r in out] == list(ref)
-    assert [r["next_v"] for r in out[:-1]] == [r["v"] for r in out[1:]] and out[-1]["next_v"] is None
-    for limit in (0, None):  # block path and checked direct path
-        desc = sorted(running_totals(df, "v", ["a"], descending=True, blocks=5, direct_max_rows=limit).collect(), key=lambda r: -r["v"])
+    for rows in (170, 1_000_000):  # many blocks and one
+        out = sorted(running_totals(df, "v", ["a"], with_next=True, block_rows=rows).collect(), key=lambda r: r["v"])
+        assert [r["cum_a"] for r in out] == list(ref)
+        assert [r["next_v"] for r in out[:-1]] == [r["v"] for r in out[1:]] and out[-1]["next_v"] is None
+        desc = sorted(running_totals(df, "v", ["a"], descending=True, block_rows=rows).collect(), key=lambda r: -r["v"])
         assert [r["cum_a"] for r in desc] == list(np.cumsum(a[np.argsort(-v)]))
-    direct = sorted(running_totals(df, "v", ["a"], with_next=True).collect(), key=lambda r: r["v"])
-    assert [r["cum_a"] for r in direct] == list(ref) and direct[-1]["next_v"] is None
-    assert F is not None
+
+
+def test_running_totals_do_not_depend_on_block_size(spark):
+    from riskspark.operators.cumulative import running_totals
+
+    rows = [("a", None, 3), ("a", float("nan"), 5), ("a", 1.0, 7), ("a", 2.0, 11), ("b", 9.0, 13), ("b", None, 17)]
+    df = spark.createDataFrame(rows, "g string, v double, a long")
+    ints = spark.createDataFrame([(i, i) for i in range(20)], "k int, a long")
+    for descending in (False, True):
+        got = [sorted(map(str, running_totals(df, "v", ["a"], ["g"], descending, True, n).collect())) for n in (1, 2, 100)]
+        assert got[0] == got[1] == got[2]
+    by = {(r["g"], str(r["v"])): r["cum_a"] for r in running_totals(df, "v", ["a"], ["g"], block_rows=1).collect()}
+    assert by == {("a", "1.0"): 7, ("a", "2.0"): 18, ("a", "nan"): 23, ("a", "None"): 26, ("b", "9.0"): 13, ("b", "None"): 30}
+    down = {(r["g"], str(r["v"])): r["cum_a"] for r in running_totals(df, "v", ["a"], ["g"], True, block_rows=1).collect()}
+    assert down[("a", "nan")] == 5 and down[("a", "None")] == 26
+    for n in (3, 100):
+        out = running_totals(ints, "k", ["a"], with_next=True, block_rows=n)
+        assert dict(out.dtypes)["next_k"] == "int" and {r["k"]: r["next_k"] for r in out.collect()} == {i: i + 1 if i < 19 else None for i in range(20)}
+
+
+def test_auc_of_billions_of_rows_does_not_overflow(spark):
+    from riskspark.operators import metrics as ME
+
+    hist = spark.createDataFrame([(0.9, 5_000_000_000, 0), (0.1, 0, 5_000_000_000)], "threshold double, pos long, neg long")
+    assert F.try_divide is not None
+    run = ME.from_histogram(hist)
+    assert ME.discrimination_of(run).first()["auc"] == 1.0

@@ -24,7 +24,7 @@ def test_sweeps_and_buckets_have_no_pair_joins(spark):
 def test_column_pruning_reaches_the_scan(spark):
     text = plan(entry.queries()["pol10_lgd_scenarios"](spark, SF_SMALL))
     assert "ReadSchema: struct<target:int,pd:double,score:int>" in text
-    text = plan(entry.queries()["evl1_roc_points"](spark, SF_SMALL))
+    text = plan(entry.queries()["evl5_calibration_metrics"](spark, SF_SMALL))
     assert "ReadSchema: struct<target:int,raw_good:double>" in text
 
 
@@ -37,12 +37,17 @@ def test_split_windows_are_partitioned(spark):
     assert rank and all(re.search(r"\], \[loan_status_binary#\d+, _p#\d+\], \[_h#", line) for line in rank)
 
 
-def test_block_path_is_used_beyond_the_size_check(spark):
-    import numpy as np
-
+def test_running_totals_never_order_a_whole_group(spark):
     from riskspark.operators.cumulative import running_totals
 
-    df = spark.createDataFrame([(float(v), 1) for v in np.arange(500)], "v double, a long")
-    small = plan(running_totals(df, "v", ["a"]))
-    big = plan(running_totals(df, "v", ["a"], direct_max_rows=10, blocks=8))
-    assert "_blk" not in small and "_blk" in big
+    df = spark.createDataFrame([(f"g{v % 2}", float(v), 1) for v in range(500)], "g string, v double, a long")
+    text = plan(running_totals(df, "v", ["a"], ["g"], block_rows=100))
+    windows = [x for x in text.splitlines() if "Window [" in x and "v#" in x.partition("windowspecdefinition")[2]]
+    assert windows and all("_blk#" in x for x in windows)
+
+
+def test_woe_totals_use_no_window(spark):
+    from riskspark.operators import woe as WO
+
+    df = spark.createDataFrame([(f"c{i % 9}", i % 2) for i in range(100)], "s string, y int")
+    assert "Window" not in plan(WO.fit_woe(df, "y", None, ["s"]))

@@ -11,11 +11,10 @@ FEATS = ["loan_amnt", "installment", "annual_inc", "emp_length", "term_int", "cr
 import pytest
 
 
-@pytest.mark.parametrize("direct_max_rows", [0, None])
-def test_best_first_matches_numpy(spark, direct_max_rows):
+@pytest.mark.parametrize("block_rows", [40, 1_000_000])
+def test_best_first_matches_numpy(spark, block_rows):
     df = engineered(spark, SF_SMALL).cache()
-    cuts = TR.tree_cuts(df, FEATS, "loan_status_binary", max_leaves=6, min_samples_leaf=0.05, blocks=4,
-                        direct_max_rows=direct_max_rows)
+    cuts = TR.tree_cuts(df, FEATS, "loan_status_binary", max_leaves=6, min_samples_leaf=0.05, block_rows=block_rows)
     pdf = df.toPandas()
     for f in FEATS:
         ref = R.best_first_tree(pdf[f].to_numpy(float), pdf["loan_status_binary"].to_numpy(int), max_leaves=6,
@@ -35,3 +34,17 @@ def test_depth_mode_matches_numpy(spark):
 def test_constant_feature_no_cut(spark):
     df = spark.createDataFrame([(i, 5.0, i % 2) for i in range(100)], "id int, c double, y int")
     assert TR.tree_cuts(df, ["c"], "y", 6, 0.05) == {"c": []}
+
+
+def test_both_limits_grow_best_first_within_the_depth(spark):
+    rng = np.random.default_rng(8)
+    x = rng.uniform(0, 2000, 2000).round(1)
+    y = (rng.uniform(size=2000) < 0.2 + 0.6 * ((x // 250) % 2)).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(x, y)], "x double, y int")
+    whole = TR.tree_cuts(df, ["x"], "y", max_leaves=None, max_depth=4, min_samples_leaf=50)["x"]
+    both = TR.tree_cuts(df, ["x"], "y", max_depth=4, min_samples_leaf=50)["x"]
+    best = TR.tree_cuts(df, ["x"], "y", max_leaves=6, min_samples_leaf=50)["x"]
+    assert len(both) == 5 and set(both) <= set(whole) and len(whole) >= 5
+    assert np.allclose(TR.tree_cuts(df, ["x"], "y", max_leaves=6, max_depth=10, min_samples_leaf=50)["x"], best)
+    shallow = TR.tree_cuts(df, ["x"], "y", max_leaves=6, max_depth=1, min_samples_leaf=50)["x"]
+    assert len(shallow) == 1 and shallow[0] in whole

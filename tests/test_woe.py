@@ -47,16 +47,15 @@ def test_numeric_transform_null_and_legacy(spark):
     assert legacy[1] is None
 
 
-def test_large_categorical_join_path_equals_literal_map(spark, monkeypatch):
+def test_categorical_join_equals_the_bin_table(spark):
     rng = np.random.default_rng(1)
-    cats = [f"c{int(v)}" for v in rng.integers(0, 50, 2000)]
-    ys = rng.integers(0, 2, 2000)
+    cats = [f"c{int(v)}" for v in rng.integers(0, 1500, 4000)]
+    ys = rng.integers(0, 2, 4000)
     df = spark.createDataFrame([(i, c, int(y)) for i, (c, y) in enumerate(zip(cats, ys))], "id int, s string, y int")
-    bt = WO.fit_woe(df, "y", None, ["s"]).cache()
-    lit = {r["id"]: r["s"] for r in WO.transform_woe(df, bt, keep=["id"]).collect()}
-    monkeypatch.setattr(WO, "MAX_LITERAL_CATEGORIES", 10)
-    joined = {r["id"]: r["s"] for r in WO.transform_woe(df, bt, keep=["id"]).collect()}
-    assert lit == joined
+    bt = WO.fit_woe(df, "y", None, ["s"])
+    want = {r["category"]: r["woe"] for r in bt.collect()}
+    got = {r["id"]: r["s"] for r in WO.transform_woe(df, bt, keep=["id"]).collect()}
+    assert got == {i: want[c] for i, c in enumerate(cats)}
 
 
 def test_iv_nonnegative_and_totals(spark):

@@ -77,18 +77,31 @@ def clip(c: ColumnOrName, lo: float, hi: float) -> Column:
     return F.greatest(F.least(_c(c), F.lit(hi)), F.lit(lo))
 
 
-def safe_ratio(num: ColumnOrName, den: ColumnOrName, zero: float | None = None) -> Column:
-    """num / den, or ``zero`` (NULL by default) when den is 0 or NULL."""
-    out = F.try_divide(_c(num), _c(den))
-    return out if zero is None else F.coalesce(out, F.lit(zero))
+# ---- text ----------------------------------------------------------------------------------
 
+def decimal_text(c: ColumnOrName, decimals: int, suffix: str = "") -> Column:
+    """A double with so many decimals, rounded by its exact binary value (half-even), as C and Python
+    format it. The product with 10^d is split into its rounded value and its exact residual, which
+    decides what looks like a tie."""
+    y = _c(c).cast("double")
+    scale = F.lit(float(10 ** decimals))
+    big = y * F.lit(134217729.0)  # 2^27 + 1: splits a double into two halves with exact products
+    high = big - (big - y)
+    p = y * scale
+    residual = (high * scale - p) + (y - high) * scale
+    below = F.floor(p).cast("double")
+    over = (p - below - 0.5) + residual
+    tie = F.when(F.pmod(below, F.lit(2.0)) == 0, below).otherwise(below + 1)
+    n = F.when(over > 0, below + 1).when(over < 0, below).otherwise(tie)
+    n = F.when((n == 0) & (y < 0), F.lit(-0.0)).otherwise(n)
+    # beyond 2^53 / 10^d every double is a multiple of the last decimal
+    exact = F.when(F.abs(p) < F.lit(2.0 ** 52), n / scale).otherwise(y)
+    return F.when(y.isNotNull(), F.format_string(f"%.{decimals}f{suffix}", exact))
 
-# ---- text ----------------------------------------------------------------------------------
 
 def percent_text(c: ColumnOrName, decimals: int = 2) -> Column:
     """STR1: 0.1234 -> '12.34%'."""
-    x = _c(c)
-    return F.when(x.isNotNull(), F.format_string(f"%.{decimals}f%%", round_half_even(x * 100.0, decimals)))
+    return decimal_text(_c(c) * 100.0, decimals, "%%")
 
 
 def interval_text(lo: ColumnOrName, hi: ColumnOrName) -> Column:
@@ -100,24 +113,22 @@ def compact_money(c: ColumnOrName) -> Column:
     """STR2: >= 1e9 -> 'x.xxbn', >= 1e6 -> 'x.xxM', else 'x.xK'."""
     v = _c(c)
     return (
-        F.when(F.abs(v) >= 1e9, F.format_string("%.2fbn", round_half_even(v / 1e9, 2)))
-        .when(F.abs(v) >= 1e6, F.format_string("%.2fM", round_half_even(v / 1e6, 2)))
-        .otherwise(F.format_string("%.1fK", round_half_even(v / 1e3, 1)))
+        F.when(F.abs(v) >= 1e9, decimal_text(v / 1e9, 2, "bn"))
+        .when(F.abs(v) >= 1e6, decimal_text(v / 1e6, 2, "M"))
+        .otherwise(decimal_text(v / 1e3, 1, "K"))
     )
 
 
 def compact_defaults(c: ColumnOrName) -> Column:
     """STR2 (defaults): >= 1000 -> 'x.xxK', else whole number."""
     v = _c(c)
-    return F.when(v >= 1000, F.format_string("%.2fK", round_half_even(v / 1000, 2))).otherwise(
-        F.format_string("%.0f", F.bround(v, 0))
-    )
+    return F.when(v >= 1000, decimal_text(v / 1000, 2, "K")).otherwise(decimal_text(v, 0))
 
 
 def compact_count(c: ColumnOrName) -> Column:
     """STR2 (counts): >= 1000 -> 'xK', else the integer."""
     v = _c(c)
-    return F.when(v >= 1000, F.format_string("%.0fK", F.bround(v / 1000, 0))).otherwise(v.cast("string"))
+    return F.when(v >= 1000, decimal_text(v / 1000, 0, "K")).otherwise(v.cast("string"))
 
 
 # ---- bins ----------------------------------------------------------------------------------
@@ -158,7 +169,3 @@ def linspace(lo: float, hi: float, n: int) -> list[float]:
     """n+1 equally spaced edges, as NumPy ``linspace(lo, hi, n + 1)``."""
     step = (hi - lo) / n
     return [lo + i * step if i < n else hi for i in range(n + 1)]
-
-
-def is_finite(x: float) -> bool:
-    return not (math.isinf(x) or math.isnan(x))

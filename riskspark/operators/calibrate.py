@@ -26,14 +26,6 @@ def fit_isotonic(df: DataFrame, x: str, y: str, weight: str | None = None) -> Is
     return est.fit(pooled)
 
 
-def isotonic_boundaries(model: IsotonicRegressionModel) -> DataFrame:
-    """The fitted step/interpolation points (x, y) as a DataFrame."""
-    from pyspark.sql import SparkSession
-
-    b, p = model.boundaries.toArray().tolist(), model.predictions.toArray().tolist()
-    return SparkSession.getActiveSession().createDataFrame(list(zip(b, p)), "x double, y double")
-
-
 def calibrated_good(
     df: DataFrame,
     model: IsotonicRegressionModel,

@@ -17,9 +17,9 @@ def map_target(
 ) -> DataFrame:
     """CLN1: status text -> 1 (good) / 0 (bad) by exact match; NULL or unmapped rows dropped."""
     if not target_mapping:
-        raise ValueError("target_mapping dictionary must be provided.")
+        raise ValueError("a mapping of status texts to 0 and 1 is needed")
     if target_col not in df.columns:
-        raise KeyError(f"Target column '{target_col}' not found in DataFrame.")
+        raise KeyError(f"no status column named {target_col}; columns are {df.columns}")
     lookup = F.create_map(*chain.from_iterable((F.lit(k), F.lit(int(v))) for k, v in target_mapping.items()))
     mapped = F.try_element_at(lookup, F.col(target_col))
     return df.withColumn(binary_col_name, mapped).where(F.col(binary_col_name).isNotNull()).withColumn(

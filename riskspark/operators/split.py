@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that one task ranks.
+RANK_ROWS = 100_000
+
+
 def split_hash(key: str, seed: int) -> F.Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
 
@@ -26,11 +30,16 @@ def stratified_split(
     test_size: float = 0.20,
     val_size: float = 0.25,
     random_state: int = 42,
-    prefix_len: int = 3,
     split_col: str = "split",
 ) -> DataFrame:
-    """SPL1: add ``split`` in {'train', 'val', 'test'}, class shares kept."""
+    """SPL1: add ``split`` in {'train', 'val', 'test'}, class shares kept. Ranks are taken within a class
+    and a hash prefix, whose length follows from the largest class so that a task orders about
+    ``RANK_ROWS`` rows."""
     h = split_hash(key, random_state)
+    largest = df.groupBy(target_col).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    prefix_len = 1
+    while largest > RANK_ROWS * 16 ** prefix_len:
+        prefix_len += 1
     tagged = df.withColumn("_h", h).withColumn("_p", F.substring("_h", 1, prefix_len))
     counts = tagged.groupBy(target_col, "_p").agg(F.count(F.lit(1)).alias("_cnt"))
     w_cls = Window.partitionBy(target_col)
@@ -44,7 +53,7 @@ def stratified_split(
     rank = F.row_number().over(Window.partitionBy(target_col, "_p").orderBy("_h", key)) + F.col("_off")
     n_test = F.bround(F.col("_n") * F.lit(float(test_size)), 0)
     n_val = F.bround((F.col("_n") - n_test) * F.lit(float(val_size)), 0)
-    ranked = tagged.join(F.broadcast(offsets), [target_col, "_p"]).withColumn("_r", rank)
+    ranked = tagged.join(offsets, [target_col, "_p"]).withColumn("_r", rank)
     split = F.when(F.col("_r") <= n_test, "test").when(F.col("_r") <= n_test + n_val, "val").otherwise("train")
     return ranked.withColumn(split_col, split).drop("_h", "_p", "_off", "_n", "_r")
 

@@ -14,6 +14,7 @@ from riskspark.operators import woe as WO
 from riskspark.plans.catalog import register, rounded
 from riskspark.plans.q_prep import _ENG_CTES as ENG, engineered
 from riskspark.plans.q_woe import BIN_RATIOS, CATEGORICAL, GIVEN_CUTS, T, woe_encoded_oracle
+from riskspark.session import materialize
 from riskspark.sources import fixtures as fx
 
 W = fx.duckdb_with
@@ -171,7 +172,7 @@ _IV_CTE = ("iv AS (SELECT feature, round(coalesce(sum(CASE WHEN valid THEN (dg -
 
 def _encoded(spark, sf):
     df = engineered(spark, sf)
-    raw = WO.fit_woe(df, T, GIVEN_CUTS, CATEGORICAL).cache()
+    raw = materialize(WO.fit_woe(df, T, GIVEN_CUTS, CATEGORICAL), "bins")
     bt = rounded(raw, BIN_RATIOS)
     iv = rounded(WO.iv_summary(raw), ("iv",))
     enc = WO.transform_woe(df, bt, keep=["id", T], features=[*CATEGORICAL, *NUMERIC])
@@ -198,8 +199,6 @@ pr AS (SELECT a.feature AS a, b.feature AS b, CAST(a.pos AS INTEGER) AS a_pos, C
 
 _SELECTED = "SELECT feature, iv, row_number() OVER (ORDER BY iv DESC, feature) - 1 AS pos FROM iv WHERE iv >= 0.02 AND iv <= 0.55"
 _FEATS = [*CATEGORICAL, *NUMERIC]
-_CORR_CASES = " ".join(
-    f"WHEN pr.a = '{x}' AND pr.b = '{y}' THEN abs(corr(we.{x}, we.{y}))" for x in _FEATS for y in _FEATS if x != y)
 # DuckDB cannot take a column name from a row, so every ordered pair is spelled out.
 _CORR_SQL = "SELECT a, b, a_pos, b_pos, (SELECT CASE " + " ".join(
     f"WHEN pr.a = '{x}' AND pr.b = '{y}' THEN (SELECT abs(corr({x}, {y})) FROM we)" for x in _FEATS for y in _FEATS if x != y

@@ -109,19 +109,19 @@ _PRESETS = " UNION ALL ".join(
 
 
 def _money_text(x: str) -> str:
-    return (f"CASE WHEN abs({x}) >= 1e9 THEN printf('%.2fbn', (round_even(({x} / 1e9) * 100e0, 0) / 100e0)) "
-            f"WHEN abs({x}) >= 1e6 THEN printf('%.2fM', (round_even(({x} / 1e6) * 100e0, 0) / 100e0)) "
-            f"ELSE printf('%.1fK', (round_even(({x} / 1e3) * 10e0, 0) / 10e0)) END")
+    return (f"CASE WHEN abs({x}) >= 1e9 THEN printf('%.2fbn', {x} / 1e9) "
+            f"WHEN abs({x}) >= 1e6 THEN printf('%.2fM', {x} / 1e6) "
+            f"ELSE printf('%.1fK', {x} / 1e3) END")
 
 
 @register("pol4_policy_presets", "SELECT policy_order, policy, lgd, interest_margin, ead, cutoff, approved_count, rejected_count, "
           "approval_rate, expected_loss, expected_defaults, expected_profit, net_profit, gross_revenue, empirical_loss, bad_rate, roe, "
-          "printf('%.2f', (round_even((approval_rate) * 100e0, 0) / 100e0)) AS approval_rate_text, "
+          "printf('%.2f', approval_rate) AS approval_rate_text, "
           f"{_money_text('expected_loss')} AS expected_loss_text, "
-          "CASE WHEN expected_defaults >= 1000 THEN printf('%.2fK', (round_even((expected_defaults / 1000) * 100e0, 0) / 100e0)) "
-          "ELSE printf('%.0f', round_even(expected_defaults, 0)) END AS expected_defaults_text, "
+          "CASE WHEN expected_defaults >= 1000 THEN printf('%.2fK', expected_defaults / 1000) "
+          "ELSE printf('%.0f', expected_defaults) END AS expected_defaults_text, "
           f"{_money_text('expected_profit')} AS expected_profit_text, "
-          "CASE WHEN approved_count >= 1000 THEN printf('%.0fK', round_even(approved_count / 1000, 0)) "
+          "CASE WHEN approved_count >= 1000 THEN printf('%.0fK', approved_count / 1000) "
           "ELSE CAST(approved_count AS VARCHAR) END AS approved_count_text FROM ("
           + _policy_sql(_PRESETS).replace("@EXTRA@", "policy_order, policy, lgd_c AS lgd, margin AS interest_margin, ead,")
           + ")")
@@ -146,19 +146,32 @@ def pol5(spark, sf):
 
 # Buckets over the fixture's score range (scores 294-555), with one overlapping pair.
 FIXTURE_BUCKETS = ((300, 350), (350, 400), (400, 450), (450, 500), (500, 550), (380, 420), (550, 600))
-_BUCKETS_SQL = " UNION ALL ".join(f"SELECT {i} AS bucket_order, {lo} AS low, {hi} AS high" for i, (lo, hi) in enumerate(FIXTURE_BUCKETS))
-_BUCKET_BODY = W(f"b AS ({_BUCKETS_SQL})") + f""", x AS (
+
+
+def _bucket_body(buckets) -> str:
+    rows = " UNION ALL ".join(f"SELECT {i} AS bucket_order, {lo} AS low, {hi} AS high" for i, (lo, hi) in enumerate(buckets))
+    return W(f"b AS ({rows})") + """, x AS (
   SELECT b.bucket_order, b.low, b.high, count(s.id) AS cnt, sum(s.pd) AS sum_pd
   FROM b LEFT JOIN scored s ON s.score > b.low AND s.score <= b.high GROUP BY ALL)
 """
 
 
-@register("pol6_bucket_breakdown", _BUCKET_BODY + f"""
+_BUCKET_BODY = _bucket_body(FIXTURE_BUCKETS)
+_BREAKDOWN_SQL = f"""
 SELECT bucket_order, '(' || low || ', ' || high || ']' AS score_bucket, CAST(cnt AS BIGINT) AS Bucket_Count,
   {sql_round("CASE WHEN cnt > 0 THEN sum_pd / cnt ELSE 0 END", 6)} AS Bucket_Avg_PD,
   {sql_round("CASE WHEN cnt > 0 THEN sum_pd * 20000e0 * 0.5e0 ELSE 0 END", 2)} AS Bucket_Expected_Loss,
   CAST(low AS DOUBLE) AS _low
-FROM x""")
+FROM x"""
+
+
+@register("pol6_default_buckets", _bucket_body(P.DEFAULT_BUCKETS) + _BREAKDOWN_SQL)
+def pol6_default(spark, sf):
+    b = P.score_bucket_breakdown(fx.scored(spark, sf))
+    return rounded(P.sort_bucket_breakdown(b), ("Bucket_Avg_PD",), ("Bucket_Expected_Loss",))
+
+
+@register("pol6_bucket_breakdown", _BUCKET_BODY + _BREAKDOWN_SQL)
 def pol6(spark, sf):
     b = P.score_bucket_breakdown(fx.scored(spark, sf), 0.5, 20000.0, FIXTURE_BUCKETS)
     return rounded(P.sort_bucket_breakdown(b), ("Bucket_Avg_PD",), ("Bucket_Expected_Loss",))
@@ -212,6 +225,11 @@ def pol10(spark, sf):
     return rounded(_sweep(spark, sf), STRATEGY_RATIOS, STRATEGY_MONEY)
 
 
+SWEEP_COLUMNS = ("Cutoff", "Approved_Count", "Rejected_Count", "Acceptance_Rate", "Good_Count", "Bad_Count", "Portfolio_Bad_Rate",
+                 "Gross_Revenue", "Total_Empirical_Loss", "Total_Expected_Loss", "Net_Profit", "Expected_Net_Profit",
+                 "Net_Profit_Per_Loan", "Return_On_Exposure")
+
+
 def _constrained_sql(limit: float, what: str) -> str:
     return (f"(SELECT {what} FROM t t2 WHERE t2.Scenario = t.Scenario AND Portfolio_Bad_Rate <= {limit} AND Approved_Count > 0 "
             "ORDER BY Net_Profit DESC, Cutoff LIMIT 1)")
@@ -219,16 +237,13 @@ def _constrained_sql(limit: float, what: str) -> str:
 
 @register("pol10_scenario_summary", f"""
 WITH t AS ({_SWEEP2})
-SELECT scenario_order, Scenario,
+SELECT scenario_order, Scenario, max(lgd) AS lgd,
   first(Cutoff ORDER BY Net_Profit DESC, Cutoff) AS optimal_cutoff,
   first(Net_Profit ORDER BY Net_Profit DESC, Cutoff) AS max_profit,
   first(Acceptance_Rate ORDER BY Net_Profit DESC, Cutoff) AS optimal_acceptance_rate,
   first(Portfolio_Bad_Rate ORDER BY Net_Profit DESC, Cutoff) AS optimal_bad_rate,
   first(Approved_Count ORDER BY Net_Profit DESC, Cutoff) AS optimal_approved_count,
-  {_constrained_sql(0.03, 'Cutoff')} AS constrained_3pct_cutoff,
-  {_constrained_sql(0.03, 'Net_Profit')} AS constrained_3pct_profit,
-  {_constrained_sql(0.05, 'Cutoff')} AS constrained_5pct_cutoff,
-  {_constrained_sql(0.05, 'Net_Profit')} AS constrained_5pct_profit
+  {", ".join(f"{_constrained_sql(k / 100, c)} AS constrained_{k}pct_{c}" for k in (3, 5) for c in SWEEP_COLUMNS)}
 FROM t GROUP BY scenario_order, Scenario""")
 def pol10_summary(spark, sf):
     return P.scenario_summary(rounded(_sweep(spark, sf), STRATEGY_RATIOS, STRATEGY_MONEY))
@@ -256,9 +271,17 @@ def pol13(spark, sf):
 @register("pol14_dashboard_axes", f"""
 WITH t AS ({_SWEEP2}), d AS (SELECT *, Cutoff - lag(Cutoff) OVER (PARTITION BY Scenario ORDER BY Cutoff) AS dd FROM t)
 SELECT Scenario, coalesce(median(dd), 5e0) AS cutoff_step, min(Net_Profit) AS min_net_profit, max(Net_Profit) AS max_net_profit,
-  max(Portfolio_Bad_Rate) AS max_bad_rate, coalesce(median(dd), 5e0) * 0.75 AS bar_width FROM d GROUP BY Scenario""")
+  max(Portfolio_Bad_Rate) AS max_bad_rate, coalesce(median(dd), 5e0) * 0.75 AS bar_width,
+  round(CASE WHEN min(Net_Profit) < 0 THEN min(Net_Profit) * 1.10 ELSE 0e0 END, 2) AS profit_axis_low, round(max(Net_Profit) * 1.10, 2) AS profit_axis_high,
+  round(CASE WHEN max(Portfolio_Bad_Rate) > 0 THEN max(Portfolio_Bad_Rate) * 1.15 ELSE 0.20e0 END, 6) AS bad_rate_axis_high FROM d GROUP BY Scenario""")
 def pol14(spark, sf):
-    return P.dashboard_axes(rounded(_sweep(spark, sf), STRATEGY_RATIOS, STRATEGY_MONEY))
+    axes = P.dashboard_axes(rounded(_sweep(spark, sf), STRATEGY_RATIOS, STRATEGY_MONEY))
+    return rounded(axes, ("bad_rate_axis_high",), ("profit_axis_low", "profit_axis_high"))
+
+
+@register("pol14_dashboard_series", f"SELECT Scenario, Cutoff, Net_Profit AS bar, Portfolio_Bad_Rate AS line FROM ({_SWEEP2})")
+def pol14_series(spark, sf):
+    return P.dashboard_series(rounded(_sweep(spark, sf), STRATEGY_RATIOS, STRATEGY_MONEY))
 
 
 # Band targets for re-anchoring (low, high, target mean PD) over the fixture's score range.

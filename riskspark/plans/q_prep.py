@@ -198,20 +198,20 @@ def mth3(spark, sf):
 
 
 @register("str1_percent_and_interval_text", W() + """
-SELECT id, printf('%.2f%%', round_even(pd * 100e0 * 100e0, 0) / 100e0) AS pd_text,
+SELECT id, printf('%.2f%%', pd * 100e0) AS pd_text,
   '(' || CAST(CAST(300 + 50 * (ceil((score - 300) / 50e0) - 1) AS INTEGER) AS VARCHAR) || ', ' ||
-  CAST(CAST(300 + 50 * ceil((score - 300) / 50e0) AS INTEGER) AS VARCHAR) || ']' AS band_text FROM scored WHERE score > 300""")
+  CAST(CAST(300 + 50 * ceil((score - 300) / 50e0) AS INTEGER) AS VARCHAR) || ']' AS band_text FROM scored""")
 def str1(spark, sf):
-    s = fx.scored(spark, sf).where(F.col("score") > 300)
+    s = fx.scored(spark, sf)
     hi = (F.lit(300) + F.lit(50) * F.ceil((F.col("score") - 300) / 50.0)).cast("int")
     return s.select("id", X.percent_text("pd").alias("pd_text"), X.interval_text(hi - 50, hi).alias("band_text"))
 
 
 @register("str2_compact_text", W() + """
-SELECT id, CASE WHEN abs(v) >= 1e9 THEN printf('%.2fbn', (round_even((v / 1e9) * 100e0, 0) / 100e0)) WHEN abs(v) >= 1e6 THEN printf('%.2fM', (round_even((v / 1e6) * 100e0, 0) / 100e0))
-  ELSE printf('%.1fK', (round_even((v / 1e3) * 10e0, 0) / 10e0)) END AS money_text,
-  CASE WHEN n >= 1000 THEN printf('%.2fK', (round_even((n / 1000) * 100e0, 0) / 100e0)) ELSE printf('%.0f', round_even(n, 0)) END AS defaults_text,
-  CASE WHEN k >= 1000 THEN printf('%.0fK', round_even(k / 1000, 0)) ELSE CAST(k AS VARCHAR) END AS count_text
+SELECT id, CASE WHEN abs(v) >= 1e9 THEN printf('%.2fbn', v / 1e9) WHEN abs(v) >= 1e6 THEN printf('%.2fM', v / 1e6)
+  ELSE printf('%.1fK', v / 1e3) END AS money_text,
+  CASE WHEN n >= 1000 THEN printf('%.2fK', n / 1000) ELSE printf('%.0f', n) END AS defaults_text,
+  CASE WHEN k >= 1000 THEN printf('%.0fK', k / 1000) ELSE CAST(k AS VARCHAR) END AS count_text
 FROM (SELECT id, loan_amnt * 2500e0 - 1e8 AS v, installment / 10e0 AS n, CAST(id AS BIGINT) AS k FROM loans)""")
 def str2(spark, sf):
     l = fx.loans(spark, sf).select("id", (F.col("loan_amnt") * 2500.0 - 1e8).alias("v"),

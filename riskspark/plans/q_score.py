@@ -12,6 +12,7 @@ from riskspark.operators import woe as WO
 from riskspark.plans.catalog import register, rounded
 from riskspark.plans.q_woe import _TRANSFORM_CUTS, BIN_RATIOS, CATEGORICAL, T, transform_oracle_ctes
 from riskspark.plans.q_prep import engineered
+from riskspark.session import materialize
 from riskspark.sources import fixtures as fx
 
 W = fx.duckdb_with
@@ -27,7 +28,7 @@ _OFFSET = "(600e0 - 50e0 / ln(2e0) * ln(50e0))"
 
 def _encoded(spark, sf):
     df = engineered(spark, sf)
-    bt = rounded(WO.fit_woe(df, T, _TRANSFORM_CUTS, CATEGORICAL), BIN_RATIOS).cache()
+    bt = materialize(rounded(WO.fit_woe(df, T, _TRANSFORM_CUTS, CATEGORICAL), BIN_RATIOS), "bins")
     return df, bt
 
 
@@ -101,7 +102,7 @@ def scl6(spark, sf):
 # ---- master scale and deciles over ``scored`` -------------------------------------------------
 
 def _pct_sql(x: str) -> str:
-    return f"printf('%.2f%%', round_even({x} * 100e0 * 100e0, 0) / 100e0)"
+    return f"printf('%.2f%%', {x} * 100e0)"
 
 
 @register("mst1_master_scale", W() + f"""

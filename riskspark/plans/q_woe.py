@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from riskspark.config import LOAN_STATUS_MAPPING
 from riskspark.operators import clean as C
+from riskspark.operators import tree as TR
 from riskspark.operators import woe as WO
 from riskspark.plans.catalog import register, rounded
 from riskspark.plans.q_prep import CLEAN_CTE, ENGINEERED_CTE, SHAPED_CTE, engineered
+from riskspark.session import materialize
 from riskspark.sources import fixtures as fx
 
 W = fx.duckdb_with
@@ -181,7 +183,7 @@ SELECT 'const' AS feature, 'num' AS kind, 0 AS bin_id, '-inf'::DOUBLE AS lo, 'in
   0e0 AS woe, 0e0 AS iv, round((n - g) / n, 6) AS bad_rate, true AS valid FROM k""")
 def bin2(spark, sf):
     df = _cleaned_loans(spark, sf).withColumn("const", F.lit(1.0) + F.col("id") * 0)
-    return rounded(WO.fit_woe(df, T, {"const": []}), BIN_RATIOS)
+    return rounded(WO.fit_woe(df, T, TR.tree_cuts(df, ["const"], T, 6, 0.05)), BIN_RATIOS)
 
 
 @register("woe2_single_class_target", W(CLEAN_CTE) + """
@@ -222,15 +224,16 @@ def woe_encoded_oracle(numeric_cuts: dict, categorical: list[str], extra: str =
 
 
 @register("bin4_equal_width_bins", W(CLEAN_CTE, *_equal_width_sql("installment", 8)[:2]) + """
-SELECT id, CAST((SELECT count(*) FROM ed WHERE ed.i BETWEEN 1 AND 7 AND c.installment > ed.e) AS INTEGER) AS bin
-FROM c WHERE installment IS NOT NULL""")
+SELECT id, CASE WHEN installment IS NOT NULL THEN
+  CAST((SELECT count(*) FROM ed WHERE ed.i BETWEEN 1 AND 7 AND c.installment > ed.e) AS INTEGER) END AS bin FROM c""")
 def bin4(spark, sf):
-    """BIN4: equal-width bin of every row (8 bins over [min, max], lowest edge lowered by 0.1 %)."""
+    """BIN4: equal-width bin of every row (8 bins over [min, max], lowest edge lowered by 0.1 %); NULL
+    has no bin."""
     from riskspark.functions.exprs import right_closed_bin
 
-    df = _cleaned_loans(spark, sf).where(F.col("installment").isNotNull())
+    df = _cleaned_loans(spark, sf)
     edges = WO.equal_width_edges(df, "installment", 8)
-    return df.select("id", right_closed_bin("installment", edges[1:-1]).alias("bin"))
+    return df.select("id", F.when(F.col("installment").isNotNull(), right_closed_bin("installment", edges[1:-1])).alias("bin"))
 
 
 def transform_oracle_ctes() -> list[str]:
@@ -243,5 +246,5 @@ def transform_oracle_ctes() -> list[str]:
 def woe7(spark, sf):
     df = engineered(spark, sf)
     bt = WO.fit_woe(df, T, _TRANSFORM_CUTS, CATEGORICAL)
-    bt = rounded(bt, BIN_RATIOS).cache()
+    bt = materialize(rounded(bt, BIN_RATIOS), "bins")
     return WO.transform_woe(df, bt, keep=["id"], features=["purpose", "grade", "title", "loan_amnt", "annual_inc"])

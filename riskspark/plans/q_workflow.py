@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from riskspark.config import ScorecardConfig
 from riskspark.plans import workflow as WF
 from riskspark.plans.catalog import ORACLES, register
+from riskspark.plans.q_model import ENG
+from riskspark.plans.q_model import _encoded as encoded
 from riskspark.plans.q_score import DECILE_CTE
 from riskspark.sources import fixtures as fx
 from riskspark.sources import io
@@ -60,7 +62,7 @@ def src1(spark, sf):
     """Loans written as gzip CSV and read back with inferred types (SNK1 + SRC1)."""
     path = io.scratch_path(spark, "loans-csv")
     loans = fx.loans(spark, sf)
-    (loans.write.option("header", True).option("compression", "gzip")
+    (loans.write.option("header", True).option("compression", "gzip").option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     # explicit schema (SRC1 option) keeps the result schema stable; inference is the default
     return io.load_raw_data(spark, path, schema=loans.schema)
@@ -90,14 +92,20 @@ def snk3(spark, sf):
     return io.read_decile_report(spark, path, schema=t.schema)
 
 
-@register("snk2_model_roundtrip")
+@register("snk2_model_roundtrip", W(*ENG) + "SELECT id, true AS same FROM e")
 def snk2(spark, sf):
-    """Artefacts saved and loaded back; test rows rescored must equal the in-memory scores."""
-    res = _run(spark, sf)
-    out = WF.save_artifacts(spark, res, io.scratch_path(spark, "scorecard"), CFG)
-    art = WF.load_artifacts(spark, out)
-    a = res["_artifacts"]
-    enc = a["encoded"].where(F.col("split") == "test")
-    again = WF.score(enc, CFG, art["intercept"], art["coefficients"], art["isotonic"], [CFG.key_col])
-    return again.join(res["scored"].select(CFG.key_col, F.col("score").alias("score_before")), CFG.key_col).select(
-        CFG.key_col, "score", "score_before", (F.col("score") == F.col("score_before")).alias("same"))
+    """A fitted logistic model saved and loaded back: its probabilities of every row equal the formula
+    with the coefficients in memory."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from riskspark.operators import model as MO
+
+    enc, _ = encoded(spark, sf)
+    features = [c for c in enc.columns if c not in ("id", CFG.target_binary_col)]
+    model = MO.fit_logistic(enc, features, CFG.target_binary_col)
+    path = io.scratch_path(spark, "logistic")
+    model.write().overwrite().save(path)
+    scored = WF.load_model(path).transform(VectorAssembler(inputCols=features, outputCol="_features").transform(enc))
+    formula = MO.raw_good_probability(*MO.model_parameters(model, features))
+    return scored.select("id", (F.abs(vector_to_array("probability")[1] - formula) < 1e-9).alias("same"))

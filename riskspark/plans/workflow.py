@@ -1,7 +1,7 @@
 """End-to-end workflow (WF1) and scoring with saved artefacts (WF3).
 
-Stages 3-6 (read, clean, engineer, split) are one lazy plan, written once as Parquet in the shared
-checkpoint folder because every later stage reuses it. Driver round trips carry only bounded results:
+Stages 3-6 (read, clean, engineer, split) are written as Parquet in the shared checkpoint folder
+because every later stage reuses them; the raw data are read once. Driver round trips carry only bounded results:
 imputation values (one per column), tree cuts (<= max_bins - 1 per feature), the bin table
 (bins and categories), the selected feature list, coefficients and isotonic boundaries.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import asdict
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,17 +27,17 @@ from riskspark.operators import select as SE
 from riskspark.operators import split as SP
 from riskspark.operators import tree as TR
 from riskspark.operators import woe as WO
-from riskspark.session import checkpoint_dir, materialize
+from riskspark.session import materialize, temporary_tables
 from riskspark.sources import io
 
 
 def prepare(spark: SparkSession, cfg: ScorecardConfig, raw: DataFrame) -> tuple[DataFrame, dict]:
-    """CLN5 -> FE8 -> SPL1, materialised once as Parquet in the shared checkpoint folder."""
-    checkpoint_dir(spark)
+    """CLN5 -> FE8 -> SPL1. The shaped rows are written once, so that the raw data are read once; the
+    split counts and ranks them, and its result is written too."""
     cleaned = CL.clean_target_and_leakage(raw, cfg.target_col, cfg.loan_status_mapping, cfg.leakage_cols,
                                           cfg.target_binary_col, keep=(cfg.key_col,))
     shaped = cleaned.transform(EN.engineer_dates).transform(EN.engineer_emp_length).transform(EN.engineer_term)
-    split = SP.stratified_split(shaped, cfg.target_binary_col, cfg.key_col, cfg.test_size, cfg.val_size, cfg.random_state)
+    split = SP.stratified_split(materialize(shaped, "shaped"), cfg.target_binary_col, cfg.key_col, cfg.test_size, cfg.val_size, cfg.random_state)
     split = materialize(split, "prepared")
     fit_src = split if cfg.impute_fit_on == "all" else split.where(F.col("split") == "train")
     values = EN.imputation_values(fit_src, exclude=(cfg.key_col, cfg.target_binary_col, "split"), median_method=cfg.median_method)
@@ -53,19 +54,22 @@ def fit(spark: SparkSession, cfg: ScorecardConfig, prepared: DataFrame) -> dict:
     unsupported = [f for f, k in kinds.items() if k == "unsupported"]
     train = prepared.where(F.col("split") == "train")
     cuts = TR.tree_cuts(train, numeric, y, cfg.max_bins, cfg.min_samples_leaf)
-    # small results (bins x features) over the checkpointed prepared table: cached, recomputable
-    bins = WO.fit_woe(train, y, cuts, categorical).cache()
-    iv = WO.iv_summary(bins, unsupported).cache()
-    enc = WO.transform_woe(prepared, bins, keep=[key, y, "split"])
-    enc_train = enc.where(F.col("split") == "train")
+    bins = materialize(WO.fit_woe(train, y, cuts, categorical), "bins")
+    iv = materialize(WO.iv_summary(bins, unsupported), "iv")
+    # only features that pass the IV filter are encoded for the correlation and the fit
+    passed = [r["feature"] for r in SE.iv_selection(iv, cfg.iv_min, cfg.iv_max).collect()]
+    enc_train = materialize(WO.transform_woe(train, bins, keep=[key, y], features=passed), "encoded-train")
     chosen = SE.select_features(enc_train, iv, cfg.iv_min, cfg.iv_max, cfg.corr_threshold).orderBy("rank").collect()
     selected = [r["feature"] for r in chosen]
     model = MO.fit_logistic(enc_train, selected, y, cfg.c_penalty, cfg.max_iter, cfg.class_weight)
     intercept, coefs = MO.model_parameters(model, selected)
-    val = enc.where(F.col("split") == "val").withColumn("raw_good", MO.raw_good_probability(intercept, coefs))
+    # the selected features of the other parts, once
+    rest = materialize(WO.transform_woe(prepared.where(F.col("split") != "train"), bins, keep=[key, y, "split"], features=selected),
+                       "encoded-rest")
+    val = rest.where(F.col("split") == "val").withColumn("raw_good", MO.raw_good_probability(intercept, coefs))
     iso = CA.fit_isotonic(val, "raw_good", y)
     return {"cuts": cuts, "bins": bins, "iv": iv, "selected": selected, "model": model, "intercept": intercept,
-            "coefficients": coefs, "isotonic": iso, "encoded": enc}
+            "coefficients": coefs, "isotonic": iso, "encoded": rest}
 
 
 def score(df_encoded: DataFrame, cfg: ScorecardConfig, intercept: float, coefs: dict, iso: IsotonicRegressionModel,
@@ -80,31 +84,38 @@ def score(df_encoded: DataFrame, cfg: ScorecardConfig, intercept: float, coefs:
 
 
 def run(spark: SparkSession, cfg: ScorecardConfig, raw: DataFrame) -> dict[str, DataFrame]:
-    """WF1: the whole workflow; a dict of lazy result DataFrames (small ones already computed)."""
-    prepared, impute_values = prepare(spark, cfg, raw)
-    art = fit(spark, cfg, prepared)
+    """WF1: the whole workflow; a dict of result tables, written in the shared checkpoint folder. All
+    other tables written on the way are deleted at the end, also after a failure."""
     key, y = cfg.key_col, cfg.target_binary_col
-    test_enc = art["encoded"].where(F.col("split") == "test")
-    scored = score(test_enc, cfg, art["intercept"], art["coefficients"], art["isotonic"], [key, y]).withColumnRenamed(y, "target")
-    scored = materialize(scored, "scored-test")
-    sweep = PO.compare_lgd_scenarios(scored, cfg.ead, cfg.interest_margin,
-                                     PO.workflow_scenarios(cfg.lgd_baseline, cfg.lgd_stressed),
-                                     cfg.cutoff_min, cfg.cutoff_max, cfg.cutoff_step)
-    scaling = SC.Scaling(cfg.pdo, cfg.base_score, cfg.base_odds)
-    return {
+    with temporary_tables(spark) as keep:
+        prepared, impute_values = prepare(spark, cfg, raw)
+        art = fit(spark, cfg, prepared)
+        for name in ("bins", "iv", "encoded"):
+            keep(art[name])
+        test_enc = art["encoded"].where(F.col("split") == "test")
+        scored = score(test_enc, cfg, art["intercept"], art["coefficients"], art["isotonic"], [key, y]).withColumnRenamed(y, "target")
+        scored = keep(materialize(scored, "scored-test"))
+        scaling = SC.Scaling(cfg.pdo, cfg.base_score, cfg.base_odds)
+        sweep = keep(materialize(PO.compare_lgd_scenarios(
+            scored, cfg.ead, cfg.interest_margin, PO.workflow_scenarios(cfg.lgd_baseline, cfg.lgd_stressed),
+            cfg.cutoff_min, cfg.cutoff_max, cfg.cutoff_step), "sweep"))
+        results = {
+            "discrimination": ME.discrimination(scored, "target", "raw_good"),
+            "calibration": ME.calibration_metrics(scored, "target", "p_good"),
+            "master_scale": SC.master_scale(scored, "score", "pd", cfg.master_scale_min_score, cfg.master_scale_max_score,
+                                            cfg.master_scale_bin_width),
+            "decile_table": SC.decile_table(scored, "score", "target"),
+            "points_table": SC.points_table(art["bins"], art["intercept"], art["coefficients"], scaling),
+            "scenario_summary": PO.scenario_summary(sweep),
+        }
+        results = {name: keep(materialize(df, name.replace("_", "-"))) for name, df in results.items()}
+    return results | {
         "bins": art["bins"],
         "iv": art["iv"],
         "selected": spark.createDataFrame([(i, f) for i, f in enumerate(art["selected"])], "rank int, feature string"),
         "coefficients": MO.coefficients_table(art["model"], art["selected"]),
         "scored": scored,
-        "discrimination": ME.discrimination(scored, "target", "raw_good"),
-        "calibration": ME.calibration_metrics(scored, "target", "p_good"),
-        "master_scale": SC.master_scale(scored, "score", "pd", cfg.master_scale_min_score, cfg.master_scale_max_score,
-                                        cfg.master_scale_bin_width),
-        "decile_table": SC.decile_table(scored, "score", "target"),
-        "points_table": SC.points_table(art["bins"], art["intercept"], art["coefficients"], scaling),
         "cutoff_simulation": sweep,
-        "scenario_summary": PO.scenario_summary(sweep),
         "_artifacts": art | {"impute_values": impute_values},
     }
 
@@ -124,10 +135,12 @@ def save_artifacts(spark: SparkSession, results: dict, out_dir: str, cfg: Scorec
     """SNK1 + SNK2: small tables as CSV; bin table as Parquet; model and isotonic model with the
     ML writers; coefficients, settings and imputation values as JSON."""
     art = results["_artifacts"]
-    for name in ("master_scale", "decile_table", "cutoff_simulation", "scenario_summary"):  # <= a few hundred rows
-        io.write_csv(results[name], f"{out_dir}/{name}")
+    for name, order in (("master_scale", ["band"]), ("decile_table", ["decile"]), ("cutoff_simulation", ["scenario_order", "Cutoff"]),
+                        ("scenario_summary", ["scenario_order"])):  # <= a few hundred rows
+        io.write_csv(results[name], f"{out_dir}/{name}", [c for c in order if c in results[name].columns], single_file=True)
     # one row per bin or category of the model features: large with uncapped categoricals (K25)
-    io.write_csv(results["points_table"], f"{out_dir}/points_table", single_file=False)
+    points = results["points_table"]
+    io.write_csv(points, f"{out_dir}/points_table", ["row_kind", "Feature", "bin_id", "category"])
     art["bins"].write.mode("overwrite").parquet(f"{out_dir}/bins")
     art["model"].write().overwrite().save(f"{out_dir}/logistic_model")
     art["isotonic"].write().overwrite().save(f"{out_dir}/isotonic_model")
@@ -138,10 +151,16 @@ def save_artifacts(spark: SparkSession, results: dict, out_dir: str, cfg: Scorec
     return out_dir
 
 
+def load_model(path: str) -> LogisticRegressionModel:
+    """SNK2: a saved logistic model."""
+    return LogisticRegressionModel.load(path)
+
+
 def load_artifacts(spark: SparkSession, out_dir: str) -> dict:
     meta = io.load_json(spark, f"{out_dir}/scorecard.json")
     return {
         "bins": spark.read.parquet(f"{out_dir}/bins"),
+        "model": load_model(f"{out_dir}/logistic_model"),
         "isotonic": IsotonicRegressionModel.load(f"{out_dir}/isotonic_model"),
         **meta,
     }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,15 +49,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_recorders: list[list[str]] = []
+
+
 def materialize(df, name: str):
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts lineage like a reliable checkpoint and survives executor loss, but computes the plan
     once (an unpersisted eager ``checkpoint()`` computes it twice: for its count and again for
     the checkpoint files), and later readers get column pruning and filter pushdown."""
-    import uuid
-
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    if _recorders:
+        _recorders[-1].append(path)
+    return out
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Delete at the end every table that ``materialize`` writes in this block, but those given to the
+    function that the block gets."""
+    paths: list[str] = []
+    _recorders.append(paths)
+
+    def keep(df):
+        paths.remove(df._written_to)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _recorders.remove(paths)
+        for path in paths:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

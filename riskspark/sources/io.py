@@ -4,17 +4,46 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 from riskspark.session import checkpoint_dir
 
 _NON_SPLITTABLE = (".gz", ".gzip", ".zst", ".zstd")
 
 
+# Texts that mean "missing" in a CSV file (the usual defaults of CSV readers).
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+             "NaN", "None", "n/a", "nan", "null")
+_NUMBER, _WHOLE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$", r"^\s*[+-]?\d{1,18}\s*$"
+
+
+def na_to_null(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+    """NULL for every text that is one of the tokens."""
+    return df.select(*[
+        F.when(~F.col(f"`{f.name}`").isin(list(tokens)), F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType)
+        else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def infer_numbers(df: DataFrame) -> DataFrame:
+    """Text columns whose values are all numbers become bigint or double; columns without a value
+    double. One aggregation over all columns."""
+    names = df.columns
+    row = df.agg(F.lit(0).alias("_"), *[x for i, c in enumerate(names) for x in (
+        F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.count_if(F.col(f"`{c}`").rlike(_NUMBER)).alias(f"d{i}"),
+        F.count_if(F.col(f"`{c}`").rlike(_WHOLE)).alias(f"w{i}"))]).first()
+    out = []
+    for i, c in enumerate(names):
+        n, d, w = row[f"n{i}"], row[f"d{i}"], row[f"w{i}"]
+        kind = "double" if n == 0 else "bigint" if w == n else "double" if d == n else "string"
+        out.append(F.trim(F.col(f"`{c}`")).cast(kind).alias(c) if kind != "string" else F.col(f"`{c}`"))
+    return df.select(*out)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing numbers are SQL NULL: Spark treats NaN as a value (largest, counted in averages)."""
     cols = []
@@ -34,25 +63,29 @@ def load_raw_data(
     random_state: int = 42,
     key: str = "id",
     min_partitions: int | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """SRC1 (+SRC2): CSV with header; compression from the extension; types inferred unless a
-    schema is given; NaN -> NULL. A missing path raises FileNotFoundError. A single compressed
-    file is one split, so it is repartitioned right after the read."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    """SRC1 (+SRC2): CSV with header, doubled quotes and line ends within quotes; compression from the
+    extension. Missing-value texts become NULL before types are told: a column is a number if all that
+    is left of it are numbers (a given schema is taken instead), NaN becomes NULL. A missing path raises
+    FileNotFoundError. A compressed file, and any file with ``multi_line``, is one split, so it is dealt
+    out right after the read; set ``multi_line=False`` for large files without line ends in texts."""
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
     try:
         df = reader.csv(path)
         if schema is None:
             df.schema  # noqa: B018  (forces the path check for inferred schemas)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise FileNotFoundError(f"Data file not found at: {path}") from e
+            raise FileNotFoundError(f"no such CSV file: {path}") from e
         raise
-    if path.endswith(_NON_SPLITTABLE):
+    if multi_line or path.endswith(_NON_SPLITTABLE):
         target = min_partitions or spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < target:
             df = df.repartition(target)
-    df = nan_to_null(df)
+    df = na_to_null(df)
+    df = nan_to_null(df if schema is not None else infer_numbers(df))
     if sample_size is not None:
         df = sample_rows(df, sample_size, random_state, key)
     return df
@@ -70,17 +103,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True) -> str:
-    """SNK1: CSV with header, whitespace kept. Result tables are small (bins, bands, cutoffs),
-    so one file is written; pass ``single_file=False`` for large tables (e.g. K25 points)."""
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+def write_csv(df: DataFrame, path: str, order_by: Sequence[str] = (), single_file: bool = False) -> str:
+    """SNK1: CSV with header, whitespace kept, rows in the order of ``order_by`` across the files. Ask for
+    ``single_file`` only for tables of a bounded size (bins, bands, cutoffs)."""
+    out = df.orderBy(*order_by) if order_by else df
+    out = out.coalesce(1) if single_file else out
+    (out.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    reader = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    reader = spark.read.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
@@ -104,5 +138,5 @@ def load_json(spark: SparkSession, path: str) -> dict:
     try:
         row = spark.read.text(path).first()
     except AnalysisException as e:
-        raise FileNotFoundError(f"artefact not found at: {path}") from e
+        raise FileNotFoundError(f"no saved artefact under {path}") from e
     return json.loads(row[0])

@@ -115,3 +115,21 @@ def test_modes_of_hot_and_all_distinct_texts(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"t{i}", f"u{i:05d}", None) for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, a string, b string, c string")
     assert E.imputation_values(df, exclude=("id",)) == {"a": "hot", "b": "u00000"}
+
+
+def test_texts_equal_exact_formatting(spark):
+    import random
+
+    from riskspark.functions import exprs as X
+
+    rnd = random.Random(4)
+    xs = [k / 100000 for k in range(5, 100000, 250)] + [0.125, 0.375, 0.00005, 0.0, 1.0, -0.00001, 2.675, 1e-9] + [rnd.random() for _ in range(500)]
+    ms = [x * 10 ** rnd.randint(0, 12) for x in xs] + [2500.0, 1250000.0, 1e9, 0.5, 1.5]
+    p = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").orderBy("i").select(X.percent_text("x")).collect()]
+    assert p == [f"{x:.2%}" for x in xs]
+
+    def money(v):
+        return f"{v / 1e9:.2f}bn" if abs(v) >= 1e9 else f"{v / 1e6:.2f}M" if abs(v) >= 1e6 else f"{v / 1e3:.1f}K"
+
+    m = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(ms)], "i int, x double").orderBy("i").select(X.compact_money("x")).collect()]
+    assert m == [money(x) for x in ms]

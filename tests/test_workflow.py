@@ -19,11 +19,12 @@ def test_workflow_save_load_rescore_and_stream(spark):
     # split is complete and disjoint
     a = res["_artifacts"]
     parts = {r["split"]: r["count"] for r in a["encoded"].groupBy("split").count().collect()}
-    assert set(parts) == {"train", "val", "test"}
+    assert set(parts) == {"val", "test"}
     # save -> load -> rescore gives the same scores
     out = WF.save_artifacts(spark, res, io.scratch_path(spark, "t-scorecard"), CFG)
     art = WF.load_artifacts(spark, out)
     assert art["selected"] == a["selected"]
+    assert art["model"].coefficients == a["model"].coefficients and art["model"].intercept == a["intercept"]
     test_enc = a["encoded"].where(F.col("split") == "test")
     again = WF.score(test_enc, CFG, art["intercept"], art["coefficients"], art["isotonic"], ["id"])
     before = res["scored"].select("id", F.col("score").alias("s0"), F.col("p_good").alias("p0"))
@@ -62,3 +63,37 @@ def test_cli_runs_on_a_csv(spark):
     assert summary["n_features"] >= 1
     assert any(k.startswith("optimal_cutoff[Baseline (LGD=45%)") for k in summary)
     assert spark.read.option("header", True).csv(f"{out}/decile_table").count() > 0
+
+
+def test_csv_with_quotes_line_ends_and_missing_texts(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('id,annual_inc,desc,emp_length,grade\n1,50000.5,"He said ""yes"",\nthen left",10+ years,A\n'
+                    '2,NA,plain,n/a,NULL\n3,70000,"a, b",< 1 year,B\n4,,None,2 years,nan\n')
+    df = io.load_raw_data(spark, str(path))
+    assert dict(df.dtypes) == {"id": "bigint", "annual_inc": "double", "desc": "string", "emp_length": "string", "grade": "string"}
+    rows = {r["id"]: r for r in df.collect()}
+    assert len(rows) == 4 and rows[1]["desc"] == 'He said "yes",\nthen left'
+    assert rows[2]["annual_inc"] is None and rows[2]["emp_length"] is None and rows[2]["grade"] is None and rows[4]["desc"] is None
+    import pandas as pd
+
+    want = pd.read_csv(path)
+    assert [None if pd.isna(x) else x for x in want["annual_inc"]] == [rows[i]["annual_inc"] for i in (1, 2, 3, 4)]
+    assert [None if pd.isna(x) else x for x in want["desc"]] == [rows[i]["desc"] for i in (1, 2, 3, 4)]
+
+
+def test_tables_of_a_block_are_deleted_but_those_kept(spark):
+    import pytest
+
+    from riskspark.session import materialize, temporary_tables
+
+    with temporary_tables(spark) as keep:
+        kept, gone = keep(materialize(spark.range(3), "kept")), materialize(spark.range(4), "gone")
+        assert gone.count() == 4
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        spark.read.parquet(gone._written_to)
+
+
+def test_csv_rows_keep_their_order(spark, tmp_path):
+    path = io.write_csv(spark.range(500).repartition(7), str(tmp_path / "t"), ["id"], single_file=True)
+    assert [r["id"] for r in io.read_csv(spark, path).collect()] == [*range(500)]

@@ -148,3 +148,12 @@ def test_common_prefix_is_the_longest(spark):
     assert {r["turn"] for r in got if r["learned"]} == {7, 9, 11}
     equal = chat_preference.preference(chosen, chosen).collect()
     assert {r["part"] for r in equal} == {"prompt"} and len(equal) == 12
+
+
+def test_no_local_checkpoint_cross_join_or_swallowed_import():
+    import pathlib
+
+    root = pathlib.Path(__file__).resolve().parents[2]
+    for p in [*root.joinpath("riskspark", "llm").glob("*.py"), root / "corpus_pipeline.py"]:
+        text = p.read_text()
+        assert not any(x in text for x in ("localCheckpoint", "crossJoin(", "except ImportError", "except ModuleNotFoundError")), p.name

@@ -33,42 +33,61 @@ BLOCK_BYTES, TABLE_BYTES = 8_000_000, 8_000_000
 BEGIN, ALL = np.uint64(0x0B1A7E5EED), np.uint64(0x5EA15EA15EA1)
 
 
-def grams(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of each word, of the word (or mark) before it, and of the two together."""
+def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each word, and of each word with the one (or the mark) before it."""
     words = word_hashes(text)
     before = np.concatenate([[BEGIN], words[:-1]]) if len(words) else words
-    return words, before, mix(before * np.uint64(3) + mix(words + np.uint64(1)))
+    return words, mix(before * np.uint64(3) + mix(words + np.uint64(1)))
 
 
-def asked(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys of a block with their counts; a text counts one mark, words count for ALL."""
-    found = [grams(t) for t in texts]
-    n = sum(len(w) for w, *_ in found)
-    marks = np.full(sum(len(w) > 0 for w, *_ in found), BEGIN)
-    keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), marks, *(x for w, _, b in found for x in (w, b))]), return_counts=True)
-    keys, counts = np.append(keys, ALL), np.append(counts, n)
-    order = np.argsort(keys, kind="stable")
-    return keys[order], counts[order]
+class Block:
+    """The documents of a block: sorted distinct ``keys`` with their ``counts`` (a text counts one mark, its
+    words count for ALL), and each text's places of its words and pairs among the keys."""
 
+    def __init__(self, texts: list[str | None]) -> None:
+        found = [grams(t) for t in texts]
+        words, pairs = [w for w, _ in found], [p for _, p in found]
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        marks = np.array([BEGIN, ALL])
+        self.keys, place, counts = np.unique(np.concatenate([marks, *words, *pairs]), return_inverse=True, return_counts=True)
+        n = int(self.sizes.sum())
+        self.begin, self.all = place[:2]
+        self.words, self.pairs = place[2:2 + n], place[2 + n:]
+        self.counts = counts
+        self.counts[self.begin] = (self.sizes > 0).sum()
+        self.counts[self.all] = n
 
-def score(text: str | None, keys: np.ndarray, totals: np.ndarray) -> tuple[int, float]:
-    """(words, sum of log scores) of a text, given the corpus totals of its block's keys."""
-    words, before, pairs = grams(text)
-    if not len(words):
-        return 0, 0.0
+    def scores(self, totals: np.ndarray) -> list[float]:
+        """Sum of log scores of each text, given the corpus totals of the keys."""
+        out, end = [], 0
+        for n in self.sizes.tolist():
+            word, pair = self.words[end:end + n], self.pairs[end:end + n]
+            end += n
+            out.append(log_score(word, pair, totals, self.begin, self.all) if n else 0.0)
+        return out
 
-    def others(x: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Counts of x in all other documents; own: the keys of this one."""
-        distinct, times = np.unique(own, return_counts=True)
-        mine = np.where(distinct[(k := np.minimum(np.searchsorted(distinct, x), len(distinct) - 1))] == x, times[k], 0)
-        return totals[np.searchsorted(keys, x)] - mine
 
-    pair, word = others(pairs, pairs), others(words, words)
-    context = others(before, np.append(words, BEGIN))
-    everything = totals[np.searchsorted(keys, ALL)] - len(words)
-    low = BACKOFF * np.where(word > 0, word, UNSEEN) / max(everything, 1)
-    s = np.where(pair > 0, pair / np.maximum(context, 1), low)
-    return len(words), float(np.log(s).sum())
+def log_score(word: np.ndarray, pair: np.ndarray, totals: np.ndarray, begin: int, everything: int) -> float:
+    """Sum of the log scores of one text's words, given as places among the keys."""
+
+    def others(x: np.ndarray) -> np.ndarray:
+        """Counts of x in all other documents."""
+        _, back, times = np.unique(x, return_inverse=True, return_counts=True)
+        return totals[x] - times[back]
+
+    pairs, words = others(pair), others(word)
+    context = np.concatenate([[totals[begin] - 1], words[:-1]])
+    low = BACKOFF * np.where(words > 0, words, UNSEEN) / max(totals[everything] - len(word), 1)
+    return float(np.log(np.where(pairs > 0, pairs / np.maximum(context, 1), low)).sum())
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Integers as planes of bytes, which compress well where the high bytes are equal."""
+    return np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1)
 
 
 def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, table_bytes: int = TABLE_BYTES) -> DataFrame:
@@ -80,28 +99,27 @@ def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, table_bytes: int = T
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
     def ask(block: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = asked(block["text"].tolist())
+        b = Block(block["text"].tolist())
+        keys, counts = b.keys, b.counts
         part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
         edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
         spans = list(zip(edges[:-1], edges[1:]))
         return pd.DataFrame({"part": part[edges[:-1]], "block": block["block"].iloc[0],
-                             "keys": [keys[a:b].tobytes() for a, b in spans],
-                             "counts": [counts[a:b].astype(np.uint32).tobytes() for a, b in spans]})
+                             "keys": [packed(np.diff(keys[i:j], prepend=np.uint64(0))) for i, j in spans],
+                             "counts": [packed(counts[i:j]) for i, j in spans]})
 
     def answer(part: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(x, np.uint64) for x in part["keys"]]
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in part["counts"]])
+        keys = [np.cumsum(unpacked(x), dtype=np.uint64) for x in part["keys"]]  # sent as differences
+        counts = np.concatenate([unpacked(x) for x in part["counts"]])
         _, row = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(row, weights=counts).astype(np.int64)[row]
         ends = np.cumsum([len(k) for k in keys])[:-1]
-        return pd.DataFrame({"block": part["block"], "part": part["part"], "totals": [t.tobytes() for t in np.split(totals, ends)]})
+        return pd.DataFrame({"block": part["block"], "part": part["part"], "totals": [packed(t) for t in np.split(totals, ends)]})
 
     def judge(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts = block["text"].tolist()
-        keys, _ = asked(texts)
-        totals = np.concatenate([np.frombuffer(x, np.int64) for x in answers.sort_values("part")["totals"]])
-        got = [score(t, keys, totals) for t in texts]
-        return pd.DataFrame({"doc_id": block["doc_id"].astype("Int64"), "n_words": [n for n, _ in got], "log_score": [s for _, s in got]})
+        b = Block(block["text"].tolist())
+        totals = np.concatenate([unpacked(x) for x in answers.sort_values("part")["totals"]]).astype(np.int64)
+        return pd.DataFrame({"doc_id": block["doc_id"].astype("Int64"), "n_words": b.sizes, "log_score": b.scores(totals)})
 
     requests = rows.groupBy("block").applyInPandas(ask, "part bigint, block bigint, keys binary, counts binary")
     replies = requests.groupBy("part").applyInPandas(answer, "block bigint, part bigint, totals binary")

@@ -163,7 +163,8 @@ def sample(rows: DataFrame, per_language: int) -> DataFrame:
     counts = rows.groupBy("lang").agg(F.count("*").alias("__n"))
     share = F.least(F.lit(1.0), 2.0 * per_language / F.col("__n"))
     place = F.xxhash64("key", "text")
-    near = (rows.join(counts, "lang").withColumn("__h", place)
+    # one row for each class of the model: broadcast, so that rows are thinned out before any shuffle
+    near = (rows.join(F.broadcast(counts), "lang").withColumn("__h", place)
             .where(F.pmod("__h", F.lit(1_000_003)) < share * 1_000_003))
     from pyspark.sql import Window
 

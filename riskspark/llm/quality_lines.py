@@ -71,17 +71,25 @@ def judge(docs: DataFrame, text: str = "text", out: str = "quality") -> DataFram
         F.lit(0), lambda a, x: a + x)
     lost = F.aggregate(F.filter(F.col(ls), line_fails), F.lit(0), lambda a, x: a + F.size(words(x)))
     long = lambda c: c.cast("bigint")
-    d = d.withColumn(out, F.struct(
+    counts = F.struct(
         long(F.size(w)).alias("n_words"), long(F.length(F.array_join(w, ""))).alias("word_chars"),
         long(F.regexp_count(F.col(t), F.lit(SYMBOLS))).alias("n_symbols"),
         long(F.size(ls) - F.size(F.array_distinct(ls))).alias("n_dup_lines"),
-        long(covered).alias("n_repeat_words"), long(lost).alias("lost_words")))
+        long(covered).alias("n_repeat_words"), long(lost).alias("lost_words"))
+    # The counts go through explode of a one-element array: a later filter on them would otherwise be
+    # pushed below these projections and copy their expressions into one another, over and over.
+    d = d.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], F.explode(F.array(counts)).alias(out))
     q = lambda c: F.col(f"`{out}`.{c}")
     failed = (q("n_words") < LEAST_WORDS) | (100 * q("n_repeat_words") > MOST_REPEATED * q("n_words"))
     cleaned = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x: ~line_fails(x)), "\n")
     return d.withColumn(out, F.col(out).withField("base_failed", failed)
                         .withField("kept", ~failed & (100 * q("lost_words") <= MOST_LOST * q("n_words")))
-                        .withField("cleaned", cleaned)).drop(*[name(c) for c in (t, w, ls, win, pos)])
+                        .withField("cleaned", cleaned))
+
+
+def keep(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that are kept, with their columns alone."""
+    return judge(docs, text, "__quality").where("`__quality`.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words", "base_failed", "kept"]

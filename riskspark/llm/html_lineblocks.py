@@ -3,9 +3,10 @@
 Markup is stripped into lines, one per block element. A window of a few lines slides over them and
 sums their text lengths (text of links counts nothing). Where the sums surge from zero a region
 begins, where they dive to zero it ends; a region counts if its sums reach a threshold, or the page's
-own peak if that is lower. Of the regions the one with most text is kept, whole: all lines from its
-surge to its dive. Regions within ``article`` or ``main`` elements go before others, whose borders
-are gaps for the window. What carries no article text by its element, role, class or id (menus, page
+own peak if that is lower. If a region lies within an ``article`` or ``main`` element (whose borders are
+gaps for the window), all lines of all such elements are kept, link lines before, between and behind the
+regions too. Else the region with most text is kept, whole: all lines from its surge to its dive, besides
+the lines of articles too short for a surge. What carries no article text by its element, role, class or id (menus, page
 headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) leaves no line.
 
 Null or empty html gives the empty text, as does a page without text. Each page is handled alone and
@@ -145,6 +146,7 @@ def main_text(html: str | None) -> str:
     lengths = [n for _, n, _ in found]
     sums = [sum(lengths[i:i + WINDOW]) for i in range(len(found))]
     least = min(SURGE, max(sums, default=0))
+    kept = {k for k, (_, _, a) in enumerate(found) if a}
     regions, i = [], 0
     while i < len(found):
         if not sums[i]:
@@ -156,10 +158,10 @@ def main_text(html: str | None) -> str:
         if max(sums[i:end]) >= least:
             regions.append((i, end))
         i = end
-    # a window reaches back before its first line with text: a surge within a gap is at that line
-    best = max(regions, key=lambda r: (any(found[k][2] for k in range(*r)), sum(lengths[r[0]:r[1]]), -r[0]), default=(0, 0))
-    numbers = {found[k][2] for k in range(*best) if found[k][1]}
-    return "\n".join(t for t, _, a in found[best[0]:best[1]] if t and (a or 0 in numbers))
+    # gaps keep regions within articles apart from others
+    if not any(k in kept for r in regions for k in range(*r)):
+        kept.update(range(*max(regions, key=lambda r: (sum(lengths[r[0]:r[1]]), -r[0]), default=(0, 0))))
+    return "\n".join(found[k][0] for k in sorted(kept) if found[k][0])
 
 
 def extract(pages: DataFrame) -> DataFrame:

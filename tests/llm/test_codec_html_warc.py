@@ -88,6 +88,22 @@ def test_article_is_found(page):
     assert html_lineblocks.main_text(page) == WANT
 
 
+REFS = "<ul>" + "".join(f"<li><a href=r{i}>Reference number {i}</a></li>" for i in range(4)) + "</ul>"
+REFS_WANT = "\n".join(f"Reference number {i}" for i in range(4))
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<nav>Menu</nav><article>{ARTICLE}{REFS}{ARTICLE}</article><footer>foot</footer>", f"{WANT}\n{REFS_WANT}\n{WANT}"),
+    (f"<article>{REFS}{ARTICLE}{REFS}</article><p>{'outside ' * 300}</p>", f"{REFS_WANT}\n{WANT}\n{REFS_WANT}"),
+    (f"<main>{ARTICLE}<p><a href=n>Next chapter</a></p></main>", f"{WANT}\nNext chapter"),
+    (f"<article>{ARTICLE}</article><div>between</div><article>{ARTICLE}{REFS}</article>", f"{WANT}\n{WANT}\n{REFS_WANT}"),
+    (f"<article><p>Short teaser.</p></article><div>{ARTICLE}</div>", f"Short teaser.\n{WANT}"),
+    (f"<main>{REFS}</main>", REFS_WANT),
+])
+def test_articles_are_kept_whole(page, want):
+    assert html_lineblocks.main_text(page) == want
+
+
 def test_pages_of_the_table(spark):
     import html
     import re

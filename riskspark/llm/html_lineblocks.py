@@ -7,7 +7,10 @@ own peak if that is lower. If a region lies within an ``article`` or ``main`` el
 gaps for the window), all lines of all such elements are kept, link lines before, between and behind the
 regions too. Else the region with most text is kept, whole: all lines from its surge to its dive, besides
 the lines of articles too short for a surge. What carries no article text by its element, role, class or id (menus, page
-headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) leaves no line.
+headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles) leaves no line. An element
+that encloses an article or main element is not dropped for being a form or header nor for its role, class
+or id (what it encloses is judged by itself), and a form with most of the text of the page's lines is not
+dropped; their controls are.
 
 Null or empty html gives the empty text, as does a page without text. Each page is handled alone and
 whole, however long; repeated rows give repeated results and an empty table an empty result."""
@@ -46,9 +49,10 @@ NAMES = frozenset("nav navbar navigation menu submenu breadcrumb breadcrumbs sid
 HOLDERS = frozenset("article main wrapper container layout page with has site".split())
 
 
-def dropped(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of an article; inside: it stands within one."""
-    if tag in DROPPED or tag == "header" and not inside:
+def dropped(tag: str, attributes: str, inside: bool, spared: bool = False) -> bool:
+    """Whether an element is no part of an article; inside: it stands within one; spared: being a form or
+    header, its role, class and id count nothing."""
+    if tag in DROPPED and not (spared and tag == "form") or tag == "header" and not (inside or spared):
         return True
     if not attributes or tag in ("html", "body", "main"):
         return False
@@ -58,6 +62,8 @@ def dropped(tag: str, attributes: str, inside: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
+        if spared:
+            continue
         if name == "role" and value in ROLES:
             return True
         if name in ("class", "id"):
@@ -69,16 +75,56 @@ def dropped(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
+def holders(tokens: list[re.Match]) -> set[int]:
+    """Which tokens open an element that encloses an article or main element."""
+    out: set[int] = set()
+    stack: list[tuple[str, int, bool]] = []  # tag, token, whether it is dropped whatever it encloses
+    for i, m in enumerate(tokens):
+        tag = (m[3] or "br").lower()
+        if tag in VOID:
+            continue
+        if not m[2]:
+            if tag in ("article", "main") and not dropped(tag, m[4], True) and not any(gone for _, _, gone in stack):
+                out.update(k for _, k, _ in stack)
+            if tag == "body":
+                stack = [(t, k, False) for t, k, _ in stack]
+            stack.append((tag, i, dropped(tag, m[4], True, True)))
+        elif any(t == tag for t, _, _ in stack):
+            while stack.pop()[0] != tag:
+                pass
+    return out
+
+
+def large_forms(html: str, tokens: list[re.Match], spared: set[int]) -> set[int]:
+    """Which tokens open a form that holds more than half of the text of the page's lines."""
+    forms = {i for i, m in enumerate(tokens) if not m[2] and m[3] and m[3].lower() == "form"} - spared
+    if not forms:
+        return forms
+    held = dict.fromkeys(forms, 0)
+    total = sum(len(t) for t, _, _ in walk(html, tokens, spared | forms, held=held))
+    return {i for i in forms if 2 * held[i] > total}
+
+
 def lines(html: str, everything: bool = False) -> list[tuple[str, int, int]]:
+    """The lines of ``walk``, with the elements spared that enclose an article or most of the page's text."""
+    tokens = list(TOKEN.finditer(html))
+    spared = set() if everything else holders(tokens)
+    return walk(html, tokens, spared if everything else spared | large_forms(html, tokens, spared), everything)
+
+
+def walk(html: str, tokens: list[re.Match], spared: set[int], everything: bool = False,
+         held: dict[int, int] | None = None) -> list[tuple[str, int, int]]:
     """(text, length without links, article number) of every line; article 0 is outside of any. Where an
     article begins or ends there are as many empty lines as a window has. With ``everything`` the lines of
-    menus, adverts and the like stand among them (scripts and styles never do)."""
+    menus, adverts and the like stand among them (scripts and styles never do). The lengths of lines that end
+    within the elements of ``held`` are added up there."""
     out: list[tuple[str, int, int]] = []
     text: list[str] = []
     linked = at = number = articles = links = 0
     stack: list[str] = []
     skip = 0  # height of the stack above which nothing counts
     holder = 0  # height of the stack at which the article was opened
+    forms: list[tuple[int, int]] = []  # height of the stack and token of open elements of ``held``
 
     def end_line() -> None:
         nonlocal linked
@@ -86,6 +132,8 @@ def lines(html: str, everything: bool = False) -> list[tuple[str, int, int]]:
             line = " ".join("".join(text).split())
             if line:
                 out.append((line, max(0, len(line) - linked), number))
+                for _, k in forms:
+                    held[k] += len(line)
             text.clear()
         linked = 0
 
@@ -100,7 +148,7 @@ def lines(html: str, everything: bool = False) -> list[tuple[str, int, int]]:
             if links:
                 linked += len(" ".join(raw.split()))
 
-    for m in TOKEN.finditer(html):
+    for i, m in enumerate(tokens):
         add(html[at:m.start()])
         at = m.end()
         tag = m[3]
@@ -120,7 +168,7 @@ def lines(html: str, everything: bool = False) -> list[tuple[str, int, int]]:
             stack.append(tag)
             if tag == "body":
                 skip = 0  # an unclosed head ends here
-            if not skip and (tag == "head" if everything else dropped(tag, m[4], bool(number))):
+            if not skip and (tag == "head" if everything else dropped(tag, m[4], bool(number), i in spared)):
                 skip = len(stack)
                 if not block:
                     text.append(" ")
@@ -128,11 +176,15 @@ def lines(html: str, everything: bool = False) -> list[tuple[str, int, int]]:
                 gap()
                 articles += 1
                 number, holder = articles, len(stack)
+            if held and not skip and i in held:
+                forms.append((len(stack), i))
         elif tag in stack:
             while stack.pop() != tag:
                 pass
             if skip > len(stack):
                 skip = 0
+            while forms and forms[-1][0] > len(stack):
+                forms.pop()
             if number and holder > len(stack):
                 number = 0
                 gap()

@@ -104,6 +104,21 @@ def test_articles_are_kept_whole(page, want):
     assert html_lineblocks.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<body><form id=aspnetForm><div class=nav>Menu</div><input><article>{ARTICLE}</article><button>Go</button></form></body>", WANT),
+    (f"<body><form id=aspnetForm action='./'><nav>Menu</nav><select><option>x</select><div>{ARTICLE}</div></form><footer>foot</footer></body>", WANT),
+    (f"<body><div>{ARTICLE}</div><form class=login>Your name <input><p>{'rules ' * 20}</p></form></body>", WANT),
+    *[(f"<div class='{name}'><div class=share>Share this</div><article>{ARTICLE}</article></div>", WANT)
+      for name in ("social", "related", "share", "widget", "notice", "search-results")],
+    (f"<section role=search><main>{ARTICLE}</main></section><div class=social>{'tweet ' * 200}</div>", WANT),
+    (f"<head><title>t</title><body><header><main>{ARTICLE}</main></header>", WANT),
+    (f"<div hidden><article>{'gone ' * 200}</article></div><article>{ARTICLE}</article>", WANT),
+    (f"<aside class=related><article>{'teaser ' * 20}</article></aside><article>{ARTICLE}</article>", WANT),
+])
+def test_what_encloses_the_article_is_not_dropped(page, want):
+    assert html_lineblocks.main_text(page) == want
+
+
 def test_pages_of_the_table(spark):
     import html
     import re

@@ -4,7 +4,7 @@ A document is the set of its distinct word shingles, as 64-bit hashes. Two small
 groups are computed for it; a table key is the pair of one group of the first and one of the second
 collection. So ``tables ** 2`` keys of ``2 * rows`` minhashes each cost only ``2 * tables * rows``
 minhashes. A pair of similarity s shares a key with probability ``(1 - (1 - s**rows)**tables) ** 2``:
-0.99998 at 0.85 with the defaults, and more above.
+0.99998 at 0.85 and 0.9996 at 0.8 with the defaults, and more above.
 
 Steps:
 
@@ -13,9 +13,10 @@ Steps:
 2. Each representative is tied to the smallest one under each of its keys (a minimum that is
    pre-aggregated, joined back to the keys that more than one representative has). Ties whose
    minhashes agree too rarely for the similarity asked are left out: a true pair fails that test with
-   a probability below 1e-9. What hangs together by ties is a cluster.
-3. Within a cluster all pairs are compared exactly on the full sets, so every pair that shares keys
-   with a common smallest representative is. A cluster is dealt into blocks of bounded size and each
+   a probability below 1e-9. Under a key with such a tie, those left out are tested by their minhashes
+   against all others under it (in blocks, as a key may be common), so that each pair under a key
+   either hangs together by the smallest or is tested itself. What hangs together by ties is a cluster.
+3. Within a cluster all pairs are compared exactly on the full sets. A cluster is dealt into blocks of bounded size and each
    pair of blocks is a task of its own, so that a large cluster spreads over the executors; a task
    hands on no pairs but a spanning forest of its links.
 4. Connected components of classes and links are the groups.
@@ -42,6 +43,8 @@ TABLES, ROWS = 12, 3
 BLOCK_DOCS, BLOCK_SHINGLES = 768, 1_000_000
 #: Columns of the comparison matrix at a time.
 COLUMNS = 4096
+#: Members of a key that a task tests at most, rows of small keys that share a task, and bytes of a comparison.
+KEY_BLOCK, KEY_LOT, KEY_BYTES = 2048, 50_000, 1 << 25
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
@@ -122,16 +125,89 @@ def table_keys(classes: DataFrame, tables: int, rows: int) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(run, "id bigint, key bigint")
 
 
-def agreeing(ties: DataFrame, least: int) -> DataFrame:
-    """The ties whose signatures agree in at least so many places."""
+def agreement(ties: DataFrame, least: int, tables: int, rows: int) -> DataFrame:
+    """``(a, b, key)``: the ties whose signatures agree in at least so many places, with a null key; of the
+    others a row for each key that both have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            a, b = (batch.column(i).to_numpy() for i in (0, 1))
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (2, 3))
-            ok = pa.array((x == y).sum(1) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+            ok = (x == y).sum(1) >= least
+            failed = np.flatnonzero(~ok)
+            shared = []
+            for i in failed:
+                k = keys(x[i], tables, rows)
+                shared.append(k[k == keys(y[i], tables, rows)])
+            again = np.repeat(failed, [len(k) for k in shared]) if len(failed) else failed
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([v[ok], v[again]])) for v in (a, b)]
+                + [pa.concat_arrays([pa.nulls(int(ok.sum()), pa.int64()), *(pa.array(k, pa.int64()) for k in shared)])], names=["a", "b", "key"])
+
+    return ties.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint, key bigint")
+
+
+def key_ties(ids: np.ndarray, left: np.ndarray, marks: np.ndarray, right: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Ties that connect what the pairs of a left and a right row connect whose marks agree in at least so
+    many places; left and right are row numbers."""
+    label = np.arange(len(right))
+    met = np.zeros(len(right), bool)
+    out = []
+    step = max(1, KEY_BYTES // (marks.shape[1] * max(1, len(right))))
+    for at in range(0, len(left), step):
+        part = left[at:at + step]
+        hits = (marks[part][:, None, :] == marks[right][None, :, :]).sum(2) >= least
+        hits &= ids[part][:, None] != ids[right][None, :]
+        for i in np.flatnonzero(hits.any(1)):
+            hit = hits[i]
+            met |= hit
+            found = np.unique(label[hit])
+            if len(found) > 1:
+                label[np.isin(label, found)] = found[0]
+            out.append((int(ids[part[i]]), int(ids[right[found[0]]])))
+    out += [(int(ids[right[j]]), int(ids[right[label[j]]])) for j in np.flatnonzero(met) if label[j] != j]
+    return out
+
+
+def second_ties(failed: DataFrame, classes: DataFrame, least: int, tables: int, rows: int, stash: Stash) -> DataFrame:
+    """``(a, b)``: ties among the members of the keys of ``failed(a, b, key)``, where a fails against b, the
+    smallest under the key: every pair is tested of which one member at least failed."""
+    mixed = failed.select("key").distinct()
+    held = stash.put(table_keys(classes, tables, rows).join(mixed, "key"))
+    sizes = stash.put(held.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("m"))
+                      .withColumn("blocks", F.ceil(F.col("m") / KEY_BLOCK).cast("int")))
+    small = sizes.where("blocks = 1").agg(F.sum("m")).first()[0] or 0
+    lot = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("key"), F.lit(int(small // KEY_LOT) + 1))).otherwise(F.col("key"))
+    bad = failed.select("key", "b", F.col("a").alias("id")).distinct().withColumn("failed", F.lit(True))
+    # a failed member is a row in each block of its key, any other in its own
+    home = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    placed = (held.join(sizes.select("key", "b", "blocks", lot.alias("lot")), "key").join(bad, ["key", "b", "id"], "left")
+              .select("key", "lot", "id", F.coalesce("failed", F.lit(False)).alias("failed"), home.alias("home"), "blocks"))
+    block = F.explode(F.when(F.col("failed"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home")))
+    dealt = placed.select("key", "lot", "id", "failed", "home", block.alias("block")).join(marked(classes), "id")
+
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        got: set[tuple[int, int]] = set()
+        for at in batch.groupby("key").indices.values():
+            part = batch.iloc[at]
+            left = np.flatnonzero(part["failed"].to_numpy())
+            right = np.flatnonzero((part["home"] == part["block"]).to_numpy())
+            marks = np.frombuffer(b"".join(part["marks"]), np.uint8).reshape(len(part), -1)
+            got.update(key_ties(part["id"].to_numpy(), left, marks, right, least))
+        return pd.DataFrame(sorted(got), columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("lot", "block").applyInPandas(run, "a bigint, b bigint")
+
+
+def marked(classes: DataFrame) -> DataFrame:
+    """``(id, marks)``: the low byte of each minhash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = [(np.frombuffer(x.as_py(), np.uint64) & np.uint64(255)).astype(np.uint8).tobytes() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], names=["id", "marks"])
 
-    return ties.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+    return classes.select("id", "signature").mapInArrow(run, "id bigint, marks binary")
 
 
 def links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -230,7 +306,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tables:
     signed_ties = (ties.join(signed.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
                    .join(signed.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b"))
     least = least_agreement(percent / 100, 2 * tables * rows)
-    clusters = components(agreeing(signed_ties, least), stash)
+    tested = stash.put(agreement(signed_ties, least, tables, rows))
+    passed, failed = tested.where("key is null").select("a", "b"), tested.where("key is not null")
+    if not failed.isEmpty():
+        passed = passed.unionByName(second_ties(failed, classes, least, tables, rows, stash))
+    clusters = components(passed, stash)
     members = stash.put(clusters.join(classes.select("id", "n_shingles"), "id"))
     near = compare(members, rows_in, width, percent, stash)
     groups = components(near, stash)

@@ -79,6 +79,18 @@ def test_blocks_of_a_large_cluster(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+@pytest.mark.parametrize("percent,block", [(85, 2048), (80, 2048), (85, 8)])
+def test_pairs_under_keys_of_a_looser_smallest_are_found(spark, monkeypatch, percent, block):
+    monkeypatch.setattr(minhash_tensor, "KEY_BLOCK", block)
+    rnd = np.random.default_rng(3)
+    phrases = [f"p{i}" for i in range(100)]
+    # templated texts of 40 of 100 phrases, and behind them copies of the whole template
+    rows = [(i, " ".join(rnd.permutation(phrases)[:40])) for i in range(2500)]
+    rows += [(10_000, " ".join(phrases)), (10_001, " ".join(phrases[:97])), (10_002, " ".join(phrases[:95] + ["new"]))]
+    got = minhash_tensor.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: min(i, 10_000) for i, _ in rows}
+
+
 def test_duplicate_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, "a b"), (7, "A B"), (8, "a b c"), (9, "a b c"), (9, "a b c"), (None, "a b c")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as digest", "2 as id", "'x' as component")

@@ -91,6 +91,25 @@ def test_decontamination_edge_rows(spark):
     assert decontaminate.leaks(d.limit(0), b).collect() == decontaminate.leaks(d, b.limit(0)).collect() == []
 
 
+def test_decontamination_of_repeated_word_runs(spark):
+    items, docs = [], []
+    for i, n in enumerate([100, 200, 500, 200]):  # distinct shingles
+        for j in range(6):
+            key = 10 * i + j
+            words = [f"w{key}x{k}" for k in range(n + 4)]
+            run = ["De"] * n
+            if i == 3:  # the item repeats a shingle itself
+                items.append((key, " ".join(words + run[:40])))
+                docs.append((key, " ".join(["before"] + words + run[:20] + ["after"] * 9)))
+            else:
+                items.append((key, " ".join(words)))
+                docs.append((key, " ".join(["before"] + words[:-(-n * 91 // 100) + 4] + run)))
+    con = own_duck(documents=("doc_id BIGINT, text VARCHAR", docs), benchmark=("item_id BIGINT, text VARCHAR", items))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    same(found, con, decontaminate.ORACLE)
+    assert found.count() == len(docs)
+
+
 def test_blocks_find_every_fingerprint_within_the_radius(spark):
     import random
 

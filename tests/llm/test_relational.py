@@ -176,3 +176,17 @@ def test_no_local_checkpoint_cross_join_or_swallowed_import():
     for p in [*root.joinpath("riskspark", "llm").glob("*.py"), root / "corpus_pipeline.py"]:
         text = p.read_text()
         assert not any(x in text for x in ("localCheckpoint", "crossJoin(", "except ImportError", "except ModuleNotFoundError")), p.name
+
+
+def test_pipeline_stages_match_sql(spark, duck):
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for name, sql in (("quality rules", f"SELECT doc_id FROM ({quality_lines.ORACLE}) WHERE kept"),
+                      ("benchmark decontamination", f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({decontaminate.ORACLE}))")):
+        got = {r["doc_id"]: r["text"] for r in stages[name](spark, docs, SF_SMALL).collect()}
+        want = {r[0] for r in duck.execute(sql).fetchall()}
+        assert set(got) == want and 0 < len(want) < len(text)
+        assert all(text[i] == t for i, t in got.items())  # only whole documents go

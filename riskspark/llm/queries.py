@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm import (chat_preference, decontaminate, html_lineblocks, langid_ftrl, lm_backoff, minhash_tensor,
-                            quality_lines, sentencepiece_codec, shard_minimax, warc_derive)
+                            mix_threshold, periodic_runs, quality_lines, sentencepiece_codec, shard_minimax, token_alignment, warc_derive)
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_stupid_backoff", lm_backoff.ORACLE)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_backoff.rounded(table(spark, sf_dir, "documents"))
+
+
+@register("op11_mix_threshold", mix_threshold.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_threshold.mix(table(spark, sf_dir, "documents"))
+
+
+@register("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(table(spark, sf_dir, "documents"))
+
+
+@register("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.digests(table(spark, sf_dir, "documents"), public_model("byte_bpe_50k.json"), public_model("piece_bpe_32k.model"))

@@ -31,7 +31,7 @@ def test_query_matches_sql(spark, duck, name):
     same(queries.QUERIES[name](spark, SF_SMALL), duck, queries.ORACLES[name])
 
 
-@pytest.mark.parametrize("name", ["op2_quality_lines", "op5_chat_preference", "op8_decontaminate"])
+@pytest.mark.parametrize("name", ["op2_quality_lines", "op5_chat_preference", "op8_decontaminate", "op9_shard_minimax", "op11_mix_threshold"])
 def test_native_plans_have_no_python(spark, name):
     plan = queries.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"))

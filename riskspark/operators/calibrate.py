@@ -1,34 +1,23 @@
-"""Probability calibration (CAL1-CAL8): isotonic fit with Spark ML and reliability tables."""
+"""Probability calibration (CAL1-CAL8): isotonic fit and reliability tables."""
 
 from __future__ import annotations
 
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.exprs import clip, linspace, right_closed_bin
+from riskspark.operators import isotonic
+from riskspark.operators.isotonic import IsotonicFit
 
 
-def fit_isotonic(df: DataFrame, x: str, y: str, weight: str | None = None) -> IsotonicRegressionModel:
-    """CAL1: increasing isotonic regression of y on x (pool-adjacent-violators; equal x pooled).
-
-    Rows are first pooled per distinct x (weighted mean label, summed weight) with a partial
-    aggregation: the fit is identical, and Spark ML's sort and PAVA then run on distinct x
-    values instead of rows."""
-    xs = F.col(x).cast("double")
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    pooled = (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .groupBy(xs.alias("_x"))
-        .agg((F.sum(F.col(y).cast("double") * w) / F.sum(w)).alias("_y"), F.sum(w).alias("_w"))
-    )
-    est = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w", predictionCol="_iso", isotonic=True)
-    return est.fit(pooled)
+def fit_isotonic(df: DataFrame, x: str, y: str, weight: str | None = None) -> IsotonicFit:
+    """CAL1: increasing isotonic regression of y on x (pool-adjacent-violators; equal x pooled)."""
+    return isotonic.fit(df, x, y, weight)
 
 
 def calibrated_good(
     df: DataFrame,
-    model: IsotonicRegressionModel,
+    model: IsotonicFit,
     x: str,
     out: str = "p_good",
     out_of_bounds: str = "clip",
@@ -37,19 +26,15 @@ def calibrated_good(
 ) -> DataFrame:
     """CAL2/CAL4: calibrated P(good); linear interpolation between boundaries, clipped outside
     (``clip``) or NULL outside the fitted range (``nan``); result bounded to [y_min, y_max]."""
-    b = model.boundaries.toArray()
-    lo, hi = float(b[0]), float(b[-1])
-    m = model.copy()
-    m.setFeaturesCol(x).setPredictionCol("_iso")
-    src = df.withColumn(x, F.col(x).cast("double"))
-    res = m.transform(src)
-    val = clip(F.col("_iso"), y_min, y_max)
+    res = model.values(df, x, "_iso")
+    val = F.when(F.col("_iso").isNotNull(), clip(F.col("_iso"), y_min, y_max))
     if out_of_bounds == "nan":
-        val = F.when((F.col(x) >= F.lit(lo)) & (F.col(x) <= F.lit(hi)), val)
+        at = F.col(x).cast("double")
+        val = F.when((at >= F.lit(model.low)) & (at <= F.lit(model.high)), val)
     return res.withColumn(out, val).drop("_iso")
 
 
-def calibrated_pd(df: DataFrame, model: IsotonicRegressionModel, x: str, out: str = "calibrated_pd") -> DataFrame:
+def calibrated_pd(df: DataFrame, model: IsotonicFit, x: str, out: str = "calibrated_pd") -> DataFrame:
     """CAL3: PD = 1 - calibrated P(good)."""
     return calibrated_good(df, model, x, "_pg").withColumn(out, 1.0 - F.col("_pg")).drop("_pg")
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskspark.functions.exprs import round_half_even
 from riskspark.operators import calibrate as CA
 from riskspark.operators import metrics as M
 from riskspark.operators import scorecard as SC
@@ -210,54 +209,54 @@ def evl6(spark, sf):
 
 # ---- isotonic calibration over ``scored`` ------------------------------------------------------
 
-def _x(c="raw_good"):
-    return round_half_even(F.col(c), 2)
-
-
-_X_SQL = "round_even(raw_good * 100e0, 0) / 100e0"
-
-
 def _iso_sql(where: str = "") -> str:
+    """Lower convex hull of the running sums: from each vertex on to the point of the least slope (the farthest of equal
+    ones); the slope of a step is the value of all points in it."""
     return f"""
-, pts AS (SELECT x, sum(target) AS sy, count(*) AS n FROM (SELECT {_X_SQL} AS x, target FROM scored) {where} GROUP BY x),
-cum AS (SELECT row_number() OVER (ORDER BY x) AS i, x, sum(sy) OVER (ORDER BY x) AS S, sum(n) OVER (ORDER BY x) AS N FROM pts),
-pairs AS (SELECT a.i AS j, b.i AS k, (b.S - coalesce(p.S, 0)) / (b.N - coalesce(p.N, 0)) AS m
-          FROM cum a JOIN cum b ON a.i <= b.i LEFT JOIN cum p ON p.i = a.i - 1),
-inn AS (SELECT c.i, pr.j, min(pr.m) AS mn FROM cum c JOIN pairs pr ON pr.j <= c.i AND pr.k >= c.i GROUP BY c.i, pr.j),
-fit AS (SELECT cum.x, greatest(least(max(mn), 1e0), 0e0) AS y FROM inn JOIN cum USING (i) GROUP BY cum.x)
+, pts AS MATERIALIZED (SELECT raw_good AS x, sum(target) AS sy, count(*) AS n FROM scored {where} GROUP BY raw_good),
+cum AS MATERIALIZED (SELECT row_number() OVER (ORDER BY x) AS i, x, CAST(sum(sy) OVER (ORDER BY x) AS DOUBLE) AS S, CAST(sum(n) OVER (ORDER BY x) AS DOUBLE) AS N FROM pts),
+hull AS (SELECT 0::BIGINT AS i0, 0::BIGINT AS i, 0::DOUBLE AS S, 0::DOUBLE AS N, 0::DOUBLE AS y
+  UNION ALL SELECT h.i, b.i, b.S, b.N, (b.S - h.S) / (b.N - h.N)
+  FROM (SELECT h.i, h.S, h.N, arg_max(struct_pack(i := c.i, S := c.S, N := c.N), ((h.S - c.S) / (c.N - h.N), c.i)) AS b
+        FROM hull h JOIN cum c ON c.i > h.i GROUP BY h.i, h.S, h.N) h),
+fit AS (SELECT cum.x, greatest(least(hull.y, 1e0), 0e0) AS y FROM cum JOIN hull ON cum.i > hull.i0 AND cum.i <= hull.i)
 """
 
 
+def _iso_with() -> str:
+    return W().replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _iso_fit(spark, sf, lo=None, hi=None):
-    s = fx.scored(spark, sf).withColumn("x", _x())
-    src = s if lo is None else s.where((F.col("x") >= lo) & (F.col("x") <= hi))
-    return s, CA.fit_isotonic(src, "x", "target")
+    s = fx.scored(spark, sf)
+    src = s if lo is None else s.where((F.col("raw_good") >= lo) & (F.col("raw_good") <= hi))
+    return s, CA.fit_isotonic(src, "raw_good", "target")
 
 
-@register("cal1_isotonic_fit", W() + _iso_sql() + "SELECT x, round(y, 6) AS p_good FROM fit")
+@register("cal1_isotonic_fit", _iso_with() + _iso_sql() + "SELECT round(x, 9) AS x, round(y, 6) AS p_good FROM fit")
 def cal1(spark, sf):
     s, model = _iso_fit(spark, sf)
-    xs = s.select("x").distinct()
-    return rounded(CA.calibrated_good(xs, model, "x"), ("p_good",))
+    xs = s.select(F.col("raw_good").alias("x")).distinct()
+    return rounded(CA.calibrated_good(xs, model, "x"), ("p_good",), digits={"x": 9})
 
 
-@register("cal2_calibrated_good", W() + _iso_sql() + f"SELECT id, round(fit.y, 6) AS p_good FROM scored JOIN fit ON fit.x = {_X_SQL}")
+@register("cal2_calibrated_good", _iso_with() + _iso_sql() + "SELECT id, round(fit.y, 6) AS p_good FROM scored JOIN fit ON fit.x = raw_good")
 def cal2(spark, sf):
     s, model = _iso_fit(spark, sf)
-    return rounded(CA.calibrated_good(s, model, "x").select("id", "p_good"), ("p_good",))
+    return rounded(CA.calibrated_good(s, model, "raw_good").select("id", "p_good"), ("p_good",))
 
 
-@register("cal3_calibrated_pd", W() + _iso_sql() + f"SELECT id, round(1 - fit.y, 6) AS calibrated_pd FROM scored JOIN fit ON fit.x = {_X_SQL}")
+@register("cal3_calibrated_pd", _iso_with() + _iso_sql() + "SELECT id, round(1 - fit.y, 6) AS calibrated_pd FROM scored JOIN fit ON fit.x = raw_good")
 def cal3(spark, sf):
     s, model = _iso_fit(spark, sf)
-    return rounded(CA.calibrated_pd(s, model, "x").select("id", "calibrated_pd"), ("calibrated_pd",))
+    return rounded(CA.calibrated_pd(s, model, "raw_good").select("id", "calibrated_pd"), ("calibrated_pd",))
 
 
-@register("cal4_out_of_bounds_nan", W() + _iso_sql("WHERE x BETWEEN 0.5 AND 0.9") + f"""
-SELECT id, round(fit.y, 6) AS p_good FROM scored LEFT JOIN fit ON fit.x = {_X_SQL}""")
+@register("cal4_out_of_bounds_nan", _iso_with() + _iso_sql("WHERE raw_good BETWEEN 0.5 AND 0.9") + """
+SELECT id, round(fit.y, 6) AS p_good FROM scored LEFT JOIN fit ON fit.x = raw_good""")
 def cal4(spark, sf):
     s, model = _iso_fit(spark, sf, 0.5, 0.9)
-    return rounded(CA.calibrated_good(s, model, "x", out_of_bounds="nan").select("id", "p_good"), ("p_good",))
+    return rounded(CA.calibrated_good(s, model, "raw_good", out_of_bounds="nan").select("id", "p_good"), ("p_good",))
 
 
 @register("cal5_calibration_bins", W() + """
@@ -272,15 +271,15 @@ def cal5(spark, sf):
     return rounded(t, ("actual_good_rate", "avg_pred_good_prob", "actual_bad_rate"))
 
 
-@register("cal6_reliability_curve", W() + _iso_sql() + f"""
+@register("cal6_reliability_curve", _iso_with() + _iso_sql() + """
 , g AS (SELECT range AS bin, range * 0.1e0 AS lo FROM range(1, 10)),
 u AS (SELECT 'raw' AS series, raw_good AS p, target FROM scored
-      UNION ALL SELECT 'calibrated', fit.y, target FROM scored JOIN fit ON fit.x = {_X_SQL})
+      UNION ALL SELECT 'calibrated', fit.y, target FROM scored JOIN fit ON fit.x = raw_good)
 SELECT series, CAST((SELECT count(*) FROM g WHERE g.lo < p) AS INTEGER) AS bin, round(avg(p), 6) AS mean_predicted,
   round(avg(target), 6) AS fraction_positive FROM u GROUP BY ALL""")
 def cal6(spark, sf):
     s, model = _iso_fit(spark, sf)
-    c = CA.calibrated_good(s, model, "x")
+    c = CA.calibrated_good(s, model, "raw_good")
     return rounded(CA.reliability_curve(c, "target", {"raw": "raw_good", "calibrated": "p_good"}), ("mean_predicted", "fraction_positive"))
 
 
@@ -291,12 +290,12 @@ def cal7(spark, sf):
     return CA.probability_slice(fx.scored(spark, sf), "target", "raw_good", 0.78, 0.81)
 
 
-@register("cal8_mean_comparison", W() + _iso_sql() + f"""
+@register("cal8_mean_comparison", _iso_with() + _iso_sql() + """
 SELECT round(avg(pd), 6) AS mean_raw_pd, round(avg(1 - fit.y), 6) AS mean_calibrated_pd, round(1 - avg(target), 6) AS actual_bad_rate
-FROM scored JOIN fit ON fit.x = {_X_SQL}""")
+FROM scored JOIN fit ON fit.x = raw_good""")
 def cal8(spark, sf):
     s, model = _iso_fit(spark, sf)
-    c = CA.calibrated_pd(s, model, "x")
+    c = CA.calibrated_pd(s, model, "raw_good")
     return rounded(CA.mean_comparison(c, "target", "pd", "calibrated_pd"), ("mean_raw_pd", "mean_calibrated_pd", "actual_bad_rate"))
 
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import asdict
 
 from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +26,7 @@ from riskspark.operators import select as SE
 from riskspark.operators import split as SP
 from riskspark.operators import tree as TR
 from riskspark.operators import woe as WO
+from riskspark.operators.isotonic import IsotonicFit
 from riskspark.session import materialize, temporary_tables
 from riskspark.sources import io
 
@@ -72,7 +72,7 @@ def fit(spark: SparkSession, cfg: ScorecardConfig, prepared: DataFrame) -> dict:
             "coefficients": coefs, "isotonic": iso, "encoded": rest}
 
 
-def score(df_encoded: DataFrame, cfg: ScorecardConfig, intercept: float, coefs: dict, iso: IsotonicRegressionModel,
+def score(df_encoded: DataFrame, cfg: ScorecardConfig, intercept: float, coefs: dict, iso: IsotonicFit,
           keep: list[str]) -> DataFrame:
     """Row-local scoring of WoE-encoded rows: logit, score, raw and calibrated P(good), PD."""
     scaling = SC.Scaling(cfg.pdo, cfg.base_score, cfg.base_odds)
@@ -90,8 +90,8 @@ def run(spark: SparkSession, cfg: ScorecardConfig, raw: DataFrame) -> dict[str,
     with temporary_tables(spark) as keep:
         prepared, impute_values = prepare(spark, cfg, raw)
         art = fit(spark, cfg, prepared)
-        for name in ("bins", "iv", "encoded"):
-            keep(art[name])
+        for table in (art["bins"], art["iv"], art["encoded"], art["isotonic"].boundaries):
+            keep(table)
         test_enc = art["encoded"].where(F.col("split") == "test")
         scored = score(test_enc, cfg, art["intercept"], art["coefficients"], art["isotonic"], [key, y]).withColumnRenamed(y, "target")
         scored = keep(materialize(scored, "scored-test"))
@@ -132,8 +132,8 @@ def summary(results: dict[str, DataFrame]) -> DataFrame:
 
 
 def save_artifacts(spark: SparkSession, results: dict, out_dir: str, cfg: ScorecardConfig) -> str:
-    """SNK1 + SNK2: small tables as CSV; bin table as Parquet; model and isotonic model with the
-    ML writers; coefficients, settings and imputation values as JSON."""
+    """SNK1 + SNK2: small tables as CSV; bin table and isotonic boundaries as Parquet; model with the
+    ML writer; coefficients, settings and imputation values as JSON."""
     art = results["_artifacts"]
     for name, order in (("master_scale", ["band"]), ("decile_table", ["decile"]), ("cutoff_simulation", ["scenario_order", "Cutoff"]),
                         ("scenario_summary", ["scenario_order"])):  # <= a few hundred rows
@@ -143,7 +143,7 @@ def save_artifacts(spark: SparkSession, results: dict, out_dir: str, cfg: Scorec
     io.write_csv(points, f"{out_dir}/points_table", ["row_kind", "Feature", "bin_id", "category"])
     art["bins"].write.mode("overwrite").parquet(f"{out_dir}/bins")
     art["model"].write().overwrite().save(f"{out_dir}/logistic_model")
-    art["isotonic"].write().overwrite().save(f"{out_dir}/isotonic_model")
+    art["isotonic"].write(f"{out_dir}/isotonic")
     io.save_json(spark, {"intercept": art["intercept"], "coefficients": art["coefficients"], "selected": art["selected"],
                          "impute_values": art["impute_values"], "config": {k: v for k, v in asdict(cfg).items()
                                                                            if isinstance(v, (int, float, str, type(None)))}},
@@ -161,7 +161,7 @@ def load_artifacts(spark: SparkSession, out_dir: str) -> dict:
     return {
         "bins": spark.read.parquet(f"{out_dir}/bins"),
         "model": load_model(f"{out_dir}/logistic_model"),
-        "isotonic": IsotonicRegressionModel.load(f"{out_dir}/isotonic_model"),
+        "isotonic": IsotonicFit.load(spark, f"{out_dir}/isotonic"),
         **meta,
     }
 

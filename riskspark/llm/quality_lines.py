@@ -15,12 +15,12 @@ from riskspark.llm.common import only
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 #: A line of text ends with one of these (closing quotes and brackets may follow a stop).
-ENDED = r"[.!?:;…。！？][\x22\x27’”»)\]\x20\x09-\x0D]*$"
+ENDED = r"[.!?:;…。！？][\x22\x27’”»)\]\x20\x09-\x0D]*\z"
 #: Separators of menus and paths; a line with this many is navigation.
 SEPARATORS, MANY_SEPARATORS = r"[|»›•·]", 3
 #: A line with more than so many symbols for a hundred words is no prose.
 MOST_SYMBOLS = 50
-#: Words of menus; they count in lines of up to so many words.
+#: English words of menus (lines of other languages are judged by the other rules); they count in lines of up to so many words.
 MENU, MENU_WORDS = (r"(?i)\b(?:home|menu|sitemap|log ?in|log ?out|sign ?in|sign ?up|register|subscribe|next page|previous page|"
                     r"back to top|read more|click here|share this|contact us|about us|skip to content)\b"), 10
 BOILERPLATE = (r"(?i)\b(?:lorem ipsum|javascript|cookie policy|uses? cookies|accept cookies|privacy policy|terms of (?:use|service)|"
@@ -112,8 +112,9 @@ ORACLE = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
-tri AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS p, ws FROM w WHERE len(ws) >= 3),
-g AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, ws[p], ws[p+1], ws[p+2]) AS c FROM tri),
+tok AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM w),
+tri AS (SELECT doc_id, p, x, lead(x, 1) OVER q AS y, lead(x, 2) OVER q AS z FROM tok WINDOW q AS (PARTITION BY doc_id ORDER BY p)),
+g AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, x, y, z) AS c FROM tri WHERE z IS NOT NULL),
 cov AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM g, (SELECT unnest([0, 1, 2]) AS k) WHERE c >= 2 GROUP BY doc_id),
 l AS (SELECT doc_id, unnest(ls) AS line FROM w),
 bad AS (SELECT doc_id, CAST(sum(len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'))) AS BIGINT) AS n FROM l

@@ -51,7 +51,8 @@ PROSE = "The quick brown fox jumps over the lazy dog near a quiet river bank tod
 TEXTS = [None, "", " ", "\n\n", "one", "two words", PROSE, PROSE * 30, "a b c " * 40, (PROSE + "\n") * 9 + "Home | About | Contact | Help",
          "\n".join(f"Sentence number {i} says something of its own here." for i in range(40)) + "\nAll rights reserved {x}",
          "# * $ % & | < >\x0b\x0c\r\t" * 20, " wide space é漢🙂 " * 60, "x" * 300_000,
-         " ".join(f"w{i}" for i in range(30_000))]
+         " ".join(f"w{i}" for i in range(30_000)), "\n".join(f"A sentence of some words ends here {i}.{end}" for i, end in enumerate("\x85\u2028\u2029\r\x0b " * 4)),
+         "\n".join(f"a line of several words {i}\x85" for i in range(20)), ("word " * 9 + "end.\x85") * 8]
 
 
 def test_quality_edge_rows(spark):

@@ -8,26 +8,30 @@ minhashes. A pair of similarity s shares a key with probability ``(1 - (1 - s**r
 
 Steps:
 
-1. Documents with equal sets fall into one class (a digest of the sorted set); the smallest doc_id
-   stands for it, and only representatives go on.
-2. Each representative is tied to the smallest one under each of its keys (a minimum that is
-   pre-aggregated, joined back to the keys that more than one representative has). Ties whose
-   minhashes agree too rarely for the similarity asked are left out: a true pair fails that test with
-   a probability below 1e-9. Under a key with such a tie, those left out are tested by their minhashes
-   against all others under it (in blocks, as a key may be common), so that each pair under a key
-   either hangs together by the smallest or is tested itself. What hangs together by ties is a cluster.
-3. Within a cluster all pairs are compared exactly on the full sets. A cluster is dealt into blocks of bounded size and each
-   pair of blocks is a task of its own, so that a large cluster spreads over the executors; a task
-   hands on no pairs but a spanning forest of its links.
-4. Connected components of classes and links are the groups.
-
-Null texts and texts without words have an empty set and are linked with nothing; a text with fewer
-words than a shingle is one shingle. Words are those of ``WORD``, A-Z lower-cased. Repeated rows give
-repeated results."""
+1. Texts with equal sets fall into one class (a digest of the sorted set), and only one text of a class goes on.
+2. Each class is tied to the smallest one under each of its keys (a minimum that is pre-aggregated, joined back to
+   the keys that more than one class has). Ties whose minhashes agree too rarely for the similarity asked are not
+   looked at further: a true pair fails that test with a probability below 1e-9. The others are compared exactly on the full
+   sets, the smallest class against those tied to it, so the work is linear in the ties.
+3. What the confirmed links connect is a group. Where a tie leaves two groups apart, the pair that met under its keys
+   may be neither's link to the smallest, so all classes tied to that smallest get a second set of longer keys
+   (``LONG_ROWS`` minhashes, as many keys as miss a pair at the similarity asked with a probability of at most ``MISSED``),
+   under which loosely similar texts hardly meet. There they are tied and compared in the same way.
+4. What then is still apart under a smallest is compared with all that hang together with it: every class that is
+   not of the largest group of its cluster against all of the cluster, exactly.
+5. Rows of one doc_id are one document, so the classes of its texts belong together; connected components give the
+   smallest doc_id that can be reached.
+
+Comparisons are dealt in blocks of bounded size, each a task of its own; a task hands on no pairs but a spanning
+forest of its links. Null texts and texts without words have an empty set and are linked with nothing; a text with
+fewer words than a shingle is one shingle. Words are those of ``WORD``, A-Z lower-cased. Repeated rows give
+repeated results; rows without doc_id are grouped with nothing that has none, but join the group of their text."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -39,12 +43,12 @@ from riskspark.llm.common import Stash, components, only
 from riskspark.llm.text_hashes import mix, word_hashes
 
 TABLES, ROWS = 12, 3
-#: Documents and shingles that a block of a cluster holds at most (a single document may be longer).
-BLOCK_DOCS, BLOCK_SHINGLES = 768, 1_000_000
-#: Columns of the comparison matrix at a time.
-COLUMNS = 4096
-#: Members of a key that a task tests at most, rows of small keys that share a task, and bytes of a comparison.
-KEY_BLOCK, KEY_LOT, KEY_BYTES = 2048, 50_000, 1 << 25
+#: Minhashes of a key of the second set, and the share of pairs that its keys may miss.
+LONG_ROWS, MISSED = 10, 1e-6
+#: Documents and shingles that a block of a comparison holds at most (a single document may be longer).
+BLOCK_DOCS, BLOCK_SHINGLES = 768, 400_000
+#: Columns of the comparison matrix at a time, and documents up to which each is compared on its own instead.
+COLUMNS, ALONE = 4096, 4
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
@@ -58,263 +62,287 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(h)
 
 
-def minima(sets: np.ndarray, tables: int, rows: int) -> np.ndarray:
-    """The 2 * tables * rows minhashes of a set."""
-    odd = np.random.default_rng(4).integers(0, 2**63, 2 * tables * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    out = np.empty(len(odd), np.uint64)
+def minima(sets: np.ndarray, n: int) -> np.ndarray:
+    """n minhashes of a set."""
+    odd = np.random.default_rng(4).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    out = np.empty(n, np.uint64)
     for i, a in enumerate(odd):
         out[i] = ((sets ^ (a >> np.uint64(7))) * a).min()
     return mix(out)
 
 
-def keys(signature: np.ndarray, tables: int, rows: int) -> np.ndarray:
-    """Table keys: every group of the first collection paired with every group of the second."""
-    groups = np.zeros((2, tables), np.uint64)
-    parts = signature.reshape(2, tables, rows)
-    for i in range(rows):
-        groups = mix(groups * np.uint64(5) + parts[:, :, i])
-    pair = np.arange(tables * tables, dtype=np.uint64)
-    return mix(np.repeat(groups[0], tables) * np.uint64(3) + np.tile(groups[1], tables) + pair * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+@dataclass(frozen=True)
+class Tensored:
+    """Keys of every group of one collection paired with every group of the other."""
+
+    tables: int
+    rows: int
+
+    @property
+    def minhashes(self) -> int:
+        return 2 * self.tables * self.rows
+
+    def keys(self, signature: np.ndarray) -> np.ndarray:
+        groups = np.zeros((2, self.tables), np.uint64)
+        parts = signature.reshape(2, self.tables, self.rows)
+        for i in range(self.rows):
+            groups = mix(groups * np.uint64(5) + parts[:, :, i])
+        pair = np.arange(self.tables**2, dtype=np.uint64)
+        return mix(np.repeat(groups[0], self.tables) * np.uint64(3) + np.tile(groups[1], self.tables) + pair * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
+@dataclass(frozen=True)
+class Long:
+    """Keys of many minhashes of their own."""
+
+    count: int
+    rows: int
+
+    @classmethod
+    def for_similarity(cls, s: float) -> Long:
+        return cls(math.ceil(math.log(MISSED) / math.log1p(-(s**LONG_ROWS))), LONG_ROWS)
+
+    @property
+    def minhashes(self) -> int:
+        return self.count * self.rows
+
+    def keys(self, signature: np.ndarray) -> np.ndarray:
+        parts = signature.reshape(self.count, self.rows)
+        out = np.arange(self.count, dtype=np.uint64)
+        for i in range(self.rows):
+            out = mix(out * np.uint64(5) + parts[:, i])
+        return out.view(np.int64)
 
 
 def least_agreement(similarity: float, n: int) -> int:
     """Minhashes of n that a pair of the similarity has in common but for a probability below 1e-9."""
-    from math import comb
-
     total = 0.0
     for k in range(n + 1):
-        total += comb(n, k) * similarity**k * (1 - similarity) ** (n - k)
+        total += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+                          + k * math.log(similarity) + (n - k) * math.log1p(-similarity)) if similarity < 1 else float(k == n)
         if total >= 1e-9:
             return k
     return n
 
 
-def signatures(docs: DataFrame, width: int, tables: int, rows: int) -> DataFrame:
-    """``(doc_id, n_shingles, digest, signature)``: set size, digest of the set, low bits of the minhashes."""
+def signatures(docs: DataFrame, width: int, bands: Tensored | Long) -> DataFrame:
+    """``docs(id, part, text)`` as ``(id, part, n_shingles, digest, signature)``: set size, digest of the set, minhashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+                rows = batch.slice(at, 1024)
                 n, digest, sig = [], [], []
-                for x in part.column(1):
+                for x in rows.column(2):
                     s = shingles(x.as_py(), width)
                     n.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    sig.append(minima(s, tables, rows).tobytes() if len(s) else None)
+                    sig.append(minima(s, bands.minhashes).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
-                    names=["doc_id", "n_shingles", "digest", "signature"])
+                    [rows.column(0), rows.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
+                    names=["id", "part", "n_shingles", "digest", "signature"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, signature binary")
+    return docs.select("id", "part", "text").mapInArrow(run, "id bigint, part bigint, n_shingles bigint, digest binary, signature binary")
 
 
-def table_keys(classes: DataFrame, tables: int, rows: int) -> DataFrame:
-    """``(id, key)`` rows of the classes."""
+def table_keys(signed: DataFrame, bands: Tensored | Long) -> DataFrame:
+    """``(id, key)`` rows of ``signed(id, signature)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = [keys(np.frombuffer(x.as_py(), np.uint64), tables, rows) for x in part.column(1)]
-                ids = np.repeat(part.column(0).to_numpy(), tables * tables)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(found))], names=["id", "key"])
+                found = [bands.keys(np.frombuffer(x.as_py(), np.uint64)) for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), [len(k) for k in found])),
+                                                  pa.array(np.concatenate(found))], names=["id", "key"])
 
-    return classes.select("id", "signature").mapInArrow(run, "id bigint, key bigint")
+    return signed.select("id", "signature").mapInArrow(run, "id bigint, key bigint")
 
 
-def agreement(ties: DataFrame, least: int, tables: int, rows: int) -> DataFrame:
-    """``(a, b, key)``: the ties whose signatures agree in at least so many places, with a null key; of the
-    others a row for each key that both have."""
+def tied(signed: DataFrame, bands: Tensored | Long, similarity: float) -> DataFrame:
+    """``(a, b, near)``: classes with the smallest one under a key they share, and whether their minhashes agree often enough."""
+    key_rows = table_keys(signed, bands)
+    low = key_rows.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("most")).where("b < most").select("key", "b")
+    ties = key_rows.join(low, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct()
+    both = (ties.join(signed.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
+            .join(signed.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b"))
+    least = least_agreement(similarity, bands.minhashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (batch.column(i).to_numpy() for i in (0, 1))
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (2, 3))
-            ok = (x == y).sum(1) >= least
-            failed = np.flatnonzero(~ok)
-            shared = []
-            for i in failed:
-                k = keys(x[i], tables, rows)
-                shared.append(k[k == keys(y[i], tables, rows)])
-            again = np.repeat(failed, [len(k) for k in shared]) if len(failed) else failed
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([v[ok], v[again]])) for v in (a, b)]
-                + [pa.concat_arrays([pa.nulls(int(ok.sum()), pa.int64()), *(pa.array(k, pa.int64()) for k in shared)])], names=["a", "b", "key"])
-
-    return ties.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint, key bigint")
-
-
-def key_ties(ids: np.ndarray, left: np.ndarray, marks: np.ndarray, right: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Ties that connect what the pairs of a left and a right row connect whose marks agree in at least so
-    many places; left and right are row numbers."""
-    label = np.arange(len(right))
-    met = np.zeros(len(right), bool)
-    out = []
-    step = max(1, KEY_BYTES // (marks.shape[1] * max(1, len(right))))
-    for at in range(0, len(left), step):
-        part = left[at:at + step]
-        hits = (marks[part][:, None, :] == marks[right][None, :, :]).sum(2) >= least
-        hits &= ids[part][:, None] != ids[right][None, :]
-        for i in np.flatnonzero(hits.any(1)):
-            hit = hits[i]
-            met |= hit
-            found = np.unique(label[hit])
-            if len(found) > 1:
-                label[np.isin(label, found)] = found[0]
-            out.append((int(ids[part[i]]), int(ids[right[found[0]]])))
-    out += [(int(ids[right[j]]), int(ids[right[label[j]]])) for j in np.flatnonzero(met) if label[j] != j]
-    return out
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((x == y).sum(1) >= least)], names=["a", "b", "near"])
 
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint, near boolean")
 
-def second_ties(failed: DataFrame, classes: DataFrame, least: int, tables: int, rows: int, stash: Stash) -> DataFrame:
-    """``(a, b)``: ties among the members of the keys of ``failed(a, b, key)``, where a fails against b, the
-    smallest under the key: every pair is tested of which one member at least failed."""
-    mixed = failed.select("key").distinct()
-    held = stash.put(table_keys(classes, tables, rows).join(mixed, "key"))
-    sizes = stash.put(held.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("m"))
-                      .withColumn("blocks", F.ceil(F.col("m") / KEY_BLOCK).cast("int")))
-    small = sizes.where("blocks = 1").agg(F.sum("m")).first()[0] or 0
-    lot = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("key"), F.lit(int(small // KEY_LOT) + 1))).otherwise(F.col("key"))
-    bad = failed.select("key", "b", F.col("a").alias("id")).distinct().withColumn("failed", F.lit(True))
-    # a failed member is a row in each block of its key, any other in its own
-    home = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = (held.join(sizes.select("key", "b", "blocks", lot.alias("lot")), "key").join(bad, ["key", "b", "id"], "left")
-              .select("key", "lot", "id", F.coalesce("failed", F.lit(False)).alias("failed"), home.alias("home"), "blocks"))
-    block = F.explode(F.when(F.col("failed"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home")))
-    dealt = placed.select("key", "lot", "id", "failed", "home", block.alias("block")).join(marked(classes), "id")
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        got: set[tuple[int, int]] = set()
-        for at in batch.groupby("key").indices.values():
-            part = batch.iloc[at]
-            left = np.flatnonzero(part["failed"].to_numpy())
-            right = np.flatnonzero((part["home"] == part["block"]).to_numpy())
-            marks = np.frombuffer(b"".join(part["marks"]), np.uint8).reshape(len(part), -1)
-            got.update(key_ties(part["id"].to_numpy(), left, marks, right, least))
-        return pd.DataFrame(sorted(got), columns=["a", "b"], dtype="int64")
-
-    return dealt.groupBy("lot", "block").applyInPandas(run, "a bigint, b bigint")
-
-
-def marked(classes: DataFrame) -> DataFrame:
-    """``(id, marks)``: the low byte of each minhash."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low = [(np.frombuffer(x.as_py(), np.uint64) & np.uint64(255)).astype(np.uint8).tobytes() for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], names=["id", "marks"])
-
-    return classes.select("id", "signature").mapInArrow(run, "id bigint, marks binary")
-
-
-def links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between documents of two sides (all pairs if there is one side):
-    pairs with ``100 * shared >= percent * united``, counted exactly."""
-    n, sizes = len(ids), np.array([len(s) for s in sets], np.int64)
-    order = np.lexsort((ids, sides))
-    left = order[sides[order] == sides.min()]
-    right = order[sides[order] == sides.max()]
-    flat = np.concatenate(sets)
-    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(n), sizes)
-    shared = times[column] > 1  # shingles of one document alone are in no intersection
-    new = np.cumsum(times > 1) - 1
-    row, column = row[shared], new[column[shared]]
-    by = np.argsort(column, kind="stable")
-    row, column = row[by], column[by]
+def links(ids: np.ndarray, left: np.ndarray, right: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between documents of the two sides (row numbers, which may overlap): pairs with
+    ``100 * shared >= percent * united``, counted exactly."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate([sets[i] for i in right])
+    row = np.repeat(np.arange(len(right)), sizes[right])
     common = np.zeros((len(left), len(right)), np.float32)
-    width = int(new[-1]) + 1 if len(new) else 0
-    for at in range(0, width, COLUMNS):
-        a, b = np.searchsorted(column, [at, at + COLUMNS])
-        part = np.zeros((n, min(COLUMNS, width - at)), np.float32)
-        part[row[a:b], column[a:b] - at] = 1
-        common += part[left] @ part[right].T
-    united = sizes[left][:, None] + sizes[right][None, :] - common.astype(np.int64)
-    hit = (100 * common.astype(np.int64) >= percent * united) & (left[:, None] != right[None, :])
-    parent = list(range(n))
+    if len(left) <= ALONE:
+        for k, i in enumerate(left):
+            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
+            common[k] = np.bincount(row, weights=sets[i][at] == flat, minlength=len(right))
+    else:
+        own = np.unique(np.concatenate([sets[i] for i in left]))  # no other shingle is in an intersection
+        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+        held = own[at] == flat
+        row, column = row[held], at[held]
+        mine = np.concatenate([np.searchsorted(own, sets[i]) for i in left])
+        of = np.repeat(np.arange(len(left)), sizes[left])
+        by, mine_by = np.argsort(column, kind="stable"), np.argsort(mine, kind="stable")
+        row, column, of, mine = row[by], column[by], of[mine_by], mine[mine_by]
+        for low in range(0, len(own), COLUMNS):
+            (a, b), (c, d) = np.searchsorted(column, [low, low + COLUMNS]), np.searchsorted(mine, [low, low + COLUMNS])
+            x, y = np.zeros((len(left), COLUMNS), np.float32), np.zeros((len(right), COLUMNS), np.float32)
+            x[of[c:d], mine[c:d] - low] = 1
+            y[row[a:b], column[a:b] - low] = 1
+            common += x @ y.T
+    shared = common.astype(np.int64)
+    hit = (100 * shared >= percent * (sizes[left][:, None] + sizes[right][None, :] - shared)) & (ids[left][:, None] != ids[right][None, :])
+    parent: dict[int, int] = {}
 
     def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
+        while (up := parent.get(i, i)) != i:
+            parent[i] = parent.get(up, up)
+            i = up
         return i
 
     out = []
     for i, j in zip(*np.nonzero(hit)):
-        a, b = root(left[i]), root(right[j])
+        x, y = int(ids[left[i]]), int(ids[right[j]])
+        a, b = root(x), root(y)
         if a != b:
             parent[max(a, b)] = min(a, b)
-            out.append((int(ids[left[i]]), int(ids[right[j]])))
+            out.append((x, y))
     return out
 
 
-def compare(members: DataFrame, docs: DataFrame, width: int, percent: int, stash: Stash) -> DataFrame:
-    """Links ``(a, b)`` between the members ``(id, component, n_shingles)`` of each cluster."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
-    sizes = stash.put(sizes.withColumn("blocks", F.greatest(
-        F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")))
-    # clusters of one block share tasks of about a block's size
-    small = sizes.where("blocks = 1").agg(F.sum("s")).first()[0] or 0
-    lots = int(small // BLOCK_SHINGLES) + 1
-    lot = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("component"), F.lit(lots))).otherwise(F.col("component"))
-    placed = members.join(sizes.select("component", "blocks", lot.alias("lot")), "component").select(
-        F.col("id").alias("doc_id"), "component", "lot", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
-    # one row for each pair of blocks that the document takes part in
-    dealt = docs.join(placed, "doc_id").select("doc_id", "text", "component", "lot", "block", "blocks")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                found = pa.array([shingles(x.as_py(), width).tobytes() for x in part.column(1)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(i) for i in range(2, 6)), found],
-                                                 names=["id", "component", "lot", "block", "blocks", "shingles"])
-
-    dealt = dealt.mapInArrow(sets, "id bigint, component bigint, lot bigint, block int, blocks int, shingles binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("id", "component", "lot", "block", "shingles", other).select(
-        "id", "component", "lot", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "shingles")
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        got = []
-        for at in batch.groupby("component").indices.values():
-            part = batch.iloc[at]
-            got += links(part["id"].to_numpy(), part["block"].to_numpy(),
-                         [np.frombuffer(x, np.uint64) for x in part["shingles"]], percent)
-        return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
-
-    return dealt.groupBy("lot", "low", "high").applyInPandas(run, "a bigint, b bigint")
+class Comparison:
+    """Exact comparisons of classes by their texts."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int, stash: Stash) -> None:
+        self.docs, self.classes, self.width, self.percent, self.stash = docs, classes, width, percent, stash
+
+    def texts(self, ids: DataFrame) -> DataFrame:
+        """``(id, text)`` of the classes ``ids(id)``, one text of each."""
+        which = self.classes.join(ids, "id").select("id", "doc_id", "part")
+        found = self.docs.join(which, ["doc_id", "part"])
+        return found.groupBy("id").agg(F.first("text").alias("text"))  # copies of a row are folded before the shuffle
+
+    def links(self, members: DataFrame) -> DataFrame:
+        """Links ``(a, b)`` within the groups of ``members(group, id, everywhere)``, of the members marked ``everywhere`` with
+        all members."""
+        sized = self.stash.put(members.join(self.classes.select("id", "n_shingles"), "id"))
+        groups = sized.groupBy("group").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
+        groups = self.stash.put(groups.withColumn("blocks", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")))
+        # groups of one block share tasks of about a block's size
+        small = groups.where("blocks = 1").agg(F.sum("s")).first()[0] or 0
+        lot = F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("group"), F.lit(int(small // BLOCK_SHINGLES) + 1))).otherwise(F.col("group"))
+        home = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        placed = sized.join(groups.select("group", "blocks", lot.alias("lot")), "group").withColumn("home", home)
+        block = F.explode(F.when(F.col("everywhere"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("home")))
+        dealt = self.texts(sized.select("id").distinct()).join(placed.select("id", "group", "lot", "everywhere", "home", block.alias("block")), "id")
+        width, percent = self.width, self.percent
+
+        def run(rows: pd.DataFrame) -> pd.DataFrame:
+            kept: dict[int, np.ndarray] = {}  # a class may be in several groups of a lot
+            got = []
+            for at in rows.groupby("group").indices.values():
+                part = rows.iloc[at]
+                ids = part["id"].to_numpy()
+                for i, t in zip(ids, part["text"]):
+                    if i not in kept:
+                        kept[i] = shingles(t, width)
+                left = np.flatnonzero(part["everywhere"].to_numpy())
+                right = np.flatnonzero((part["home"] == part["block"]).to_numpy())
+                if len(left) and len(right):
+                    got += links(ids, left, right, [kept[i] for i in ids], percent)
+            return pd.DataFrame(got, columns=["a", "b"], dtype="int64")
+
+        return dealt.select("id", "group", "lot", "everywhere", "home", "block", "text").groupBy("lot", "block").applyInPandas(run, "a bigint, b bigint")
+
+    def stars(self, ties: DataFrame) -> DataFrame:
+        """Links among ``ties(a, b)``, each b with the classes tied to it."""
+        centre = ties.select(F.col("b").alias("group"), F.col("b").alias("id"), F.lit(True).alias("everywhere")).distinct()
+        return self.links(centre.unionByName(ties.select(F.col("b").alias("group"), F.col("a").alias("id"), F.lit(False).alias("everywhere"))))
+
+
+def apart(ties: DataFrame, groups: DataFrame, stash: Stash) -> DataFrame:
+    """``(a, b)``: all ties of each b that has a tie to a class of another group."""
+    of = groups.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    to = groups.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    mixed = ties.join(of, "a", "left").join(to, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("b").distinct()
+    return stash.put(ties.join(mixed, "b").select("a", "b"))
+
+
+def either(ties: DataFrame) -> DataFrame:
+    return ties.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
+def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, bands: Tensored, stash: Stash) -> DataFrame:
+    """``(id, component)`` of the classes that have links."""
+    exact = Comparison(docs, classes, width, percent, stash)
+    first = stash.put(tied(classes.select("id", "signature"), bands, percent / 100))
+    found = stash.put(exact.stars(first.where("near").select("a", "b")))
+    groups = components(found, stash)
+    left = apart(first.select("a", "b"), groups, stash)
+    if left.isEmpty():
+        return groups
+    long = Long.for_similarity(percent / 100)
+    texts = exact.texts(either(left)).withColumn("part", F.lit(0).cast("bigint"))
+    signed = stash.put(signatures(texts, width, long).select("id", "signature"))
+    second = stash.put(tied(signed, long, percent / 100))
+    found = found.unionByName(stash.put(exact.stars(second.where("near").select("a", "b"))))
+    groups = components(found, stash)
+    left = apart(second.select("a", "b"), groups, stash)
+    if left.isEmpty():
+        return groups
+    clusters = stash.put(components(left, stash).withColumnRenamed("component", "group").join(groups, "id", "left").select(
+        "id", "group", F.coalesce("component", "id").alias("component")))
+    count = clusters.groupBy("group", "component").agg(F.count("*").alias("n"))
+    largest = count.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    members = clusters.join(largest, "group").select("group", "id", (F.col("component") != F.col("largest")).alias("everywhere"))
+    return components(found.unionByName(stash.put(exact.links(members))), stash)
+
+
+def grouped(docs: DataFrame, width: int = 5, percent: int = 80, tables: int = TABLES, rows: int = ROWS, stash: Stash | None = None) -> DataFrame:
+    """``(doc_id, part, n_shingles, linked, component_id)`` of ``docs(doc_id, text)``: ``part`` is a hash of the text,
+    ``linked`` numbers the texts that hang together by links (null: no set), ``component_id`` is the smallest doc_id
+    that links and equal doc_ids reach."""
+    stash = stash or Stash(docs.sparkSession, "minhash")
+    rows_in = only(docs, doc_id="bigint", text="string").withColumn("part", F.xxhash64("text"))
+    bands = Tensored(tables, rows)
+    sig = stash.put(signatures(rows_in.withColumnRenamed("doc_id", "id"), width, bands))
+    classes = sig.where("digest is not null").groupBy("digest").agg(
+        F.min(F.struct(F.col("id").isNull().alias("without"), F.col("id").alias("doc_id"), "part")).alias("r"),
+        F.first("signature").alias("signature"), F.min("n_shingles").alias("n_shingles"))
+    classes = stash.put(classes.where("not r.without").select(
+        F.monotonically_increasing_id().alias("id"), "r.doc_id", "r.part", "digest", "signature", "n_shingles"))
+    groups = class_links(rows_in, classes, width, percent, bands, stash)
+    linked = stash.put(classes.select("id", "digest").join(groups, "id", "left").select("digest", F.coalesce("component", "id").alias("linked")))
+    named = stash.put(sig.select(F.col("id").alias("doc_id"), "part", "n_shingles", "digest").join(linked, "digest", "left").drop("digest"))
+    ids = named.where("doc_id is not null and linked is not null")
+    # several texts of one doc_id join their groups
+    several = ids.groupBy("doc_id").agg(F.min("linked").alias("a"), F.max("linked").alias("b")).where("a < b").select("doc_id", "a")
+    joined = components(ids.join(several, "doc_id").select("a", F.col("linked").alias("b")), stash).withColumnRenamed("id", "linked")
+    least = ids.groupBy("linked").agg(F.min("doc_id").alias("least")).join(joined, "linked", "left").withColumn(
+        "component", F.coalesce("component", "linked"))
+    smallest = least.groupBy("component").agg(F.min("least").alias("component_id"))
+    reach = least.select("linked", "component").join(smallest, "component").select("linked", "component_id")
+    return named.join(reach, "linked", "left").select(
+        "doc_id", "part", "n_shingles", "linked", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, tables: int = TABLES, rows: int = ROWS,
                     stash: Stash | None = None) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of ``docs(doc_id, text)``, linked at a similarity of at
     least ``percent`` per cent of shingles of ``width`` words."""
-    stash = stash or Stash(docs.sparkSession, "minhash")
-    rows_in = only(docs, doc_id="bigint", text="string")
-    sig = stash.put(signatures(rows_in, width, tables, rows))
-    # rows of one doc_id are one document; rows without an id stay alone
-    classes = stash.put(sig.where("digest is not null and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.min("n_shingles").alias("n_shingles")))
-    key_rows = table_keys(classes, tables, rows)
-    low = key_rows.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("most")).where("b < most").select("key", "b")
-    ties = key_rows.join(low, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct()
-    signed = classes.select("id", "signature")
-    signed_ties = (ties.join(signed.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
-                   .join(signed.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b"))
-    least = least_agreement(percent / 100, 2 * tables * rows)
-    tested = stash.put(agreement(signed_ties, least, tables, rows))
-    passed, failed = tested.where("key is null").select("a", "b"), tested.where("key is not null")
-    if not failed.isEmpty():
-        passed = passed.unionByName(second_ties(failed, classes, least, tables, rows, stash))
-    clusters = components(passed, stash)
-    members = stash.put(clusters.join(classes.select("id", "n_shingles"), "id"))
-    near = compare(members, rows_in, width, percent, stash)
-    groups = components(near, stash)
-    named = classes.join(groups, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
-    return (sig.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
+    return grouped(docs, width, percent, tables, rows, stash).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -81,7 +81,7 @@ def test_blocks_of_a_large_cluster(spark, monkeypatch):
 
 @pytest.mark.parametrize("percent,block", [(85, 2048), (80, 2048), (85, 8)])
 def test_pairs_under_keys_of_a_looser_smallest_are_found(spark, monkeypatch, percent, block):
-    monkeypatch.setattr(minhash_tensor, "KEY_BLOCK", block)
+    monkeypatch.setattr(minhash_tensor, "BLOCK_DOCS", block)
     rnd = np.random.default_rng(3)
     phrases = [f"p{i}" for i in range(100)]
     # templated texts of 40 of 100 phrases, and behind them copies of the whole template
@@ -91,6 +91,60 @@ def test_pairs_under_keys_of_a_looser_smallest_are_found(spark, monkeypatch, per
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: min(i, 10_000) for i, _ in rows}
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_recall_at_the_similarity_itself(spark, percent):
+    """Pairs of exactly the similarity asked, each met by loosely similar texts under its keys: all are found."""
+    rnd = np.random.default_rng(6)
+    rows = []
+    for k in range(150):
+        common = [f"c{k}_{i}" for i in range(percent)]
+        own = [f"o{k}_{i}" for i in range(100 - percent)]
+        half = len(own) // 2  # shared / united = percent / 100
+        rows += [(10_000 + 2 * k, " ".join(common + own[:half])), (10_001 + 2 * k, " ".join(common + own[half:]))]
+        for i in range(6):  # smaller ids that share keys with them, but too few shingles
+            rows.append((10 * k + i, " ".join([*rnd.permutation(common)[:int(percent * 0.62)], *(f"n{k}_{i}_{j}" for j in range(20))])))
+    want, _ = groups(rows, 1, percent)
+    assert sum(want[10_001 + 2 * k] == 10_000 + 2 * k for k in range(150)) == 150
+    got = minhash_tensor.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, percent).collect()
+    missed = sum(r["component_id"] != want[r["doc_id"]] for r in got)
+    assert missed == 0
+
+
+def test_loosely_similar_families_reach_the_last_step(spark, monkeypatch):
+    """Families whose members are similar by about 0.7 meet under long keys too; what is linked among them is found exactly."""
+    monkeypatch.setattr(minhash_tensor, "BLOCK_DOCS", 16)
+    seen = []
+    plain = minhash_tensor.Comparison.links
+    monkeypatch.setattr(minhash_tensor.Comparison, "links", lambda self, m: seen.append(1) or plain(self, m))
+    rnd = np.random.default_rng(7)
+    rows = []
+    for f in range(4):
+        base = [f"b{f}_{i}" for i in range(200)]
+        for k in range(60):
+            w = list(base)
+            for i in rnd.choice(200, int(rnd.choice([3, 20, 36])), replace=False):
+                w[i] = f"x{f}_{k}_{i}"
+            rows.append((int(1000 * f + rnd.permutation(900)[0] * 1000 + k), " ".join(w)))
+    rows = list({i: (i, t) for i, t in rows}.values())
+    want, _ = groups(rows, 1, 85)
+    got = minhash_tensor.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want and len(seen) == 3
+
+
+def test_texts_of_one_doc_id_belong_together(spark):
+    c, d, e = "a b c d e f", "k l m n o p", "u v w x y z"
+    rows = [(3, c), (9, c), (9, d), (12, d), (20, e), (20, None), (20, e), (None, d)]
+    got = minhash_tensor.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert sorted((r["doc_id"] or -1, r["component_id"], r["kept"]) for r in got) == [
+        (-1, 3, True), (3, 3, True), (9, 3, False), (9, 3, False), (12, 3, False), (20, 20, True), (20, 20, True), (20, 20, True)]
+    # one doc_id that is the least of two unrelated texts
+    got = minhash_tensor.grouped(spark.createDataFrame([(1, c), (1, d), (2, d), (1, c)], "doc_id long, text string"), 3, 85).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (2, 1)} and len({r["linked"] for r in got}) == 2
+    docs = spark.createDataFrame([(1, c, 5), (1, d, 6), (2, d, 7), (1, c, 5), (None, c, 8), (None, c, 8), (4, None, 9), (4, None, 9), (4, "", 9)], "doc_id long, text string, id long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted((r["doc_id"] or -1, r["text"] or "", r["id"]) for r in kept) == [(-1, c, 8), (-1, c, 8), (1, c, 5), (1, d, 6), (4, "", 9)]
+
+
 def test_duplicate_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, "a b"), (7, "A B"), (8, "a b c"), (9, "a b c"), (9, "a b c"), (None, "a b c")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as digest", "2 as id", "'x' as component")

@@ -1,7 +1,7 @@
 """Feature engineering and imputation (FE1-FE8).
 
 Column presence is dynamic: each step acts only if its columns exist. Imputation statistics come
-from value counts (one value per column is collected) and are applied as literals.
+from bucket and value counts (two values per column at most are collected) and are applied as literals.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from riskspark.functions.exprs import emp_length_years, first_number, months_between_truncated, parse_month_year
-from riskspark.operators.cumulative import running_totals
+from riskspark.operators import ranks
 
 
 def engineer_dates(df: DataFrame, issue: str = "issue_d", earliest: str = "earliest_cr_line") -> DataFrame:
@@ -44,28 +44,17 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in exclude]
 
 
-def _long(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
-    """(col, value, k): how often each value of each column occurs, without NULL and NaN."""
-    wide = df.select(*[F.col(f"`{c}`").cast(kind).alias(f"c{i}") for i, c in enumerate(cols)])
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(col, value, k): how often each text of each column occurs, without NULL."""
+    wide = df.select(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
     long = wide.unpivot([], [f"c{i}" for i in range(len(cols))], "col", "value").where("value is not null")
-    if kind == "double":
-        long = long.where(~F.isnan("value"))
     return long.groupBy("col", "value").agg(F.count(F.lit(1)).alias("k"))
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Interpolated medians: value counts, their running sums in value order, and of each column the
-    one or two values at the middle ranks, which are all that is collected."""
-    if not cols:
-        return {}
-    run = running_totals(_long(df, cols, "double"), "value", ["k"], ["col"])
-    low, high = F.expr("(tot_k - 1) div 2"), F.expr("tot_k div 2")
-    before, upto = F.col("cum_k") - F.col("k"), F.col("cum_k")
-    middle = run.where(((before <= low) & (low < upto)) | ((before <= high) & (high < upto)))
-    found: dict[str, list[float]] = {}
-    for r in middle.select("col", "value").collect():
-        found.setdefault(r["col"], []).append(r["value"])
-    return {c: sum(v) / len(v) for i, c in enumerate(cols) if (v := found.get(f"c{i}"))}
+    """Interpolated medians by radix selection: a few rounds of bucket counts for all columns at once, none of
+    which shuffles more than columns x buckets; at most two values of a column are collected."""
+    return ranks.medians(df, {c: F.col(f"`{c}`") for c in cols})
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
@@ -73,7 +62,7 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
     if not cols:
         return {}
     best = F.min_by("value", F.struct(-F.col("k"), F.col("value"))).alias("v")
-    return {cols[int(r["col"][1:])]: r["v"] for r in _long(df, cols, "string").groupBy("col").agg(best).collect()}
+    return {cols[int(r["col"][1:])]: r["v"] for r in _long(df, cols).groupBy("col").agg(best).collect()}
 
 
 def imputation_values(
@@ -82,8 +71,8 @@ def imputation_values(
     """FE6/FE7 statistics: median of every numeric column with gaps (all-NULL -> 0) and the mode
     of every string column (ties -> smallest; all-NULL -> left untouched).
 
-    One aggregation counts gaps; medians and modes come from value counts that are pre-aggregated
-    before their shuffle, and at most two values of a column reach the driver. With
+    One aggregation counts gaps; medians come from rounds of bucket counts, modes from value counts, all
+    pre-aggregated before their shuffle; at most two values of a column reach the driver. With
     ``median_method='approx'`` medians are ``percentile_approx``."""
     nums, strs = numeric_columns(df, exclude), string_columns(df, exclude)
     values: dict = {}

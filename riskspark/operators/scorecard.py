@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.exprs import percent_text, right_closed_bin, round_half_even
+from riskspark.operators import ranks
 from riskspark.operators.woe import transform_woe
 
 
@@ -154,11 +155,9 @@ def master_scale_legacy(
 
 
 def decile_edges(scored: DataFrame, score: str = "score", num_deciles: int = 10) -> list[float]:
-    """Exact quantile edges (linear interpolation), duplicates dropped, as ``pd.qcut``. The exact
-    ``percentile`` keeps a value->count map: bounded by distinct integer scores."""
-    probs = [i / num_deciles for i in range(num_deciles + 1)]
-    row = scored.agg(F.percentile(F.col(score).cast("double"), probs).alias("q")).first()
-    return sorted(set(row["q"])) if row and row["q"] else []
+    """Exact quantile edges (linear interpolation), duplicates dropped, as ``pd.qcut``, by radix selection of
+    their ranks: any number of distinct scores, of any type."""
+    return sorted(set(ranks.quantiles(scored, F.col(score), [i / num_deciles for i in range(num_deciles + 1)])))
 
 
 def with_decile(scored: DataFrame, score: str = "score", num_deciles: int = 10, edges: list[float] | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
+from riskspark.operators import ranks
 from riskspark.session import checkpoint_dir
 
 _NON_SPLITTABLE = (".gz", ".gzip", ".zst", ".zstd")
@@ -92,10 +93,33 @@ def load_raw_data(
 
 
 def sample_rows(df: DataFrame, n: int, random_state: int = 42, key: str = "id") -> DataFrame:
-    """SRC2: n rows uniformly without replacement, seeded: the n smallest md5(key || seed).
-    Planned as a top-k (TakeOrderedAndProject), never a full sort."""
-    h = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(random_state))))
-    return df.withColumn("_sh", h).orderBy("_sh", key).limit(int(n)).drop("_sh")
+    """SRC2: n rows uniformly without replacement, seeded: those with the n smallest md5(key || seed); all rows
+    if there are no more than n, none for n = 0.
+
+    The n-th smallest hash is found by bucket counts of its leading bits and the sample is a filter on it, so no task
+    gathers or sorts the sample. Only rows that share that hash are looked at again: by the whole digest, and rows of one
+    key by a hash of the row."""
+    if n <= 0:
+        return df.limit(0)
+    h = F.md5(F.concat_ws("|", F.col(f"`{key}`").cast("string"), F.lit(str(random_state))))
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    rows, chosen = df, []
+    # 60 bits of the digest, the rest of it, and a hash of the row for rows of one key
+    for image in (F.conv(F.substring(h, 1, 15), 16, 10), F.conv(F.substring(h, 16, 15), 16, 10), F.xxhash64(text)):
+        image = image.cast("bigint")
+        found = ranks.threshold(rows, image, n)
+        if found is None:  # no more rows than asked for
+            chosen.append(rows)
+            break
+        least, before = found
+        chosen.append(rows.where(image < F.lit(least)))
+        rows, n = rows.where(image == F.lit(least)), n - before
+    else:
+        chosen.append(rows.limit(n))  # equal rows
+    out = chosen[0]
+    for part in chosen[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

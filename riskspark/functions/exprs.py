@@ -169,3 +169,25 @@ def linspace(lo: float, hi: float, n: int) -> list[float]:
     """n+1 equally spaced edges, as NumPy ``linspace(lo, hi, n + 1)``."""
     step = (hi - lo) / n
     return [lo + i * step if i < n else hi for i in range(n + 1)]
+
+
+# ---- searches in literal arrays ---------------------------------------------------------------
+
+def double_array(values: list[float]) -> Column:
+    """A literal array, folded from one text when the query is planned (an element each would be slow to build)."""
+    if not values:
+        return F.array().cast("array<double>")
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
+def search(xs: Column, size: int, x: Column, below: bool = False) -> Column:
+    """How many elements of a rising array (of at most ``size``) are at most x (``below``: less than x)."""
+    steps = [1 << k for k in range(max(0, size.bit_length() - 1), -1, -1)] if size else []
+    if not steps:
+        return F.lit(0)
+
+    def step(at: Column, by: Column) -> Column:
+        value = F.get(xs, at + by - 1)  # NULL beyond the end
+        return F.when(value < x if below else value <= x, at + by).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(b) for b in steps]), F.lit(0), step)

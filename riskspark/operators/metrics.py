@@ -1,9 +1,9 @@
 """Discrimination and calibration metrics (EVL1-EVL6).
 
-ROC points come from a histogram of distinct predicted values (partial aggregation) whose
-running sums are computed with ``running_totals`` (range-partitioned blocks of bounded size), so an unbounded number of distinct probabilities
-is never held by one task.
-"""
+Discrimination works on a histogram of distinct predicted values (partial aggregation), cut into blocks of
+bounded size along the values. A block's positives and negatives before it come from the sums of the blocks, so
+running sums, pairs won and the best gap are found within each block and merged: no table is written, and no
+task holds an unbounded number of distinct probabilities."""
 
 from __future__ import annotations
 
@@ -12,28 +12,48 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.functions.exprs import at_or_above_index, linspace
-from riskspark.operators.cumulative import running_totals
+from riskspark.functions.exprs import at_or_above_index, double_array, linspace, search
+from riskspark.operators.cumulative import BLOCK_ROWS
 
+#: Blocks at most: one row of sums each.
+MOST_BLOCKS = 10_000
 
-def roc_points(df: DataFrame, label: str = "target", prob: str = "prob") -> DataFrame:
+
+def block_edges(df: DataFrame, prob: str, block_rows: int = BLOCK_ROWS) -> list[float]:
+    """Values that cut the rows into blocks of about ``block_rows``, one approximate-quantile pass; none if all rows fit one
+    block. At most ``MOST_BLOCKS`` blocks; a value is never divided."""
+    blocks = min(MOST_BLOCKS, -(-df.count() // block_rows))
+    if blocks <= 1:
+        return []
+    p = F.col(prob).cast("double")
+    found = df.agg(F.percentile_approx(F.when(~F.isnan(p), p), [i / blocks for i in range(1, blocks)], 10 * max(1000, blocks)).alias("q")).first()["q"]
+    return sorted(set(found or []))
+
+
+def roc_points(df: DataFrame, label: str = "target", prob: str = "prob", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """EVL1: one row per distinct threshold (descending): tp, fp (rows with prob >= threshold),
     tpr, fpr, and the positives/negatives exactly at the threshold."""
     hist = df.groupBy(F.col(prob).cast("double").alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum(1 - F.col(label).cast("long")).alias("neg"))
-    return from_histogram(hist)
-
-
-def from_histogram(hist: DataFrame) -> DataFrame:
-    """ROC points of a histogram ``(threshold, pos, neg)``."""
-    run = running_totals(hist, "threshold", ["pos", "neg"], descending=True)
+    return from_histogram(hist, block_edges(df, prob, block_rows))
+
+
+def from_histogram(hist: DataFrame, edges: list[float] | None = None) -> DataFrame:
+    """ROC points of a histogram ``(threshold, pos, neg)``, in the blocks that ``edges`` cut."""
+    edges = block_edges(hist, "threshold") if edges is None else edges
+    rows = hist.withColumn("block", search(double_array(edges), len(edges), F.col("threshold")))
+    sums = rows.groupBy("block").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    above = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)  # <= MOST_BLOCKS rows
+    every = Window.partitionBy()
+    before = sums.select("block", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"before_{c}") for c in "pn"],
+                         F.sum("p").over(every).alias("tot_pos"), F.sum("n").over(every).alias("tot_neg"))
+    inside = Window.partitionBy("block").orderBy(F.col("threshold").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    run = rows.select("block", "threshold", "pos", "neg", F.sum("pos").over(inside).alias("cum_pos"), F.sum("neg").over(inside).alias("cum_neg"))
+    run = run.join(F.broadcast(before), "block")
+    tp, fp = F.col("before_p") + F.col("cum_pos"), F.col("before_n") + F.col("cum_neg")
     return run.select(
-        "threshold", "pos", "neg",
-        F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-        F.try_divide(F.col("cum_pos"), F.col("tot_pos")).alias("tpr"),
-        F.try_divide(F.col("cum_neg"), F.col("tot_neg")).alias("fpr"),
-        F.col("tot_pos"), F.col("tot_neg"),
-    )
+        "threshold", "pos", "neg", tp.alias("tp"), fp.alias("fp"),
+        F.try_divide(tp, F.col("tot_pos")).alias("tpr"), F.try_divide(fp, F.col("tot_neg")).alias("fpr"), "tot_pos", "tot_neg")
 
 
 def discrimination(df: DataFrame, label: str = "target", prob: str = "prob") -> DataFrame:

@@ -149,3 +149,22 @@ def test_auc_of_billions_of_rows_does_not_overflow(spark):
     assert F.try_divide is not None
     run = ME.from_histogram(hist)
     assert ME.discrimination_of(run).first()["auc"] == 1.0
+
+
+def test_discrimination_does_not_depend_on_blocks(spark):
+    rng = np.random.default_rng(8)
+    p = np.where(rng.uniform(size=3000) < 0.3, 0.5, np.round(rng.uniform(size=3000), 4))
+    rows = [(float(a), int(b)) for a, b in zip(p, rng.uniform(size=3000) < p)] + [(None, 1), (None, 0)]
+    df = spark.createDataFrame(rows, "prob double, target int")
+    got = [sorted(map(str, M.roc_points(df, block_rows=n).collect())) for n in (1_000_000, 700, 40)]
+    assert got[0] == got[1] == got[2] and len(M.block_edges(df, "prob", 40)) > 30
+    one, many = (M.discrimination_of(M.roc_points(df, block_rows=n)).first() for n in (1_000_000, 40))
+    assert one["ks_threshold"] == many["ks_threshold"] and np.isclose(one["auc"], many["auc"], rtol=1e-13)
+    assert M.roc_points(df.limit(0)).collect() == [] and M.discrimination(df.limit(0)).first()["auc"] is None
+
+
+def test_discrimination_writes_no_table(spark, monkeypatch):
+    from riskspark import session
+
+    monkeypatch.setattr(session, "checkpoint_dir", lambda *a: (_ for _ in ()).throw(AssertionError("a table is written")))
+    assert M.discrimination(fx.scored(spark, SF_SMALL), "target", "raw_good").first()["auc"] > 0.5

@@ -94,7 +94,7 @@ def additive_scores(
     scaling: Scaling = Scaling(),
     keep: tuple[str, ...] = ("id",),
 ) -> DataFrame:
-    """SCL6: base points + sum of each feature's bin points (rounded per bin). Pure projection."""
+    """SCL6: base points + sum of each feature's bin points (rounded per bin), looked up as in ``transform_woe``."""
     pts = points_bins(bin_table, coefficients, scaling).drop("woe").withColumnRenamed("points", "woe")
     per = transform_woe(df, pts, keep=list(keep), features=list(coefficients))
     base = float(round(scaling.offset + scaling.factor * intercept))

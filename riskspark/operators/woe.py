@@ -14,6 +14,7 @@ class (WOE2: IV 0 and no mapping).
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 
@@ -21,9 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
-from riskspark.functions.exprs import linspace, right_closed_bin, round_half_even
+from riskspark.functions.exprs import double_array, linspace, right_closed_bin, round_half_even
 from riskspark.session import materialize
 
+#: A category with at least 1 / FREQUENT of its feature's rows is a literal; other categories that are broadcast, at most.
+FREQUENT, BROADCAST_CATEGORIES = 200, 100_000
+
 BIN_TABLE_SCHEMA = (
     "feature string, kind string, bin_id int, lo double, hi double, category string, total long, good long, "
     "bad long, dist_good double, dist_bad double, woe double, iv double, bad_rate double, valid boolean"
@@ -216,6 +220,28 @@ def numeric_mappings(bin_table: DataFrame, value_col: str = "woe") -> dict[str,
     return {f: ([hi for _, hi, _ in sorted(x)[:-1]], [v for *_, v in sorted(x)]) for f, x in found.items()}
 
 
+def _category_values(maps: DataFrame, texts: Sequence[str], value_col: str) -> tuple[dict[str, dict[str, float]], DataFrame, dict[str, int]]:
+    """The values of the frequent categories of each feature (at least 1 / FREQUENT of its rows, so at most
+    FREQUENT), the table of all others, and how many others each feature has."""
+    cats = maps.where((F.col("kind") == "cat") & F.col("feature").isin(list(texts)))
+    rows = {r["feature"]: r["rows"] for r in cats.groupBy("feature").agg(F.sum("total").alias("rows")).collect()}  # one for each feature
+    of = F.element_at(F.create_map(*[F.lit(x) for item in rows.items() for x in item]), F.col("feature")) if rows else F.lit(0)
+    cats = cats.select("feature", "category", F.col(value_col).cast("double").alias("value"), "total", (F.col("total") * FREQUENT >= of).alias("often"))
+    often: dict[str, dict[str, float]] = {}
+    for r in cats.where("often and value is not null").orderBy(F.col("total").desc(), "category").collect():
+        often.setdefault(r["feature"], {})[r["category"]] = r["value"]
+    others = cats.where("not often").select("feature", "category", "value")
+    return often, others, {r["feature"]: r["count"] for r in others.groupBy("feature").count().collect()}
+
+
+def _lookup(category: Column, values: Mapping[str, float]) -> Column:
+    """Value of a category by a literal table, NULL if it holds none."""
+    if not values:
+        return F.lit(None).cast("double")
+    keys = F.from_json(F.lit(json.dumps([*values])), "array<string>")
+    return F.get(double_array([*values.values()]), F.array_position(keys, category).cast("int") - 1)
+
+
 def transform_woe(
     df: DataFrame,
     bin_table: DataFrame,
@@ -228,16 +254,19 @@ def transform_woe(
     """WOE7: replace each mapped feature by its bin's value (WoE, or points for SCL6).
 
     Unseen categories and NULLs -> ``unseen`` (0.0; K11 legacy: None). Features without a
-    mapping are omitted. Numeric features are pure expressions (no shuffle); categorical ones are
-    joined on the category, with the mapping written as a table first, so that Spark knows its size
-    and chooses the join."""
+    mapping are omitted. Numeric features and the frequent categories of text features are pure expressions.
+    Only features that have other categories need more: these categories are broadcast if there are at most
+    ``BROADCAST_CATEGORIES`` of them in all; beyond that, the rows with a category that is not frequent go through one
+    join by (feature, category) for all features together and one grouping that brings a row's values
+    back together, however many text features there are; all other rows stay where they are. A stream is joined feature by feature."""
     if numeric_unseen is None:
         numeric_unseen = unseen
-    maps = materialize(bin_table.where("valid").select("feature", "kind", "bin_id", "hi", "category", value_col), "woe-mapping")
+    maps = materialize(bin_table.where("valid").select("feature", "kind", "bin_id", "hi", "category", "total", value_col), "woe-mapping")
     numeric = numeric_mappings(maps.withColumn("valid", F.lit(True)), value_col)
     categorical = [r[0] for r in maps.where("kind = 'cat'").select("feature").distinct().collect()]
     wanted = [f for f in (features or [*numeric, *categorical]) if f in df.columns and (f in numeric or f in categorical)]
     texts = [f for f in wanted if f not in numeric]
+    often, others, more = _category_values(maps, texts, value_col) if texts else ({}, None, {})
     cols = []
     for f in wanted:
         if f in numeric:
@@ -245,14 +274,36 @@ def transform_woe(
             x = F.col(f).cast("double")
             val = F.when(x.isNull() | F.isnan(x), F.lit(numeric_unseen).cast("double")).otherwise(_value_tree(x, cuts, values))
             cols.append(val.alias(f))
-    out = df.select(*keep, *cols, *[category_text(f).alias(f"__cat_{f}") for f in texts])
+        else:
+            cols.append(_lookup(category_text(f), often.get(f, {})).alias(f))
+    joined = [f for f in texts if more.get(f)]
+    out = df.select(*keep, *cols, *[category_text(f).alias(f"__cat_{f}") for f in joined])
+    if joined and (df.isStreaming or sum(more.values()) <= BROADCAST_CATEGORIES):
+        for f in joined:
+            one = others.where(F.col("feature") == f).select(F.col("category").alias(f"__cat_{f}"), F.col("value").alias(f"__val_{f}"))
+            one = F.broadcast(one) if sum(more.values()) <= BROADCAST_CATEGORIES else one
+            out = out.join(one, f"__cat_{f}", "left").withColumn(f, F.coalesce(f, f"__val_{f}"))
+    elif joined:
+        out = _join_others(out, joined, others)
+    final = [F.coalesce(F.col(f), F.lit(unseen)).alias(f) if f in texts and unseen is not None else F.col(f) for f in wanted]
+    return out.select(*keep, *final)
+
+
+def _join_others(rows: DataFrame, texts: Sequence[str], others: DataFrame) -> DataFrame:
+    """``rows`` whose NULL text features are filled from ``others(feature, category, value)`` by one join for all features."""
+    open_ = F.lit(False)
     for f in texts:
-        one = maps.where((F.col("feature") == f) & (F.col("kind") == "cat")).select(
-            F.col("category").alias(f"__cat_{f}"), F.col(value_col).cast("double").alias(f"__val_{f}"))
-        out = out.join(one, f"__cat_{f}", "left")
-        v = F.col(f"__val_{f}")
-        out = out.withColumn(f, F.coalesce(v, F.lit(unseen)) if unseen is not None else v).drop(f"__cat_{f}", f"__val_{f}")
-    return out.select(*keep, *wanted)
+        open_ = open_ | F.col(f).isNull()
+    asked = F.filter(F.array(*[F.struct(F.lit(f).alias("feature"), F.when(F.col(f).isNull(), F.col(f"__cat_{f}")).alias("category")) for f in texts]),
+                     lambda x: x["category"].isNotNull())
+    row = F.struct(*[F.col(c) for c in rows.columns]).alias("__row")
+    numbered = rows.where(open_).select(F.monotonically_increasing_id().alias("__n"), row, asked.alias("asked"))
+    each = numbered.select("__n", "__row", F.explode("asked").alias("a")).select(
+        "__n", "__row", F.col("a.feature").alias("feature"), F.col("a.category").alias("category"))
+    met = each.join(others, ["feature", "category"], "left").groupBy("__n").agg(
+        F.first("__row").alias("__row"), *[F.max(F.when(F.col("feature") == f, F.col("value"))).alias(f"__val_{f}") for f in texts])
+    filled = met.select(*[F.coalesce(F.col("__row")[c], F.col(f"__val_{c}")).alias(c) if c in texts else F.col("__row")[c].alias(c) for c in rows.columns])
+    return rows.where(~open_).unionByName(filled)
 
 
 # ---- exploratory utilities (BIN4, WOE6) ------------------------------------------------------

@@ -168,7 +168,8 @@ def load_artifacts(spark: SparkSession, out_dir: str) -> dict:
 
 def score_new_data(spark: SparkSession, cfg: ScorecardConfig, raw: DataFrame, art: dict) -> DataFrame:
     """WF3: clean/engineer new rows with the saved imputation values, encode with the saved bin
-    table, score and calibrate. Row-local (no shuffle): also valid on a streaming DataFrame."""
+    table, score and calibrate. Row-local but for categories that are neither frequent nor few (see
+    ``transform_woe``); also valid on a streaming DataFrame."""
     key = cfg.key_col
     df = raw
     if cfg.target_col in df.columns:

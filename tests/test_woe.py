@@ -66,3 +66,53 @@ def test_iv_nonnegative_and_totals(spark):
     bt = WO.fit_woe(df, "y", {"x": [-1.0, 0.0, 1.0]}).collect()
     assert sum(r["total"] for r in bt) == 500
     assert all(r["iv"] >= 0 for r in bt)
+
+
+def _many_categories(spark, n=4000):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(n):
+        a = "hot" if rng.uniform() < 0.4 else f"a{int(rng.integers(900))}"
+        rows.append((i, a, f"b{int(rng.integers(3))}", None if i % 17 == 0 else f"c{int(rng.zipf(1.6)) % 500}", float(rng.normal()), int(rng.integers(2))))
+    return spark.createDataFrame(rows, "id int, a string, b string, c string, x double, y int")
+
+
+def test_categories_by_literal_broadcast_and_join_are_the_same(spark, monkeypatch):
+    df = _many_categories(spark)
+    bt = WO.fit_woe(df, "y", {"x": [0.0]}, ["a", "b", "c"]).cache()
+    want = {(r["feature"], r["category"]): r["woe"] for r in bt.where("kind = 'cat'").collect()}
+    new = df.unionByName(spark.createDataFrame([(9000, "unseen", None, "c1", None, 0), (9000, "unseen", None, "c1", None, 0)], df.schema))
+    got = []
+    for frequent, few in ((100_000, 0), (200, 100_000), (200, 0), (2, 0)):
+        monkeypatch.setattr(WO, "FREQUENT", frequent)
+        monkeypatch.setattr(WO, "BROADCAST_CATEGORIES", few)
+        got.append(sorted(map(tuple, WO.transform_woe(new, bt, keep=["id"], features=["a", "b", "c", "x"]).collect())))
+    assert got[0] == got[1] == got[2] == got[3] and len(got[0]) == 4002
+    source = {r["id"]: r for r in new.collect()}
+    for i, a, b, c, _ in got[0]:
+        r = source[i]
+        assert (a, b, c) == tuple(want.get((f, "nan" if r[f] is None else r[f]), 0.0) for f in "abc")
+    legacy = WO.transform_woe(new, bt, keep=["id"], features=["a"], unseen=None).where("id = 9000").collect()
+    assert [r["a"] for r in legacy] == [None, None]
+
+
+def test_exchanges_of_the_encoding_do_not_grow_with_the_features(spark, monkeypatch):
+    df = _many_categories(spark, 1500)
+    bt = WO.fit_woe(df, "y", None, ["a", "b", "c"]).cache()
+    plan = lambda fs: WO.transform_woe(df, bt, keep=["id"], features=fs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan(["b"]) and "Join" not in plan(["b"])  # three categories: all literals
+    assert "Exchange hashpartitioning" not in plan(["a", "c"])  # the others are broadcast
+    monkeypatch.setattr(WO, "BROADCAST_CATEGORIES", 0)
+    one, two = (plan(fs).count("Exchange hashpartitioning") for fs in (["a"], ["a", "c"]))
+    assert one == two <= 3
+
+
+def test_rows_of_frequent_categories_are_not_joined(spark, monkeypatch):
+    df = _many_categories(spark, 3000)
+    bt = WO.fit_woe(df, "y", None, ["a"]).cache()
+    monkeypatch.setattr(WO, "BROADCAST_CATEGORIES", 0)
+    seen = []
+    plain = WO._join_others
+    monkeypatch.setattr(WO, "_join_others", lambda rows, *rest: seen.append(rows.where("a is null").count()) or plain(rows, *rest))
+    WO.transform_woe(df, bt, keep=["id"], features=["a"])
+    assert seen == [df.where("a != 'hot'").count()]

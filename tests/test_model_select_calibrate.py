@@ -23,6 +23,26 @@ def test_logistic_matches_newton(spark):
     b0, b = R.newton_logistic(X, y, w, C=1.0)
     assert abs(model.intercept - b0) < 1e-5
     assert np.allclose(model.coefficients.toArray(), b, atol=1e-5)
+    own, coefs = MO.fit_newton(df, ["a", "b", "c"], "y")
+    assert abs(own - b0) < 1e-9 and np.allclose(list(coefs.values()), b, atol=1e-9)
+
+
+def test_newton_on_cells_of_bins(spark):
+    rng = np.random.default_rng(10)
+    X = rng.choice([-0.8, -0.1, 0.3, 1.1], size=(3000, 3))
+    X = np.hstack([X, X[:, :1], np.full((3000, 1), 0.5)])  # a copy and a constant
+    y = (rng.uniform(size=3000) < 1 / (1 + np.exp(-(0.9 + X[:, :3] @ [1.4, -0.6, 0.0])))).astype(int)
+    names = list("abcde")
+    df = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(X, y)] + [(0.1,) * 5 + (None,)], ", ".join(f"{c} double" for c in names) + ", y int")
+    assert MO.cells(df, names, "y").count() <= 2 * 4**3
+    for weight, w in (("balanced", np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))), (None, np.ones(len(y)))):
+        b0, b = R.newton_logistic(X, y, w, C=2.0)
+        own, coefs = MO.fit_newton(df, names, "y", c_penalty=2.0, class_weight=weight)
+        assert abs(own - b0) < 1e-8 and np.allclose(list(coefs.values()), b, atol=1e-8)
+    import pytest
+
+    with pytest.raises(ValueError):
+        MO.fit_newton(df.where("y = 1"), names, "y")
 
 
 def test_isotonic_matches_pava_with_interpolation(spark):

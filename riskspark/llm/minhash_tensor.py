@@ -32,6 +32,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,8 @@ LONG_ROWS, MISSED = 10, 1e-6
 BLOCK_DOCS, BLOCK_SHINGLES = 768, 400_000
 #: Columns of the comparison matrix at a time, and documents up to which each is compared on its own instead.
 COLUMNS, ALONE = 4096, 4
+#: Hash values computed at a time.
+CELLS = 16_384
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
@@ -62,13 +65,17 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(h)
 
 
-def minima(sets: np.ndarray, n: int) -> np.ndarray:
-    """n minhashes of a set."""
+@lru_cache(maxsize=8)
+def _multipliers(n: int) -> tuple[np.ndarray, np.ndarray]:
     odd = np.random.default_rng(4).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    out = np.empty(n, np.uint64)
-    for i, a in enumerate(odd):
-        out[i] = ((sets ^ (a >> np.uint64(7))) * a).min()
-    return mix(out)
+    return odd[:, None], (odd >> np.uint64(7))[:, None]
+
+
+def minima(sets: np.ndarray, n: int) -> np.ndarray:
+    """n minhashes of a set, several hash functions at a time."""
+    odd, turned = _multipliers(n)
+    step = max(1, CELLS // max(1, len(sets)))
+    return mix(np.concatenate([((sets[None, :] ^ turned[i:i + step]) * odd[i:i + step]).min(axis=1) for i in range(0, n, step)]))
 
 
 @dataclass(frozen=True)

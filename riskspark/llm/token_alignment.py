@@ -40,7 +40,7 @@ MARK = "▁"
 #: White space here is a superset of what the first tokenizer takes for white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Cuts joined for one call, texts aligned together by their bytes, and broadcast keys at most.
-CUTS_AT_ONCE, BYTES_AT_ONCE, HOT = 2_000, 8_000_000, 100_000
+CUTS_AT_ONCE, BYTES_AT_ONCE, HOT = 2_000, 5_000_000, 100_000
 #: An id pair as one number: a * ID_SPAN + b.
 ID_SPAN = 1 << 32
 

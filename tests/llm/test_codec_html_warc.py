@@ -119,6 +119,36 @@ def test_what_encloses_the_article_is_not_dropped(page, want):
     assert html_lineblocks.main_text(page) == want
 
 
+PARAGRAPH = "<p>" + "Several words of running text stand here. " * 5 + "</p>"
+PLAIN = ("Several words of running text stand here. " * 5).strip()
+TALK = "<section class=discussion><h3>Discussion</h3><div class=comment-author>Ann</div><p>" + "I think so too. " * 20 + "</p></section>"
+
+
+@pytest.mark.parametrize("page, want", [
+    # link lists between paragraphs, without article or main
+    (f"<div id=top><a href=a>A</a></div><div id=body>{PARAGRAPH}{REFS}{PARAGRAPH}</div>", f"{PLAIN}\n{REFS_WANT}\n{PLAIN}"),
+    (f"<body>{PARAGRAPH * 2}{REFS}{PARAGRAPH}{REFS}</body>", f"{PLAIN}\n{PLAIN}\n{REFS_WANT}\n{PLAIN}"),
+    # short lines of a menu before the first paragraph and behind the last one
+    (f"<div><div>About</div><div>Contact</div><h1>Title</h1>{PARAGRAPH * 3}<div>Terms</div></div>", f"Title\n{PLAIN}\n{PLAIN}\n{PLAIN}"),
+    (f"<ul><li>About<li>Contact</ul><div>{PARAGRAPH * 2}</div>", f"{PLAIN}\n{PLAIN}"),
+    # names that only begin like those of widgets
+    *[(f"<article>{PARAGRAPH}<p class={name}>Own text.</p>{PARAGRAPH}</article>", f"{PLAIN}\nOwn text.\n{PLAIN}")
+      for name in ("related-work", "social-history", "widget-theory", "notice-board-history")],
+    *[(f"<article>{PARAGRAPH}<div class='x {name}'>Foreign text.</div>{PARAGRAPH}</article>", f"{PLAIN}\n{PLAIN}")
+      for name in ("related-posts", "share-buttons", "widget", "ad-slot", "comments", "newsletter-box")],
+    # a stray quote in a tag
+    (f'<article><p title=5">Some text.</p>{PARAGRAPH}<p title="a>b">More.</p></article>', f"Some text.\n{PLAIN}\nMore."),
+    # comments under a name that articles use too
+    (f"<article>{PARAGRAPH}{TALK}</article>", PLAIN),
+    (f"<div>{PARAGRAPH}</div>{TALK}", PLAIN),
+    (f"<article>{PARAGRAPH}<section class=discussion><h2>Discussion</h2>{PARAGRAPH}</section></article>", f"{PLAIN}\nDiscussion\n{PLAIN}"),
+    # a line break is white space inside its block
+    (f"<article><p>One<br>two<br/> three</p>{PARAGRAPH}</article>", f"One two three\n{PLAIN}"),
+])
+def test_cuts_that_once_went_wrong(page, want):
+    assert html_lineblocks.main_text(page) == want
+
+
 def test_pages_of_the_table(spark):
     import html
     import re

@@ -4,16 +4,18 @@ A benchmark item of L words has its shingles (five words each; a shorter item is
 document contains it if a window of the document with as many shingles has a weighted Jaccard
 similarity of at least 0.8 to it, weights being the number of times a shingle occurs.
 
-1. Where a document's shingles occur in any item of L words is found in one pass over the exploded
+1. Where an item's shingles occur in a document is found in one pass over the exploded
    shingles, joined to the (few) item shingles.
-2. A window that is similar enough holds a known least number of such places. Windows of L words are
-   laid at each such place that has enough of them ahead: dropping the shingles before the first place
-   and adding as many behind never lowers the similarity, so no other window need be looked at.
+2. A window that is similar enough to an item holds a known least number of such places of that item. Windows of the item's
+   size are laid at each such place that has enough of them ahead: dropping the shingles before the first place
+   and adding as many behind never lowers the similarity, so no other window need be looked at, and no item but
+   those that a window was laid for.
 3. Each window and item gets a 64-bit SimHash. Its features are the occurrences, each shingle with its
    running number in the window, so that the weighted similarity is the plain one of two sets of features
    and a shingle that occurs often does not turn many bits at once. Fingerprints are cut into ``RADIUS + 1`` blocks; two
-   within the radius agree in one block at least, so an equi-join on (L, block, value) finds all of
-   them. The radius is wide enough for the similarity: 0.8 means a cosine of 0.89 and 9.7 differing
+   within the radius agree in one block at least, so an equi-join on (item, block, value) finds all of
+   them. A radius as wide as 0.8 asks for has narrow blocks, which by themselves part little: what keeps the join small is
+   that a window carries the items of step 2. The radius is wide enough for the similarity: 0.8 means a cosine of 0.89 and 9.7 differing
    bits on average; more than 23 have a probability below 1e-5 for a window as long as the item. Documents
    shorter than the item may have an even number of shingles against an odd one: 3.5e-4 at worst (4 and 5).
 4. Candidates within the radius are verified by their exact weighted similarity.
@@ -80,6 +82,11 @@ def blocks(radius: int = RADIUS) -> Column:
         for i, (a, b) in enumerate(zip(edges, edges[1:]))]))
 
 
+def block_join(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """Windows and the items they were laid for that agree in a block."""
+    return windows.join(items, ["item_id", "block", "value"])
+
+
 def contained(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, percent: int = PERCENT,
               stash: Stash | None = None) -> DataFrame:
     """``(doc_id, item_id, first_word, shared, united)`` of every document and item it contains: the most
@@ -94,26 +101,27 @@ def contained(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, perce
     item_rows = grams.groupBy("item_id", "h").agg(F.count("*").alias("c"))
     # one size for an item that is given more than once with different texts: all its shingles
     sizes = grams.groupBy("item_id").agg(F.count("*").cast("int").alias("size"))
-    wanted = grams.select("item_id", "h").distinct().join(sizes, "item_id").select("h", "size").distinct()
+    wanted = grams.select("item_id", "h").distinct().join(sizes, "item_id").select("h", "item_id", "size")
     small = grams.count() <= BROADCAST_ROWS
     if small:
         wanted = F.broadcast(wanted)
 
     shingled = docs.select("doc_id", "t", words(F.col("text")).alias("w")).withColumn("all", n_shingles(F.size("w"))).where("all > 0")
     hits = shingled.select("doc_id", "t", "all", "w", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("p")).select(
-        "doc_id", "t", "all", "p", shingle(F.col("w"), F.col("p")).alias("h")).join(wanted, "h").select("doc_id", "t", "all", "size", "p")
-    places = hits.groupBy("doc_id", "t", "all", "size").agg(F.sort_array(F.collect_set("p")).alias("places"))
+        "doc_id", "t", "all", "p", shingle(F.col("w"), F.col("p")).alias("h")).join(wanted, "h").select("doc_id", "t", "all", "item_id", "size", "p")
+    places = hits.groupBy("doc_id", "t", "all", "item_id", "size").agg(F.sort_array(F.collect_set("p")).alias("places"))
     held = F.least("all", "size")  # shingles in a window: fewer only if the document has fewer
     need = F.ceil((held + F.col("size")) * percent / (100 + percent)).cast("int")
     places = places.withColumn("held", held).withColumn("need", need).where("size(places) >= need")
     starts = F.transform(
         F.filter("places", lambda x, i: F.get("places", i + F.col("need") - 1) < x + F.col("held")),
         lambda x: F.greatest(F.lit(0), F.least(x, F.col("all") - F.col("held"))))
-    windows = stash.put(places.select("doc_id", "t", "size", "held", F.array_distinct(starts).alias("starts")).where("size(starts) > 0")
-                        .groupBy("doc_id", "t").agg(F.collect_list(F.struct("size", "held", "starts")).alias("windows")))
+    # a window is laid once, for all items of its size that may match it
+    asked = stash.put(places.select("doc_id", "t", "item_id", "size", "held", F.explode(F.array_distinct(starts)).alias("s")))
+    windows = asked.select("doc_id", "t", "size", "held", "s").distinct().groupBy("doc_id", "t").agg(F.collect_list(F.struct("size", "held", "s")).alias("windows"))
 
     laid = docs.join(windows, ["doc_id", "t"]).select("doc_id", "t", words(F.col("text")).alias("w"), F.explode("windows").alias("x"))
-    laid = laid.select("doc_id", "t", "w", "x.size", "x.held", F.explode("x.starts").alias("s"))
+    laid = laid.select("doc_id", "t", "w", "x.size", "x.held", "x.s")
     laid = laid.select("doc_id", "t", "size", "s", "w", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("held") - 1)).alias("p"))
     window = ["doc_id", "t", "size", "s"]
     cells = stash.put(laid.select(*window, "p", shingle(F.col("w"), F.col("p")).alias("h")).distinct())
@@ -121,10 +129,9 @@ def contained(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, perce
     counted = cells.groupBy(*window, "h").agg(F.count("*").alias("c"))
     prints = fingerprint(occurrences(counted), window)
     marks = fingerprint(occurrences(item_rows).join(sizes, "item_id"), ["item_id", "size"])
-    left = prints.select(*window, "f", "n", blocks(radius).alias("b")).select("*", "b.block", "b.value")
-    right = marks.select("item_id", "size", F.col("f").alias("g"), blocks(radius).alias("b")).select("*", "b.block", "b.value").drop("b")
-    near = left.join(F.broadcast(right) if small else right, ["size", "block", "value"])
-    near = near.where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius).select(*window, "n", "item_id").distinct()
+    left = prints.join(asked.select(*window, "item_id"), window).select(*window, "item_id", "f", "n", blocks(radius).alias("b")).select("*", "b.block", "b.value").drop("b")
+    right = marks.select("item_id", F.col("f").alias("g"), blocks(radius).alias("b")).select("*", F.col("b.block").alias("block"), F.col("b.value").alias("value")).drop("b", "f")
+    near = block_join(left, F.broadcast(right) if small else right).where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius).select(*window, "n", "item_id").distinct()
 
     both = near.join(counted, window).join(
         (F.broadcast(item_rows) if small else item_rows).withColumnRenamed("c", "ci"), ["item_id", "h"])

@@ -111,6 +111,38 @@ def test_decontamination_of_repeated_word_runs(spark):
     assert found.count() == len(docs)
 
 
+def test_windows_meet_the_items_they_were_laid_for_alone(spark, monkeypatch):
+    """2,000 items of one length and as many documents: rows of the block join follow the matches, not items x documents."""
+    n = 2000
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(30))) for i in range(n)]
+    docs = [(i, (items[i][1] if i % 20 == 0 else " ".join(f"d{i}w{k}" for k in range(30))) + f" tail{i}") for i in range(n)]
+    joined = []
+    plain = decontaminate.block_join
+
+    def counted(windows, marks):
+        out = plain(windows, marks)
+        joined.append((windows.select("doc_id", "item_id").distinct().count(), out.count()))
+        return out
+
+    monkeypatch.setattr(decontaminate, "block_join", counted)
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, i) for i in range(0, n, 20)}
+    pairs, rows = joined[0]
+    assert pairs == n // 20 and rows <= 5 * (decontaminate.RADIUS + 1) * pairs
+
+
+def test_recall_at_the_similarity_itself(spark):
+    """Items of which a document holds exactly as much as a weighted similarity of 0.8 asks: every one is found."""
+    items, docs = [], []
+    for i in range(400):
+        size = 9 * (3 + i % 20)  # shingles; the window shares 8 / 9 of them: 8 / (9 + 9 - 8) = 0.8
+        words = [f"i{i}w{k}" for k in range(size + 4)]
+        items.append((i, " ".join(words)))
+        docs.append((i, " ".join(["lead"] * 3 + words[:size * 8 // 9 + 4] + [f"o{i}x{k}" for k in range(size // 9 + 3)])))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sum(r["doc_id"] == r["item_id"] and abs(r["similarity"] - 0.8) < 1e-6 for r in found) >= 399
+
+
 def test_blocks_find_every_fingerprint_within_the_radius(spark):
     import random
 

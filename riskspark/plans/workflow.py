@@ -141,13 +141,15 @@ def save_artifacts(spark: SparkSession, results: dict, out_dir: str, cfg: Scorec
     # one row per bin or category of the model features: large with uncapped categoricals (K25)
     points = results["points_table"]
     io.write_csv(points, f"{out_dir}/points_table", ["row_kind", "Feature", "bin_id", "category"])
-    art["bins"].write.mode("overwrite").parquet(f"{out_dir}/bins")
     art["model"].write().overwrite().save(f"{out_dir}/logistic_model")
+    return save_scorecard(spark, art | {"config": {k: v for k, v in asdict(cfg).items() if isinstance(v, (int, float, str, type(None)))}}, out_dir)
+
+
+def save_scorecard(spark: SparkSession, art: dict, out_dir: str) -> str:
+    """What scoring needs (WF3): bin table, isotonic boundaries, and the numbers as JSON."""
+    art["bins"].write.mode("overwrite").parquet(f"{out_dir}/bins")
     art["isotonic"].write(f"{out_dir}/isotonic")
-    io.save_json(spark, {"intercept": art["intercept"], "coefficients": art["coefficients"], "selected": art["selected"],
-                         "impute_values": art["impute_values"], "config": {k: v for k, v in asdict(cfg).items()
-                                                                           if isinstance(v, (int, float, str, type(None)))}},
-                 f"{out_dir}/scorecard.json")
+    io.save_json(spark, {k: art[k] for k in ("intercept", "coefficients", "selected", "impute_values", "config") if k in art}, f"{out_dir}/scorecard.json")
     return out_dir
 
 
@@ -156,14 +158,11 @@ def load_model(path: str) -> LogisticRegressionModel:
     return LogisticRegressionModel.load(path)
 
 
-def load_artifacts(spark: SparkSession, out_dir: str) -> dict:
+def load_artifacts(spark: SparkSession, out_dir: str, model: bool = True) -> dict:
+    """All saved artefacts; without ``model`` only what scoring needs."""
     meta = io.load_json(spark, f"{out_dir}/scorecard.json")
-    return {
-        "bins": spark.read.parquet(f"{out_dir}/bins"),
-        "model": load_model(f"{out_dir}/logistic_model"),
-        "isotonic": IsotonicFit.load(spark, f"{out_dir}/isotonic"),
-        **meta,
-    }
+    art = {"bins": spark.read.parquet(f"{out_dir}/bins"), "isotonic": IsotonicFit.load(spark, f"{out_dir}/isotonic"), **meta}
+    return art | {"model": load_model(f"{out_dir}/logistic_model")} if model else art
 
 
 def score_new_data(spark: SparkSession, cfg: ScorecardConfig, raw: DataFrame, art: dict) -> DataFrame:

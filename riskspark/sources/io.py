@@ -56,6 +56,13 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def has_line_ends_in_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field of the CSV files goes over a line end: then some line holds an odd number of quotes (a quote
+    within a field is doubled). One pass over the lines, distributed as far as the files can be split."""
+    text = spark.read.text(path)
+    return not text.where(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
+
+
 def load_raw_data(
     spark: SparkSession,
     path: str,
@@ -64,13 +71,20 @@ def load_raw_data(
     random_state: int = 42,
     key: str = "id",
     min_partitions: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """SRC1 (+SRC2): CSV with header, doubled quotes and line ends within quotes; compression from the
     extension. Missing-value texts become NULL before types are told: a column is a number if all that
     is left of it are numbers (a given schema is taken instead), NaN becomes NULL. A missing path raises
-    FileNotFoundError. A compressed file, and any file with ``multi_line``, is one split, so it is dealt
-    out right after the read; set ``multi_line=False`` for large files without line ends in texts."""
+    FileNotFoundError. A compressed file, and any file read with ``multi_line``, is one split, so it is dealt
+    out right after the read. By default ``multi_line`` is used only if a quoted field goes over a line end, which a pass over
+    the lines tells; give it to spare that pass."""
+    try:
+        multi_line = has_line_ends_in_quotes(spark, path) if multi_line is None else multi_line
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            raise FileNotFoundError(f"no such CSV file: {path}") from e
+        raise
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
     try:

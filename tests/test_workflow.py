@@ -97,3 +97,12 @@ def test_tables_of_a_block_are_deleted_but_those_kept(spark):
 def test_csv_rows_keep_their_order(spark, tmp_path):
     path = io.write_csv(spark.range(500).repartition(7), str(tmp_path / "t"), ["id"], single_file=True)
     assert [r["id"] for r in io.read_csv(spark, path).collect()] == [*range(500)]
+
+
+def test_files_are_split_unless_a_field_goes_over_a_line_end(spark, tmp_path):
+    plain, long = tmp_path / "plain.csv", tmp_path / "long.csv"
+    plain.write_text('id,note\n1,"a ""quoted"" word, and more"\n2,\n')
+    long.write_text('id,note\n1,"two\nlines"\n2,x\n')
+    assert not io.has_line_ends_in_quotes(spark, str(plain)) and io.has_line_ends_in_quotes(spark, str(long))
+    assert sorted(map(tuple, io.load_raw_data(spark, str(plain)).collect())) == [(1, 'a "quoted" word, and more'), (2, None)]
+    assert sorted(map(tuple, io.load_raw_data(spark, str(long)).collect())) == [(1, "two\nlines"), (2, "x")]

@@ -3,10 +3,9 @@
 Rows are ordered inside each class by ``md5(key || '|' || seed)``; the first
 ``round(n_y * test_size)`` rows of class y are test, the next ``round((n_y - test_y) * val_size)``
 validation, the rest train. The rank is computed in two levels so no window ever holds a whole
-class: counts per (class, hash prefix) give offsets (a table of at most classes x 16^prefix
-rows -- 8,192 for two classes and 3 hex digits -- broadcast), then ``row_number`` runs inside
-each (class, prefix) group: about rows / 8,192 rows per group (~10^7 at 10^11 rows; pass
-``prefix_len=4`` beyond that).
+class: counts per (class, hash prefix) give offsets, a table of one row for each prefix that is broadcast, then
+``row_number`` runs inside each (class, prefix) group. The length of the prefix follows from the class counts, so that a group
+holds about ``RANK_ROWS`` rows.
 """
 
 from __future__ import annotations

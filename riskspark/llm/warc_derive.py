@@ -13,14 +13,18 @@ makes the same records.
 
 A null or empty record, or one that is no response or has no HTTP header, gives no derivative but one
 row of kind ``error`` that names the reason, so that nothing is lost in silence. Repeated records give
-repeated rows; an empty table gives an empty result."""
+repeated rows; an empty table gives an empty result. Further columns are ignored. Digests are those of the payload
+without its transfer encoding (chunks); for the text, gzip and deflate are unpacked, any other content encoding
+is an error row. A record is handled whole, however long: memory follows the longest one."""
 
 from __future__ import annotations
 
 import base64
 import codecs
 import hashlib
+import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,7 +48,7 @@ def digest(data: bytes) -> str:
 
 def fields(head: bytes) -> tuple[str, list[tuple[str, str]]]:
     """First line and fields of a header; lines that begin with white space continue the one before."""
-    rows = head.decode("utf-8", "replace").splitlines()
+    rows = re.split(r"\r?\n", head.decode("utf-8", "replace"))  # no other character ends a header line
     out: list[tuple[str, str]] = []
     for row in rows[1:]:
         if row[:1] in (" ", "\t") and out:
@@ -98,14 +102,48 @@ def charset(http_fields: list[tuple[str, str]]) -> str:
         return "utf-8"
 
 
+def entity(http_fields: list[tuple[str, str]], payload: bytes) -> tuple[bytes, bytes]:
+    """The payload without its transfer encoding, and that without its content encoding too."""
+    named = {n.lower(): v.lower().strip() for n, v in http_fields}
+    if "chunked" in named.get("transfer-encoding", ""):
+        parts, at = [], 0
+        while True:
+            line, _, _ = payload[at:].partition(b"\r\n")
+            try:
+                size = int(line.split(b";")[0], 16)
+            except ValueError:
+                raise ValueError("chunks cannot be read") from None
+            at += len(line) + 2
+            if size == 0:
+                break
+            if at + size > len(payload):
+                raise ValueError("chunks cut short")
+            parts.append(payload[at:at + size])
+            at += size + 2
+        payload = b"".join(parts)
+    plain = payload
+    for coding in reversed([c.strip() for c in named.get("content-encoding", "").split(",") if c.strip() not in ("", "identity")]):
+        if coding not in ("gzip", "x-gzip", "deflate"):
+            raise ValueError(f"content encoding {coding} cannot be read")
+        try:  # 47: a gzip or zlib header, whichever there is; -15: deflate without one
+            plain = zlib.decompress(plain, 47)
+        except zlib.error:
+            try:
+                plain = zlib.decompress(plain, -15)
+            except zlib.error:
+                raise ValueError("payload cannot be unpacked") from None
+    return payload, plain
+
+
 def derive_one(raw: bytes) -> list[tuple]:
     named, status, http_fields, payload = parse(raw)
     source, uri, date = named["warc-record-id"], named.get("warc-target-uri", ""), named.get("warc-date", "")
+    payload, plain = entity(http_fields, payload)
     made, said = digest(payload), named.get("warc-payload-digest")
     same = made == said if said else None
     meta = [("http-status", status), *((f"http-{n.lower()}", v) for n, v in http_fields),
             ("source-date", date), ("payload-digest-valid", {True: "yes", False: "no", None: "unknown"}[same])]
-    text = "\n".join(t for t, _, _ in html_lineblocks.lines(payload.decode(charset(http_fields), "replace"), everything=True) if t)
+    text = "\n".join(x.text for x in html_lineblocks.lines(plain.decode(charset(http_fields), "replace"), everything=True) if x.text)
     out = []
     for kind, content, block in (
             ("metadata", "application/warc-fields", "".join(f"{n}: {v}{END}" for n, v in meta).encode()),

@@ -203,3 +203,32 @@ def test_broken_records_are_named(spark):
     assert {r["key"] for r in got if r["kind"] == "error"} == {1, 2, 3, 4, 5, 6}
     assert sorted(r["payload_ok"] for r in got if r["key"] == 7) == [False, False, True, True]
     assert warc_derive.derive(spark.createDataFrame([], "key long, record binary")).collect() == []
+
+
+def test_encoded_payloads_and_odd_headers(spark):
+    import gzip
+    import zlib
+
+    html = f"<body>{PARAGRAPH}</body>".encode()
+    packed = gzip.compress(html)
+    chunks = b"".join(f"{len(c):x};x=1\r\n".encode() + c + b"\r\n" for c in (packed[:7], packed[7:])) + b"0\r\n\r\n"
+
+    def made(payload, *http, digest=None):
+        block = "\r\n".join(["HTTP/1.1 200 OK", "Content-Type: text/html", *http]).encode() + b"\r\n\r\n" + payload
+        return warc_derive.record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>"), ("WARC-Target-URI", "http://a/\x85b"),
+                                   *([("WARC-Payload-Digest", digest)] if digest else [])], block)
+
+    rows = [(1, made(chunks, "Transfer-Encoding: chunked", "Content-Encoding: gzip", digest=warc_derive.digest(packed))),
+            (2, made(zlib.compress(html), "Content-Encoding: deflate")), (3, made(zlib.compress(html)[2:-4], "Content-Encoding: deflate")),
+            (4, made(html, "Content-Encoding: br")), (5, made(html[:9], "Content-Encoding: gzip")), (6, made(b"ff\r\nab", "Transfer-Encoding: chunked")),
+            (7, made(html, "X-Odd: a\u2028b: c\x85d"))]
+    df = spark.createDataFrame(rows, "key bigint, record binary").selectExpr("*", "'k' as kind", "1 as error", "2 as record_id")
+    got = warc_derive.derive(df).collect()
+    texts = {r["key"]: warc_derive.fields(bytes(r["record"]))[0] and bytes(r["record"]).partition(b"\r\n\r\n")[2].decode().strip() for r in got if r["kind"] == "conversion"}
+    assert texts == {k: PLAIN for k in (1, 2, 3, 7)}
+    assert {r["key"]: r["error"] for r in got if r["kind"] == "error"} == {
+        4: "content encoding br cannot be read", 5: "payload cannot be unpacked", 6: "chunks cut short"}
+    assert [r["payload_ok"] for r in got if r["key"] == 1] == [True, True]
+    assert {r["target_uri"] for r in got if r["key"] == 7} == {"http://a/\x85b"}
+    meta = next(bytes(r["record"]).decode() for r in got if r["key"] == 7 and r["kind"] == "metadata")
+    assert "http-x-odd: a\u2028b: c\x85d\r\n" in meta

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 
@@ -50,6 +52,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _recorders: list[list[str]] = []
+_scratch: dict[str, None] = {}
+
+
+def at_end_delete(path: str) -> str:
+    """Note a scratch table that results may still read: it is deleted when the application ends."""
+    _scratch[path] = None
+    return path
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table now."""
+    _scratch.pop(path, None)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def _delete_scratch() -> None:
+    with suppress(Py4JError, OSError):  # the application may have ended before
+        spark = SparkSession.getActiveSession()
+        if spark is None or spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+            return
+        for path in [*_scratch]:
+            delete_table(spark, path)
 
 
 def materialize(df, name: str):
@@ -59,7 +85,7 @@ def materialize(df, name: str):
     once (an unpersisted eager ``checkpoint()`` computes it twice: for its count and again for
     the checkpoint files), and later readers get column pruning and filter pushdown."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = at_end_delete(f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
@@ -84,5 +110,4 @@ def temporary_tables(spark: SparkSession):
     finally:
         _recorders.remove(paths)
         for path in paths:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            delete_table(spark, path)

@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.session import checkpoint_dir
+from riskspark.session import at_end_delete, checkpoint_dir
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -83,7 +83,7 @@ def persisted(spark: SparkSession, key: tuple, build) -> DataFrame:
     k = (spark.sparkContext.applicationId, *key)
     path = _PERSISTED.get(k)
     if path is None:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/fixture-{key[0]}-{uuid.uuid4().hex[:12]}"
+        path = at_end_delete(f"{checkpoint_dir(spark).rstrip('/')}/fixture-{key[0]}-{uuid.uuid4().hex[:12]}")
         build().write.mode("overwrite").parquet(path)
         _PERSISTED[k] = path
     return spark.read.parquet(path)  # read with the calling session (any session of the context)

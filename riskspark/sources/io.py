@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 from riskspark.operators import ranks
-from riskspark.session import checkpoint_dir
+from riskspark.session import at_end_delete, checkpoint_dir
 
 _NON_SPLITTABLE = (".gz", ".gzip", ".zst", ".zstd")
 
@@ -137,8 +137,8 @@ def sample_rows(df: DataFrame, n: int, random_state: int = 42, key: str = "id")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint directory."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the session's shared checkpoint directory, deleted when the application ends."""
+    return at_end_delete(f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[str] = (), single_file: bool = False) -> str:

@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.session import checkpoint_dir
+from riskspark.session import at_end_delete, checkpoint_dir, delete_table
 
 #: Words of the near-duplicate, quality and decontamination operators (fixed value).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,7 +41,8 @@ def only(df: DataFrame, **types: str) -> DataFrame:
 class Stash:
     """Parquet tables in the shared checkpoint folder, which cut lineage and outlive executors.
 
-    ``put`` writes a plan once and reads it back; ``drop`` deletes tables no later plan reads."""
+    ``put`` writes a plan once and reads it back; ``drop`` deletes tables no later plan reads; those that
+    results still read are deleted when the application ends."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.root = spark, f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -49,7 +50,7 @@ class Stash:
 
     def put(self, df: DataFrame) -> DataFrame:
         self._n += 1
-        path = f"{self.root}/{self._n}"
+        path = at_end_delete(f"{self.root}/{self._n}")
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._stash_path = path
@@ -58,8 +59,7 @@ class Stash:
     def drop(self, df: DataFrame) -> None:
         path = getattr(df, "_stash_path", None)
         if path is not None:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            delete_table(self.spark, path)
 
 
 def components(edges: DataFrame, stash: Stash) -> DataFrame:

@@ -49,7 +49,9 @@ LONG_ROWS, MISSED = 10, 1e-6
 #: Documents and shingles that a block of a comparison holds at most (a single document may be longer).
 BLOCK_DOCS, BLOCK_SHINGLES = 768, 400_000
 #: Columns of the comparison matrix at a time, and documents up to which each is compared on its own instead.
-COLUMNS, ALONE = 4096, 4
+COLUMNS, ALONE = 2048, 4
+#: Documents of the left side compared at a time.
+LEFT_DOCS = 256
 #: Hash values computed at a time.
 CELLS = 16_384
 
@@ -132,7 +134,7 @@ def least_agreement(similarity: float, n: int) -> int:
     return n
 
 
-def signatures(docs: DataFrame, width: int, bands: Tensored | Long) -> DataFrame:
+def signatures(docs: DataFrame, width: int, bands: Tensored) -> DataFrame:
     """``docs(id, part, text)`` as ``(id, part, n_shingles, digest, signature)``: set size, digest of the set, minhashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +156,7 @@ def signatures(docs: DataFrame, width: int, bands: Tensored | Long) -> DataFrame
     return docs.select("id", "part", "text").mapInArrow(run, "id bigint, part bigint, n_shingles bigint, digest binary, signature binary")
 
 
-def table_keys(signed: DataFrame, bands: Tensored | Long) -> DataFrame:
+def table_keys(signed: DataFrame, bands: Tensored) -> DataFrame:
     """``(id, key)`` rows of ``signed(id, signature)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,21 +170,40 @@ def table_keys(signed: DataFrame, bands: Tensored | Long) -> DataFrame:
     return signed.select("id", "signature").mapInArrow(run, "id bigint, key bigint")
 
 
-def tied(signed: DataFrame, bands: Tensored | Long, similarity: float) -> DataFrame:
-    """``(a, b, near)``: classes with the smallest one under a key they share, and whether their minhashes agree often enough."""
-    key_rows = table_keys(signed, bands)
+def long_signatures(texts: DataFrame, width: int, bands: Long) -> DataFrame:
+    """``(id, keys, marks)`` of ``texts(id, text)``: the keys, and the low byte of each minhash, which is all that the test of
+    a tie needs (unequal minhashes that agree in it only make the test let more through)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                rows = batch.slice(at, 512)
+                found = [minima(shingles(x.as_py(), width), bands.minhashes) for x in rows.column(1)]
+                keys = pa.array(np.concatenate([bands.keys(x) for x in found]))
+                marks = pa.array([(x & np.uint64(255)).astype(np.uint8).tobytes() for x in found], pa.binary())
+                edges = pa.array(np.arange(len(found) + 1, dtype=np.int32) * bands.count)
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(edges, keys), marks], names=["id", "keys", "marks"])
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, keys array<bigint>, marks binary")
+
+
+def tied(key_rows: DataFrame, marks: DataFrame, minhashes: int, similarity: float) -> DataFrame:
+    """``(a, b, near)``: classes of ``key_rows(id, key)`` with the smallest one under a key they share, and whether their
+    ``marks(id, marks)``, a number of equal bytes for each minhash, agree often enough."""
     low = key_rows.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("most")).where("b < most").select("key", "b")
     ties = key_rows.join(low, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct()
-    both = (ties.join(signed.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
-            .join(signed.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b"))
-    least = least_agreement(similarity, bands.minhashes)
+    both = (ties.join(marks.select(F.col("id").alias("a"), F.col("marks").alias("ma")), "a")
+            .join(marks.select(F.col("id").alias("b"), F.col("marks").alias("mb")), "b"))
+    least = least_agreement(similarity, minhashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((x == y).sum(1) >= least)], names=["a", "b", "near"])
+            for at in range(0, batch.num_rows, 1024):
+                rows = batch.slice(at, 1024)
+                x, y = (np.frombuffer(b"".join(rows.column(i).to_pylist()), np.uint8).reshape(rows.num_rows, minhashes, -1) for i in (2, 3))
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array((x == y).all(2).sum(1) >= least)], names=["a", "b", "near"])
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint, near boolean")
+    return both.select("a", "b", "ma", "mb").mapInArrow(run, "a bigint, b bigint, near boolean")
 
 
 def links(ids: np.ndarray, left: np.ndarray, right: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -190,29 +211,7 @@ def links(ids: np.ndarray, left: np.ndarray, right: np.ndarray, sets: list[np.nd
     ``100 * shared >= percent * united``, counted exactly."""
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate([sets[i] for i in right])
-    row = np.repeat(np.arange(len(right)), sizes[right])
-    common = np.zeros((len(left), len(right)), np.float32)
-    if len(left) <= ALONE:
-        for k, i in enumerate(left):
-            at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
-            common[k] = np.bincount(row, weights=sets[i][at] == flat, minlength=len(right))
-    else:
-        own = np.unique(np.concatenate([sets[i] for i in left]))  # no other shingle is in an intersection
-        at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
-        held = own[at] == flat
-        row, column = row[held], at[held]
-        mine = np.concatenate([np.searchsorted(own, sets[i]) for i in left])
-        of = np.repeat(np.arange(len(left)), sizes[left])
-        by, mine_by = np.argsort(column, kind="stable"), np.argsort(mine, kind="stable")
-        row, column, of, mine = row[by], column[by], of[mine_by], mine[mine_by]
-        for low in range(0, len(own), COLUMNS):
-            (a, b), (c, d) = np.searchsorted(column, [low, low + COLUMNS]), np.searchsorted(mine, [low, low + COLUMNS])
-            x, y = np.zeros((len(left), COLUMNS), np.float32), np.zeros((len(right), COLUMNS), np.float32)
-            x[of[c:d], mine[c:d] - low] = 1
-            y[row[a:b], column[a:b] - low] = 1
-            common += x @ y.T
-    shared = common.astype(np.int64)
-    hit = (100 * shared >= percent * (sizes[left][:, None] + sizes[right][None, :] - shared)) & (ids[left][:, None] != ids[right][None, :])
+    of_right = np.repeat(np.arange(len(right)), sizes[right])
     parent: dict[int, int] = {}
 
     def root(i: int) -> int:
@@ -222,15 +221,44 @@ def links(ids: np.ndarray, left: np.ndarray, right: np.ndarray, sets: list[np.nd
         return i
 
     out = []
-    for i, j in zip(*np.nonzero(hit)):
-        x, y = int(ids[left[i]]), int(ids[right[j]])
-        a, b = root(x), root(y)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            out.append((x, y))
+    for at in range(0, len(left), LEFT_DOCS):
+        some = left[at:at + LEFT_DOCS]
+        shared = common_counts([sets[i] for i in some], flat, of_right, len(right))
+        hit = (100 * shared >= percent * (sizes[some][:, None] + sizes[right][None, :] - shared)) & (ids[some][:, None] != ids[right][None, :])
+        for i, j in zip(*np.nonzero(hit)):
+            x, y = int(ids[some[i]]), int(ids[right[j]])
+            a, b = root(x), root(y)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((x, y))
     return out
 
 
+def common_counts(left: list[np.ndarray], flat: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """How many elements each left set shares with each of n right sets, given as their elements and the set of each."""
+    common = np.zeros((len(left), n), np.float32)
+    if len(left) <= ALONE:
+        for k, own in enumerate(left):
+            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            common[k] = np.bincount(row, weights=own[at] == flat, minlength=n)
+        return common.astype(np.int64)
+    own = np.unique(np.concatenate(left))  # no other shingle is in an intersection
+    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    held = own[at] == flat
+    row, column = row[held], at[held]
+    mine = np.concatenate([np.searchsorted(own, s) for s in left])
+    of = np.repeat(np.arange(len(left)), [len(s) for s in left])
+    by, mine_by = np.argsort(column, kind="stable"), np.argsort(mine, kind="stable")
+    row, column, of, mine = row[by], column[by], of[mine_by], mine[mine_by]
+    for low in range(0, len(own), COLUMNS):
+        (a, b), (c, d) = np.searchsorted(column, [low, low + COLUMNS]), np.searchsorted(mine, [low, low + COLUMNS])
+        x, y = np.zeros((len(left), COLUMNS), np.float32), np.zeros((n, COLUMNS), np.float32)
+        x[of[c:d], mine[c:d] - low] = 1
+        y[row[a:b], column[a:b] - low] = 1
+        common += x @ y.T
+    return common.astype(np.int64)
+
+
 class Comparison:
     """Exact comparisons of classes by their texts."""
 
@@ -296,16 +324,16 @@ def either(ties: DataFrame) -> DataFrame:
 def class_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, bands: Tensored, stash: Stash) -> DataFrame:
     """``(id, component)`` of the classes that have links."""
     exact = Comparison(docs, classes, width, percent, stash)
-    first = stash.put(tied(classes.select("id", "signature"), bands, percent / 100))
+    marks = classes.select("id", F.col("signature").alias("marks"))
+    first = stash.put(tied(table_keys(classes, bands), marks, bands.minhashes, percent / 100))
     found = stash.put(exact.stars(first.where("near").select("a", "b")))
     groups = components(found, stash)
     left = apart(first.select("a", "b"), groups, stash)
     if left.isEmpty():
         return groups
     long = Long.for_similarity(percent / 100)
-    texts = exact.texts(either(left)).withColumn("part", F.lit(0).cast("bigint"))
-    signed = stash.put(signatures(texts, width, long).select("id", "signature"))
-    second = stash.put(tied(signed, long, percent / 100))
+    signed = stash.put(long_signatures(exact.texts(either(left)), width, long))
+    second = stash.put(tied(signed.select("id", F.explode("keys").alias("key")), signed.select("id", "marks"), long.minhashes, percent / 100))
     found = found.unionByName(stash.put(exact.stars(second.where("near").select("a", "b"))))
     groups = components(found, stash)
     left = apart(second.select("a", "b"), groups, stash)

@@ -14,6 +14,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from riskspark.functions.exprs import emp_length_years, first_number, months_between_truncated, parse_month_year
 from riskspark.operators import ranks
+from riskspark.session import materialize
 
 
 def engineer_dates(df: DataFrame, issue: str = "issue_d", earliest: str = "earliest_cr_line") -> DataFrame:
@@ -122,11 +123,12 @@ def engineer_features(
     median_method: str = "exact",
 ) -> DataFrame:
     """FE8: FE1-FE5 then median/mode imputation. Statistics come from ``fit_df`` after the same
-    engineering when given (e.g. train rows only), else from ``df`` itself (K2)."""
+    engineering when given (e.g. train rows only), else from ``df`` itself (K2). The engineered rows are
+    written once: each statistic and the imputation read them, and dates and texts are parsed once a row."""
     def shape(d: DataFrame) -> DataFrame:
         return d.transform(engineer_dates).transform(engineer_emp_length).transform(engineer_term)
 
-    out = shape(df)
-    stats_src = shape(fit_df) if fit_df is not None else out
+    out = materialize(shape(df), "shaped")
+    stats_src = materialize(shape(fit_df), "shaped-fit") if fit_df is not None else out
     values = imputation_values(stats_src, exclude=(key, target), median_method=median_method)
     return impute(out, values)

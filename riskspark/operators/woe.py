@@ -113,6 +113,7 @@ def woe_from_counts(
     spark = counts.sparkSession
     numeric_cuts = dict(numeric_cuts or {})
     if numeric_cuts and keep_empty_numeric_bins:
+        counts = materialize(counts, "counted")  # both kinds are taken from it: the rows are read once
         grid = _numeric_grid(spark, numeric_cuts)
         num = counts.where(F.col("kind") == "num").drop("category", "kind")
         num = F.broadcast(grid).join(num, ["feature", "bin_id"], "left").select(

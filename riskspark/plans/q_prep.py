@@ -11,6 +11,7 @@ from riskspark.operators import clean as C
 from riskspark.operators import engineer as E
 from riskspark.operators import split as S
 from riskspark.plans.catalog import register, rounded, sql_round
+from riskspark.session import temporary_tables
 from riskspark.sources import fixtures as fx
 
 W = fx.duckdb_with
@@ -53,7 +54,8 @@ def cleaned(spark, sf):
 
 
 def engineered(spark, sf):
-    return fx.persisted(spark, ("engineered", sf), lambda: E.engineer_features(cleaned(spark, sf)))
+    with temporary_tables(spark):  # what is written on the way goes when the table stands
+        return fx.persisted(spark, ("engineered", sf), lambda: E.engineer_features(cleaned(spark, sf)))
 
 
 @register("cln1_map_target", W() + f"""

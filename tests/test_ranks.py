@@ -90,3 +90,39 @@ def test_sample_of_rows_that_share_their_key(spark):
         assert io.sample_rows(df, n, 7, "id").count() == n
     a, b = (sorted(map(tuple, io.sample_rows(d, 150, 7, "id").collect()), key=str) for d in (df, df.repartition(5)))
     assert a == b
+
+
+def _told(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def told(v):
+        seen.add(1)
+        return v
+
+    return seen, told
+
+
+def test_medians_read_their_rows_once(spark):
+    seen, told = _told(spark)
+    df = spark.range(1000).select(told(F.col("id").cast("double")).alias("x"))
+    assert RK.medians(df, {"x": F.col("x")}) == {"x": 499.5}
+    assert seen.value == 1000
+
+
+def test_staged_images_equal_the_single_expression(spark):
+    values = [0.0, -0.0, 1.0, -1.5, 2.0 ** -1022, 2.0 ** -1074, 1.7e308, float("inf"), -float("inf"), float("nan"), None, 0.1, 3.0, 1 - 2.0 ** -53]
+    df = spark.createDataFrame([(v,) for v in values], "x double").coalesce(1)
+    one = [r[0] for r in df.select(RK.double_image(F.col("x"))).collect()]
+    staged = RK.double_images(df, [F.col("x"), -F.col("x")]).collect()
+    assert [r["c0"] for r in staged] == one
+    assert [r["c1"] for r in staged] == [None if i is None else -i for i in one]
+
+
+def test_engineering_reads_its_rows_once(spark):
+    seen, told = _told(spark)
+    df = spark.range(100).select("id", F.lit(1).alias("loan_status_binary"), told(F.when(F.col("id") != 5, F.col("id").cast("double"))).alias("income"),
+                                 F.when(F.col("id") > 2, "a").alias("purpose"))
+    rows = EN.engineer_features(df).collect()
+    assert seen.value == 100
+    assert {r["income"] for r in rows if r["id"] == 5} == {50.0} and {r["purpose"] for r in rows} == {"a"}

@@ -101,11 +101,9 @@ def running_totals(
     ranged = src.repartitionByRange(blocks, *[F.col(g) for g in group_cols], order)
     blk = materialize(ranged.withColumn("_blk", F.spark_partition_id()), "running-blocks")
     part = [*group_cols, "_blk"]
-    first = F.first(F.struct(F.col(order_col).alias("v")))
-    firsts = blk.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy(order))).where("_r = 1")
-    totals = blk.groupBy(*part).agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
-    if with_next:
-        totals = totals.join(firsts.groupBy(*part).agg(first.alias("_first")), part)
+    # the first key of a block: minima and maxima leave NULL out and take NaN for the largest number, as the order does
+    first = F.struct((F.max(order_col) if descending else F.min(order_col)).alias("v")).alias("_first")
+    totals = blk.groupBy(*part).agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols], *([first] if with_next else []))
     before = Window.partitionBy(*group_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     following = Window.partitionBy(*group_cols).orderBy("_blk")
     offsets = totals.select(
@@ -114,11 +112,14 @@ def running_totals(
         *[F.sum(f"_b_{c}").over(Window.partitionBy(*group_cols)).alias(f"tot_{c}") for c in sum_cols],
         *([F.lead("_first").over(following).alias("_next_first")] if with_next else []),
     )
-    local = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return blk.join(offsets, part).select(
+    in_order = Window.partitionBy(*part).orderBy(order)
+    local = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # the offsets are joined after the sums, so that rows are ordered without them
+    summed = blk.select("*", *[F.sum(c).over(local).alias(f"_sum_{c}") for c in sum_cols],
+                        *([F.lead(F.struct(F.col(order_col).alias("v"))).over(in_order).alias("_next")] if with_next else []))
+    return summed.join(offsets, part).select(
         *df.columns,
-        *[(F.sum(c).over(local) + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
+        *[(F.col(f"_sum_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols],
         *[F.col(f"tot_{c}") for c in sum_cols],
-        *([F.coalesce(F.lead(F.struct(F.col(order_col).alias("v"))).over(Window.partitionBy(*part).orderBy(order)),
-                      F.col("_next_first"))["v"].alias(f"next_{order_col}")] if with_next else []),
+        *([F.coalesce("_next", "_next_first")["v"].alias(f"next_{order_col}")] if with_next else []),
     )

@@ -48,6 +48,15 @@ def test_running_totals_never_order_a_whole_group(spark):
     assert ordered and all("_blk#" in x for x in ordered)
 
 
+def test_running_totals_take_first_keys_from_block_totals(spark):
+    from riskspark.operators.cumulative import running_totals
+
+    df = spark.createDataFrame([(f"g{v % 2}", float(v), 1) for v in range(50)], "g string, v double, a long")
+    out = running_totals(df, "v", ["a"], ["g"], with_next=True, block_rows=10)
+    assert "row_number" not in plan(out)
+    assert {(r["g"], r["v"]): r["next_v"] for r in out.collect()} == {(f"g{v % 2}", float(v)): float(v + 2) if v < 48 else None for v in range(50)}
+
+
 def test_woe_totals_use_no_window(spark):
     from riskspark.operators import woe as WO
 

@@ -210,11 +210,11 @@ def fit(docs: DataFrame, per_language: int = ROWS_PER_LANGUAGE) -> Model:
 def predict(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with predicted language and calibrated score; further columns pass unchanged."""
 
-    @F.pandas_udf(f"{lang} string, {score} double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            got = [model.predict(t) for t in b]
-            yield pd.DataFrame({lang: [g[0] for g in got], score: [g[1] for g in got]})
+    @F.arrow_udf(f"{lang} string, {score} double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for b in batches:  # texts are read one by one: a batch is never held as Python strings beside its Arrow form
+            got = [model.predict(t.as_py()) for t in b]
+            yield pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[lang, score])
 
     run = run.asNondeterministic()  # evaluated once a row, not once for each of its fields
     return docs.withColumn("__lang", run(F.col(text))).select(

@@ -285,3 +285,18 @@ def test_pipeline_stages(spark):
     assert len(ids[3] - ids[4]) < 0.2 * len(ids[3]) and ids[5] == ids[4]
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert {r["doc_id"] for r in out.collect()} == ids[5]
+
+
+def test_language_predictions_take_arrow_batches(spark, monkeypatch):
+    """No batch of texts is turned into a pandas column of Python strings."""
+    def refused(*args, **kwargs):
+        raise AssertionError("predictions hold a batch as pandas column")
+
+    monkeypatch.setattr(F, "pandas_udf", refused)
+    weights = np.zeros((1 << langid_ftrl.BITS, 2))
+    weights[langid_ftrl.ngrams("abc")] = [[1.0, -1.0]]
+    model = langid_ftrl.Model(["en", "fr"], np.ones(1 << langid_ftrl.BITS), weights, 1.0)
+    docs = spark.createDataFrame([(1, "abc"), (2, None), (3, "12 3"), (4, "")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid_ftrl.predict(docs, model).collect()}
+    assert got == {k: model.predict(t) for k, t in [(1, "abc"), (2, None), (3, "12 3"), (4, "")]}
+    assert got[1][0] == "en" and got[2] == ("und", 0.0)

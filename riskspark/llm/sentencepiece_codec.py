@@ -6,7 +6,8 @@ agenda, until no pair is a piece. Symbols that are no piece fall back to their b
 
 No merge can span two characters that stand side by side in no piece, so a text is first cut
 between such characters (for the usual vocabularies: before each word, at line ends and before some
-marks). Each part is encoded on its own and kept in a bounded store, because words repeat; the
+marks). Each part is encoded on its own and kept in a bounded store, because words repeat (in Arrow
+arrays: workers outlive the stage, and as many Python objects would take hundreds of MB of each); the
 agendas of many short parts run side by side in arrays, a long part's agenda is a heap. Every
 part that is encoded anew is checked against the sentencepiece library, a batch of parts at a time,
 within the same Arrow batch; a difference raises an error. Decoding is the library's.
@@ -25,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,8 @@ from riskspark.llm.common import only
 
 SPACE = "▁"
 #: Parts kept by a worker in each of two stores; a full store becomes the older one, from which used
-#: parts are taken over again (results do not depend on it).
-PARTS_KEPT = 400_000
+#: parts are taken over again (results do not depend on it). Long parts fill a store at so many bytes of text.
+PARTS_KEPT, BYTES_KEPT = 400_000, 1 << 25
 #: Characters up to which a part is encoded together with others.
 SHORT = 24
 NEVER = float("inf")
@@ -114,8 +116,8 @@ class Codec:
         splits = sorted((number[p[:i]] * self.n_symbols + number[p[i:]], c, number[p]) for p, c in self.cost.items()
                         for i in range(1, len(p)) if p[:i] in number and p[i:] in number)
         self.pair_keys, self.pair_costs, self.pair_symbols = (np.array(x) for x in zip(*splits))
-        self.kept: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, tuple[int, ...]] = {}  # parts just encoded, until they are checked
+        self.newer = self.older = self.nothing = pa.array([], pa.string()), pa.array([], pa.list_(pa.int32()))
 
     def subparts(self, part: str) -> list[str]:
         """The part, cut where no piece has the two characters side by side."""
@@ -229,22 +231,38 @@ class Codec:
             if tuple(ids[lead:] if a else ids) != self.kept[p]:
                 raise AssertionError(f"ids differ from the library's: {p[:80]!r}")
 
+    def ids_of(self, parts: pa.StringArray, check: bool) -> pa.ListArray:
+        """Ids of distinct parts, from the stores or else encoded anew; they are in the newer store then."""
+        if len(self.newer[0]) > PARTS_KEPT or self.newer[0].nbytes > BYTES_KEPT:
+            self.newer, self.older = self.nothing, self.newer
+        at = pc.index_in(parts, value_set=self.newer[0])
+        lacking = pc.is_null(at)
+        rest = parts.filter(lacking)
+        if not len(rest):
+            return self.newer[1].take(at)
+        before = pc.index_in(rest, value_set=self.older[0])
+        unseen = pc.is_null(before)
+        if new := rest.filter(unseen).to_pylist():
+            self.kept.update(zip(new, self.encode_parts(new)))
+            if check:
+                self.check(new)
+        anew = pa.array([self.kept.pop(p) for p in new], pa.list_(pa.int32()))
+        # rows of rest, of which some are in the older store and the others follow one another in anew
+        place = pc.replace_with_mask(before, unseen, pa.array(np.arange(len(new), dtype=np.int32) + len(self.older[0])))
+        ids = pa.concat_arrays([self.older[1], anew]).take(place)
+        at = pc.replace_with_mask(at, lacking, pa.array(np.arange(len(rest), dtype=np.int32) + len(self.newer[0])))
+        self.newer = pa.concat_arrays([self.newer[0], rest]), pa.concat_arrays([self.newer[1], ids])
+        return self.newer[1].take(at)
+
+    def encode_arrow(self, texts: list[str | None], check: bool = True) -> pa.ListArray:
+        found = [self.cut.findall(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
+        parts = pa.array(chain.from_iterable(found), pa.string()).dictionary_encode()
+        ids = self.ids_of(parts.dictionary, check).take(parts.indices)
+        edges = ids.offsets.take(pa.array(np.cumsum([0, *map(len, found)])))
+        return pa.ListArray.from_arrays(edges, ids.values)
+
     def encode(self, texts: list[str | None], check: bool = True) -> list[list[int]]:
-        if len(self.kept) > PARTS_KEPT:
-            self.kept, self.older = {}, self.kept
-        kept, older, cut = self.kept, self.older, self.cut.findall
-        found = [cut(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = []
-        for p in set().union(*found).difference(kept):
-            if p in older:
-                kept[p] = older[p]
-            else:
-                new.append(p)
-        if new:
-            kept.update(zip(new, self.encode_parts(new)))
-        if check and new:
-            self.check(new)
-        return [list(chain.from_iterable(map(kept.__getitem__, ps))) for ps in found]
+        return self.encode_arrow(texts, check).to_pylist()
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return [self.library.decode(i) if i else "" for i in ids]
@@ -267,10 +285,9 @@ def encode_decode(docs: DataFrame, model: str, key: str = "doc_id", text: str =
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 rows = batch.slice(at, ROWS_OUT)
-                ids = c.encode(rows.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(c.decode(ids), pa.string())],
-                    names=["key", "ids", "decoded"])
+                ids = c.encode_arrow(rows.column(1).to_pylist())
+                decoded = pa.array((c.decode([i.values.to_numpy().tolist()])[0] for i in ids), pa.string())
+                yield pa.RecordBatch.from_arrays([rows.column(0), ids, decoded], names=["key", "ids", "decoded"])
 
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     return rows.mapInArrow(run, f"key {kind.simpleString()}, ids array<int>, decoded string").withColumnRenamed("key", key)

@@ -36,6 +36,39 @@ def test_a_wrong_part_is_found(codec):
     del codec.kept["▁wrongly"]
 
 
+def test_kept_parts_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    codec, rnd = sentencepiece_codec.Codec(MODEL), random.Random(8)
+    codec.encode(["warm up"])
+    texts = [" ".join("".join(rnd.choice("abcdeinorst") for _ in range(10)) for _ in range(500)) for _ in range(60)]
+    want = [codec.library.encode(t) for t in texts]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+        for at in range(0, 60, 20):
+            assert codec.encode(texts[at:at + 20]) == want[at:at + 20]
+        grown = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert grown < 100 * 30_000, grown  # bytes a part; all 30,000 are kept
+
+
+def test_full_stores_change_no_ids(monkeypatch):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdeinorst, é漢") for _ in range(rnd.randint(1, 9))) for _ in range(400)]
+    for parts, size in ((30, 1 << 25), (400_000, 500)):
+        monkeypatch.setattr(sentencepiece_codec, "PARTS_KEPT", parts)
+        monkeypatch.setattr(sentencepiece_codec, "BYTES_KEPT", size)
+        codec = sentencepiece_codec.Codec(MODEL)
+        for _ in range(60):
+            texts = [None, "", *(" ".join(rnd.choices(words, k=rnd.randint(0, 20))) for _ in range(rnd.randint(0, 3)))]
+            assert codec.encode(texts) == [codec.library.encode(t or "") for t in texts]
+        assert codec.encode([]) == [] and codec.encode([None, ""]) == [[], []]
+
+
 def test_other_model_kinds_are_refused(tmp_path):
     def field(n, payload):
         return bytes([n << 3 | 2, len(payload)]) + payload

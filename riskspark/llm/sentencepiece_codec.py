@@ -288,6 +288,9 @@ def encode_decode(docs: DataFrame, model: str, key: str = "doc_id", text: str =
                 ids = c.encode_arrow(rows.column(1).to_pylist())
                 decoded = pa.array((c.decode([i.values.to_numpy().tolist()])[0] for i in ids), pa.string())
                 yield pa.RecordBatch.from_arrays([rows.column(0), ids, decoded], names=["key", "ids", "decoded"])
+                del rows, ids, decoded
+            del batch
+            pa.default_memory_pool().release_unused()  # else a worker keeps the pages of its largest batches
 
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     return rows.mapInArrow(run, f"key {kind.simpleString()}, ids array<int>, decoded string").withColumnRenamed("key", key)
